@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +47,8 @@ def is_valid_uuid(col: str | Column) -> Column:
 
 
 def to_b64(col: str | Column) -> Column:
-    return F.base64(_c(col).cast("binary"))
+    """Base64 on one line."""
+    return F.translate(F.base64(_c(col).cast("binary")), "\r\n", "")
 
 
 def from_b64(col: str | Column) -> Column:
@@ -103,7 +105,11 @@ def time_to_ns(col: str | Column) -> Column:
 
 
 def ns_to_time(col: str | Column) -> Column:
-    return F.timestamp_micros(F.floor(_c(col) / 1000).cast("bigint"))
+    """Instant of epoch nanoseconds, cut to whole microseconds in integer arithmetic."""
+    ns = _c(col)
+    return F.timestamp_micros(
+        F.call_function("div", ns - F.pmod(ns, F.lit(1000)), F.lit(1000))
+    )
 
 
 def time_text(col: str | Column) -> Column:
@@ -118,9 +124,14 @@ def scrub_tokens(col: str | Column) -> Column:
     ).otherwise(col)
 
 
-def round_sig4(col: str | Column) -> Column:
-    """Four significant digits."""
-    return F.format_string("%.3e", _c(col).cast("double")).cast("double")
+@F.pandas_udf(T.DoubleType())
+def round_sig4(values: pd.Series) -> pd.Series:
+    """Four significant digits of the exact binary value, ties to even.
+
+    The JVM's formatter rounds the shortest decimal text half up, which differs for values such
+    as 959.15, so this runs on Arrow batches.
+    """
+    return values.map(lambda v: float(f"{v:.4g}"), na_action="ignore")
 
 
 def message_lines(col: str | Column) -> Column:

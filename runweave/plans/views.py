@@ -34,7 +34,7 @@ VIEWS = {
                case when c_acctbal < 0 then 2 else 1 end tracker_type,
                c_nationkey % 3 as agent_type,
                concat('g', cast(c_nationkey as string)) group_id,
-               concat('run', cast(k as string)) instance_id, created_at, updated_at,
+               'run' || cast(k as string) instance_id, created_at, updated_at,
                case st when 'F' then 2 when 'O' then 1 when 'P' then 3 else 0 end status,
                concat('en/', cast(c_custkey % 100 as string)) save_location
         from customer left join (

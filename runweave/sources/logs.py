@@ -70,12 +70,15 @@ def dataset_completed(spark: SparkSession, path: str) -> bool:
 def log_columns_json(logs: DataFrame, chunk_rows: int = 1000) -> DataFrame:
     """Record columns as JSON text: keys sorted, defaults left out, enums as names, numbers to
     four significant digits. One row per column chunk."""
-    columns = log_columns(series_x(log_series(logs)), chunk_rows)
+    series = log_series(logs).withColumn(
+        "number", round_sig4(F.col("number").cast("double"))
+    )
+    columns = log_columns(series_x(series), chunk_rows)
     names = F.create_map(*[F.lit(x) for pair in VALUE_TYPE.items() for x in pair])
     is_text = F.col("value_type") == STRING
 
     def item(r):
-        number = round_sig4(r["number"].cast("double"))
+        number = r["number"]
         return F.struct(
             F.nullif(r["log_id"], F.lit("")).alias("log_id"),
             F.when(number != 0, number).alias("number"),

@@ -57,7 +57,7 @@ def differences(spark_df, sql: str, con) -> list[str]:
         problems.append("SQL gives no rows")
     if got != want:
         bad = [(g, w) for g, w in zip(got, want) if g != w][:3]
-        problems.extend(f"got  {g}\n   want {w}" for g, w in bad)
+        problems.extend(f"got  {str(g)[:300]}\n   want {str(w)[:300]}" for g, w in bad)
     return problems
 
 
