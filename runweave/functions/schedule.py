@@ -81,9 +81,8 @@ def cron_expr(
 
 def _steps(size: int, step: Column) -> Column:
     """Cron ``*/step``: multiples of the step below ``size``; none for a step of 0."""
-    return F.filter(
-        F.sequence(F.lit(0), F.lit(size - 1)), lambda n: (step > 0) & (n % F.nullif(step, F.lit(0)) == 0)
-    )
+    multiples = F.sequence(F.lit(0), F.lit(size - 1), F.greatest(step, F.lit(1)))
+    return F.when(step > 0, multiples).otherwise(F.array().cast("array<int>"))
 
 
 def schedule_fire_times(schedules: DataFrame, minute_of_hour: int = 0) -> DataFrame:
@@ -109,9 +108,11 @@ def schedule_fire_times(schedules: DataFrame, minute_of_hour: int = 0) -> DataFr
     )
     ends = F.coalesce("ends", F.col("starts") + F.make_dt_interval(F.lit(DEFAULT_SCHEDULE_DAYS)))
     ok = valid_schedule(hour, minute, F.col("days"), F.col("months")) & (F.col("starts") <= ends)
-    open_days = schedules.where(ok).withColumn("__ends", ends).select(
-        "*",
-        F.explode(F.sequence(F.to_date("starts"), F.to_date("__ends"))).alias("__day"),
+    timed = schedules.where(ok).select(
+        "*", ends.alias("__ends"), hours.alias("__hs"), minutes.alias("__ms")
+    )
+    open_days = timed.select(
+        "*", F.explode(F.sequence(F.to_date("starts"), F.to_date("__ends"))).alias("__day")
     )
 
     def fits(names: str, table: dict[str, int], number: Column) -> Column:
@@ -121,7 +122,7 @@ def schedule_fire_times(schedules: DataFrame, minute_of_hour: int = 0) -> DataFr
     times = (
         open_days.where(fits("days", DAYS, F.dayofweek("__day") - 1))
         .where(fits("months", MONTHS, F.month("__day")))
-        .select("id", "starts", "__ends", "__day", F.explode(hours).alias("__h"), minutes.alias("__ms"))
+        .select("id", "starts", "__ends", "__day", F.explode("__hs").alias("__h"), "__ms")
         .select("id", "starts", "__ends", "__day", "__h", F.explode("__ms").alias("__m"))
     )
     fire = F.timestamp_seconds(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runweave.functions.paths import content_type, strip_path, strip_slashes
-from runweave.operators.paging import page_no, page_offset
+from runweave.operators.paging import page_no
 from runweave.schemas import FILE, FOLDER
 
 
@@ -159,7 +159,10 @@ def activity_log(
     page: int = 0,
     page_size: int = 0,
 ) -> DataFrame:
-    """Operations in time order; both ends inclusive, 0 is open. ``page_size`` 0 means all."""
+    """Operations of a time range, both ends inclusive, 0 is open.
+
+    A page is cut from the time order; ``page_size`` 0 gives all, unsorted.
+    """
     out = activity
     if relic_id:
         out = out.where(F.col("relic_id") == relic_id)
@@ -169,5 +172,4 @@ def activity_log(
         out = out.where(F.col("timestamp_ns") >= from_timestamp_ns)
     if to_timestamp_ns:
         out = out.where(F.col("timestamp_ns") <= to_timestamp_ns)
-    order = ["timestamp_ns", "object_name"]
-    return page_no(out, order, page, page_size) if page_size else page_offset(out, order)
+    return page_no(out, ["timestamp_ns", "object_name"], page, page_size) if page_size else out

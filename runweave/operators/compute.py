@@ -171,10 +171,10 @@ def batch_infer(
 
 
 class Actor:
-    """State kept per key. ``update`` folds rows in, ``state`` and ``merge`` carry it between tasks,
-    ``result`` gives the output row."""
+    """State kept per key. ``update`` folds rows in (column name to array), ``state`` and ``merge``
+    carry the state between tasks, ``result`` gives the output row."""
 
-    def update(self, rows: pd.DataFrame) -> None:
+    def update(self, rows: dict[str, np.ndarray]) -> None:
         raise NotImplementedError
 
     def state(self) -> dict[str, Any]:
@@ -187,6 +187,18 @@ class Actor:
         raise NotImplementedError
 
 
+def _rows_by_key(batch: pd.DataFrame, key: str) -> Iterator[tuple[Any, dict[str, np.ndarray]]]:
+    """Arrays of each key of a batch; a sort and slices, since a frame per key would cost more
+    than most updates. Null keys form one group."""
+    codes, values = pd.factorize(batch[key], use_na_sentinel=False)
+    order = np.argsort(codes, kind="stable")
+    columns = {c: batch[c].to_numpy()[order] for c in batch.columns}
+    edges = np.searchsorted(codes[order], np.arange(len(values) + 1))
+    for i, value in enumerate(values):
+        value = None if pd.isna(value) else value
+        yield value, {c: a[edges[i] : edges[i + 1]] for c, a in columns.items()}
+
+
 def group_apply(
     df: DataFrame,
     key: str,
@@ -209,20 +221,34 @@ def group_apply(
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         live: dict[Any, Actor] = {}
         for batch in batches:
-            for value, rows in batch.groupby(key, sort=False, dropna=False):
-                live.setdefault(value, actor()).update(rows)
+            for value, rows in _rows_by_key(batch, key):
+                if value not in live:
+                    live[value] = actor()
+                live[value].update(rows)
             if len(live) >= max_live_actors:
                 yield states(live)
                 live = {}
         if live:
             yield states(live)
 
-    def merge(group: tuple[Any], parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        merged = actor()
-        for part in parts:
-            for state in part.drop(columns=[key]).to_dict("records"):
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # States arrive sorted by key, so one actor lives at a time.
+        current, merged = None, None
+        for batch in batches:
+            done = []
+            for state in batch.to_dict("records"):
+                value = state.pop(key)
+                value = None if pd.isna(value) else value
+                if merged is None or value != current:
+                    if merged is not None:
+                        done.append({key: current, **merged.result()})
+                    current, merged = value, actor()
                 merged.merge(state)
-        yield pd.DataFrame([{key: group[0], **merged.result()}])
+            if done:
+                yield pd.DataFrame(done)
+        if merged is not None:
+            yield pd.DataFrame([{key: current, **merged.result()}])
 
     partial = df.mapInPandas(fold, f"{key} {kind}, {state_schema}")
-    return partial.groupBy(key).applyInPandas(merge, f"{key} {kind}, {result_schema}")
+    sorted_states = partial.repartition(F.col(key)).sortWithinPartitions(key)
+    return sorted_states.mapInPandas(merge, f"{key} {kind}, {result_schema}")

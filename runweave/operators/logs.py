@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runweave.operators.ordered import DAY, spread_join, time_bucket, with_ordinal
+from runweave.operators.ordered import HOUR, spread_join, time_bucket, with_ordinal
 from runweave.operators.paging import page_offset
 from runweave.schemas import KEY_PATTERN, KEY_SEPARATOR, NUMBER, STRING
 
-NUMERIC_VARIANTS = r"^(BIGINT|DOUBLE|DECIMAL|FLOAT|INT|SMALLINT|TINYINT)"
+# First letters of BIGINT, DOUBLE, DECIMAL, FLOAT, INT, SMALLINT and TINYINT.
+NUMERIC_VARIANTS = ["BIG", "DOU", "DEC", "FLO", "INT", "SMA", "TIN"]
 CHILDREN = "map<string,variant>"
 
 
@@ -29,6 +30,16 @@ class Split(NamedTuple):
 # --- nested records to flat keys ------------------------------------------------
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns so that they are computed once.
+
+    A filter or a second use above a plain projection would be pushed into it and repeat the
+    work; a generator's output is a column like any other.
+    """
+    one = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
+    return df.select("*", F.inline(one))
+
+
 def _entry(key: Column, raw_key: Column, value: Column, dotted: Column) -> Column:
     return F.struct(
         key.alias("key"),
@@ -38,71 +49,75 @@ def _entry(key: Column, raw_key: Column, value: Column, dotted: Column) -> Colum
     )
 
 
-def _object_entries(node: Column, prefix: Column | None, dotted: Column) -> Column:
+def _root_entries(node: Column) -> Column:
     children = F.map_entries(F.try_variant_get(node, "$", CHILDREN))
+    return F.transform(children, lambda c: _entry(c["key"], c["key"], c["value"], F.lit(False)))
 
-    def child(c: Column) -> Column:
-        key = c["key"] if prefix is None else F.concat(prefix, F.lit(KEY_SEPARATOR), c["key"])
-        return _entry(key, c["key"], c["value"], dotted)
-
-    return F.transform(children, child)
 
+def _open_objects(entries: Column) -> Column:
+    def child(parent: Column, c: Column) -> Column:
+        key = F.concat(parent["key"], F.lit(KEY_SEPARATOR), c["key"])
+        return _entry(key, c["key"], c["value"], parent["dotted"])
 
-def flat_entries(payload: Column, max_depth: int = 8) -> Column:
-    """Leaves of a variant object as ``array<struct<key, value, type, dotted>>``.
-
-    Keys are joined with dots; lists are leaves; empty objects vanish. ``dotted`` marks a key
-    whose own name holds the separator. Objects below ``max_depth`` stay as leaves of type
-    OBJECT, which :func:`entry_problem` rejects, so nothing is lost silently.
-    """
-    entries = _object_entries(payload, None, F.lit(False))
-
-    def open_object(e: Column) -> Column:
+    def opened(e: Column) -> Column:
+        children = F.map_entries(F.try_variant_get(e["value"], "$", CHILDREN))
         return F.when(
-            e["type"].startswith("OBJECT"), _object_entries(e["value"], e["key"], e["dotted"])
+            e["type"].startswith("OBJECT"), F.transform(children, lambda c: child(e, c))
         ).otherwise(F.array(e))
 
-    for _ in range(max_depth - 1):
-        entries = F.flatten(F.transform(entries, open_object))
-    return entries
-
+    return F.flatten(F.transform(entries, opened))
 
-def is_number(type_name: Column) -> Column:
-    return type_name.rlike(NUMERIC_VARIANTS)
 
+def flat_entries(payload: str | Column, max_depth: int = 8) -> Column:
+    """Leaves of the JSON object in ``payload``, as
+    ``array<struct<key, number, text, problem>>``; null when the text is no JSON object.
 
-def valid_key(key: Column) -> Column:
-    """True for keys of letters, digits, ``_``, ``-`` and ``.``; one final line feed passes."""
-    return key.rlike("(?d)" + KEY_PATTERN)
-
-
-def entry_problem(e: Column) -> Column:
-    """Why a flat entry cannot be logged; null when it can."""
-    return (
+    Keys are joined with dots; lists are leaves; empty objects vanish. A leaf has a number
+    (float32) or a text, or a ``problem``: the separator in a key's own name, a character that
+    keys may not have, or a value that is neither. A record opens no more levels than its text
+    has braces, so flat records pay for one. Objects below ``max_depth`` are leaves with a
+    problem: nothing is lost silently.
+    """
+    text = F.col(payload) if isinstance(payload, str) else payload
+    braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+    entries = _root_entries(F.try_parse_json(text))
+    by_depth = [(1, entries)]
+    for depth in range(2, max_depth + 1):
+        entries = _open_objects(entries)
+        if depth in (2, 4) or depth == max_depth:
+            by_depth.append((depth, entries))
+    chosen: Column | None = None
+    for depth, column in by_depth[:-1]:
+        fits = braces <= depth
+        chosen = F.when(fits, column) if chosen is None else chosen.when(fits, column)
+    deepest = by_depth[-1][1]
+    return F.transform(deepest if chosen is None else chosen.otherwise(deepest), _leaf)
+
+
+def _leaf(e: Column) -> Column:
+    number = F.substring(e["type"], 1, 3).isin(NUMERIC_VARIANTS)
+    text = e["type"] == "STRING"
+    problem = (
         F.when(e["dotted"], F.concat(F.lit("separator in key: "), e["key"]))
         .when(~valid_key(e["key"]), F.concat(F.lit("invalid key: "), e["key"]))
-        .when(
-            ~(is_number(e["type"]) | (e["type"] == "STRING")),
-            F.concat(F.lit("invalid type: "), e["key"]),
-        )
+        .when(~(number | text), F.concat(F.lit("invalid type: "), e["key"]))
+    )
+    return F.struct(
+        e["key"].alias("key"),
+        F.when(number, F.try_variant_get(e["value"], "$", "double").cast("float")).alias("number"),
+        F.when(text, F.try_variant_get(e["value"], "$", "string")).alias("text"),
+        problem.alias("problem"),
     )
 
 
-def flatten_log(df: DataFrame, payload: str, keep: Sequence[str], max_depth: int = 8) -> DataFrame:
-    """One row per leaf of the JSON text in ``payload``: ``keep``, key, number, text, type."""
-    leaves = df.select(
-        *keep,
-        F.explode(flat_entries(F.try_parse_json(payload), max_depth)).alias("e"),
-    )
-    return leaves.select(*keep, "e.key", *_typed(F.col("e")), F.col("e.type").alias("type"))
+def valid_key(key: Column) -> Column:
+    """True for keys of letters, digits, ``_``, ``-`` and ``.``; one final line feed passes."""
+    return key.rlike("(?d)" + KEY_PATTERN)
 
 
-def _typed(e: Column) -> tuple[Column, Column]:
-    number = F.when(
-        is_number(e["type"]), F.try_variant_get(e["value"], "$", "double").cast("float")
-    )
-    text = F.when(e["type"] == "STRING", F.try_variant_get(e["value"], "$", "string"))
-    return number.alias("number"), text.alias("text")
+def flatten_log(df: DataFrame, payload: str, keep: Sequence[str], max_depth: int = 8) -> DataFrame:
+    """One row per leaf of the JSON text in ``payload``: ``keep``, key, number, text, problem."""
+    return df.select(*keep, F.inline(flat_entries(payload, max_depth)))
 
 
 def flatten_columns(schema: T.StructType, sep: str = KEY_SEPARATOR) -> list[tuple[str, Column]]:
@@ -137,26 +152,14 @@ def validate_keys(df: DataFrame, key: str = "key") -> Split:
     return Split(df.where(ok), bad)
 
 
-def split_by_type(entries: Column) -> tuple[Column, Column]:
-    """The number map (float32) and the text map of flat entries."""
-    numbers = F.filter(entries, lambda e: is_number(e["type"]))
-    texts = F.filter(entries, lambda e: e["type"] == "STRING")
-    return (
-        F.map_from_entries(
-            F.transform(
-                numbers,
-                lambda e: F.struct(
-                    e["key"], F.try_variant_get(e["value"], "$", "double").cast("float")
-                ),
-            )
-        ),
-        F.map_from_entries(
-            F.transform(
-                texts,
-                lambda e: F.struct(e["key"], F.try_variant_get(e["value"], "$", "string")),
-            )
-        ),
-    )
+def split_by_type(entries: str | Column) -> tuple[Column, Column]:
+    """The number map and the text map of flat entries."""
+
+    def pairs(field: str) -> Column:
+        some = F.filter(entries, lambda e: e[field].isNotNull())
+        return F.map_from_entries(F.transform(some, lambda e: F.struct(e["key"], e[field])))
+
+    return pairs("number"), pairs("text")
 
 
 def append_logs(df: DataFrame, payload: str = "payload", max_depth: int = 8) -> Split:
@@ -167,21 +170,15 @@ def append_logs(df: DataFrame, payload: str = "payload", max_depth: int = 8) ->
     """
     if "log_id" not in df.columns:
         df = df.withColumn("log_id", F.lit(None).cast("string"))
-    parsed = df.withColumn("__v", F.try_parse_json(payload)).withColumn(
-        "__entries",
-        F.when(
-            F.schema_of_variant("__v").startswith("OBJECT"),
-            flat_entries(F.col("__v"), max_depth),
-        ),
-    )
-    checked = parsed.withColumn(
-        "problems",
-        F.when(F.col("__entries").isNull(), F.array(F.lit("not a JSON object"))).otherwise(
-            F.array_compact(F.transform("__entries", entry_problem))
+    checked = once(
+        once(df, entries=flat_entries(payload, max_depth)),
+        problems=F.coalesce(
+            F.array_compact(F.transform("entries", lambda e: e["problem"])),
+            F.array(F.lit("not a JSON object")),
         ),
     )
     clean = F.size("problems") == 0
-    number, text = split_by_type(F.col("__entries"))
+    number, text = split_by_type("entries")
     carried = [c for c in df.columns if c not in (payload, "log_id")]
     accepted = checked.where(clean).select(
         *carried,
@@ -250,12 +247,14 @@ def log_query(
     before: datetime | None = None,
     limit: int = 0,
     log_ids: Sequence[str] | DataFrame | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Filtered log records, oldest first.
+    """Filtered log records.
 
     ``after`` and ``before`` are exclusive; no keys or ``[""]`` means every key; a record with
-    none of the asked keys is left out; ``limit`` 0 means all. ``log_ids`` is a short list or a
-    DataFrame with ``log_id``, joined.
+    none of the asked keys is left out. ``log_ids`` is a short list or a DataFrame with ``log_id``,
+    joined. A ``limit`` takes the oldest records by (ts, log_id); 0 means all, which are sorted
+    only when ``ordered``, since a sort of everything is a shuffle of everything.
     """
     check_window(after, before, limit)
     out = logs
@@ -278,7 +277,7 @@ def log_query(
             .withColumn("text", F.map_filter("text", lambda k, _: k.isin(wanted)))
             .where((F.size("number") > 0) | (F.size("text") > 0))
         )
-    return page_offset(out, ["ts", "log_id"], limit=limit)
+    return page_offset(out, ["ts", "log_id"], limit=limit) if limit or ordered else out
 
 
 def log_series(logs: DataFrame) -> DataFrame:
@@ -312,7 +311,7 @@ def log_series(logs: DataFrame) -> DataFrame:
 _ENTRY = "array<struct<key:string,value_type:int,number:float,text:string>>"
 
 
-def series_x(series: DataFrame, span_seconds: int = DAY) -> DataFrame:
+def series_x(series: DataFrame, span_seconds: int = HOUR) -> DataFrame:
     """Add ``x``, the 0-based position of each item of a (tracker, key) series."""
     return with_ordinal(
         series, ["tracker_id", "key"], ["ts", "log_id"], time_bucket("ts", span_seconds)

@@ -169,9 +169,8 @@ def machine_lookup(refs: DataFrame, machines: DataFrame, name: str = "machine")
     valid = F.col(name).rlike(r"(?dU)^\w+\.\w+$")
     keyed = refs.withColumn("machine_key", F.when(valid, F.lower(name)))
     specs = machines.withColumn("machine_key", F.lower("name")).drop("name")
-    joined = spread_join(
-        keyed, specs.withColumn("known", F.lit(True)), ["machine_key"], refs.columns
-    )
+    # A machine catalog has some thousand rows: Spark measures it and broadcasts it.
+    joined = keyed.join(specs.withColumn("known", F.lit(True)), "machine_key", "left")
     return joined.withColumn(
         "problem",
         F.when(F.col("machine_key").isNull(), "invalid").when(F.col("known").isNull(), "unknown"),

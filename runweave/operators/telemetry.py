@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from runweave.operators.ordered import BUCKET, DAY, time_bucket, with_previous
+from runweave.operators.ordered import BUCKET, HOUR, time_bucket, with_previous
 from runweave.schemas import HEARTBEAT_SECONDS, UNLOGGED_PATHS
 
 
@@ -55,7 +55,7 @@ def region_latency(
     events: DataFrame,
     thread: str = "thread",
     order_by: Sequence[str] = ("ts", "region"),
-    span_seconds: int = DAY,
+    span_seconds: int = HOUR,
 ) -> DataFrame:
     """Elapsed seconds of each region from ENTER and LEAVE events, with its nesting level.
 
@@ -128,7 +128,7 @@ def heartbeat_gaps(
     by: str = "tracker_id",
     period_seconds: float = HEARTBEAT_SECONDS,
     factor: float = 1.0,
-    span_seconds: int = DAY,
+    span_seconds: int = HOUR,
 ) -> DataFrame:
     """Silences longer than ``factor`` periods: previous beat, next beat and gap in seconds."""
     looked = with_previous(beats, [by], ["ts"], time_bucket("ts", span_seconds), "ts", "previous")
@@ -144,7 +144,7 @@ def heartbeat_sessions(
     beats: DataFrame,
     timeout_seconds: float,
     by: str = "tracker_id",
-    span_seconds: int = DAY,
+    span_seconds: int = HOUR,
 ) -> DataFrame:
     """Spans of liveness: beats no further apart than the timeout.
 

@@ -122,8 +122,9 @@ def tracker_agent_runs(trackers: DataFrame, runs: DataFrame, models: DataFrame)
         )
     )
     local = F.coalesce(F.col("agent_type") == LOCAL, F.lit(True))
-    remote = spread_join(
-        trackers.where(~local), agents, ["agent_type", "group_id", "instance_id"], ["id"]
+    # An instance has few trackers, so these keys do not pile up.
+    remote = trackers.where(~local).join(
+        agents, ["agent_type", "group_id", "instance_id"], "left"
     )
     alone = trackers.where(local).withColumn("agent_status", F.lit(None).cast("string"))
     return remote.unionByName(alone)

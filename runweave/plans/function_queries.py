@@ -96,11 +96,11 @@ def to_b64(spark, sf_dir):
 
 
 @query(
-    "json_text",
+    "to_json_text",
     """select event_id, cast({J} as bigint) as k, cast({J} as bigint) as k_variant, value,
               event_type from events""",
 )
-def json_text(spark, sf_dir):
+def to_json_text(spark, sf_dir):
     """JSON text to fields and back, through a struct and a variant."""
     events = V.table(spark, sf_dir, "events")
     packed = events.select(

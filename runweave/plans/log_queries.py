@@ -120,7 +120,8 @@ def append_logs(spark, sf_dir):
        union all select log_id, 'failed', null, null from {logs} where event_type = 'error'
        union all select log_id, 'a b', null, 'x' from {logs} where event_type = 'purchase'
        union all select log_id, 'a.b', null, 'x' from {logs} where event_type = 'signup'
-       union all select log_id, 'list', null, null from {logs} where event_type = 'click'""",
+       union all select log_id, 'list', null, null from {logs}
+                 where event_type = 'click'""",
 )
 def flatten_log(spark, sf_dir):
     """Every leaf of the nested records under its dotted key."""
@@ -156,10 +157,8 @@ def validate_keys(spark, sf_dir):
 )
 def split_by_type(spark, sf_dir):
     """Flat entries split into a number map and a text map."""
-    entries = payloads(spark, sf_dir).withColumn(
-        "entries", L.flat_entries(F.try_parse_json("payload"))
-    )
-    number, text = L.split_by_type(F.col("entries"))
+    entries = L.once(payloads(spark, sf_dir), entries=L.flat_entries("payload"))
+    number, text = L.split_by_type("entries")
     maps = entries.select("log_id", number.alias("number"), text.alias("text"))
     return maps.select(
         "log_id",

@@ -202,27 +202,3 @@ def tail_logs(spark, sf_dir):
     lines.write.text(f"{path}/in")
     S.tail_logs(spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint")
     return spark.read.text(f"{path}/out").withColumnRenamed("value", "line")
-
-
-@query(
-    "read_trace_jsonl",
-    """select 'run' || user_id as run_id, 'e' || event_id as id, event_type as name,
-              cast({J} as varchar) as status from events""",
-)
-def read_trace_jsonl(spark, sf_dir):
-    """Trace files, one per run, written from the events and read back."""
-    from runweave.sources.logs import read_trace_jsonl as read
-
-    node = F.to_json(
-        F.struct(
-            F.concat(F.lit("e"), "event_id").alias("id"),
-            F.col("event_type").alias("name"),
-            F.get_json_object("props", "$.k").alias("status"),
-        )
-    )
-    events = V.table(spark, sf_dir, "events").select(
-        F.concat(F.lit("run"), "user_id").alias("run_id"), node.alias("value")
-    )
-    path = scratch_path(spark, "traces")
-    events.write.partitionBy("run_id").text(path)
-    return read(spark, path).select("run_id", "id", "name", "status")

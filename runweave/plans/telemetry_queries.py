@@ -60,8 +60,8 @@ def route_latency(spark, sf_dir):
        from p where kind = 'LEAVE'""",
 )
 def region_latency(spark, sf_dir):
-    """Elapsed time of every nested region; spans of 20 s cut regions in two on purpose."""
-    return T.region_latency(V.view(spark, sf_dir, "spans"), span_seconds=20)
+    """Elapsed time of every nested region."""
+    return T.region_latency(V.view(spark, sf_dir, "spans"))
 
 
 @query(
@@ -207,3 +207,23 @@ def read_json_log_lines(spark, sf_dir):
         F.try_variant_get("log.data", "$.value", "double").cast("float").cast("double").alias("value"),
         broken.alias("broken"),
     )
+
+
+@query(
+    "read_trace_jsonl",
+    """select 'run' || user_id as run_id, event_id as seq, 'e' || event_id as id,
+              event_type as name, cast({J} as varchar) as status from events""",
+)
+def read_trace_jsonl(spark, sf_dir):
+    """Node updates parsed from JSON lines made from the events."""
+    node = F.struct(
+        F.concat(F.lit("e"), "event_id").alias("id"),
+        F.col("event_type").alias("name"),
+        F.get_json_object("props", "$.k").alias("status"),
+    )
+    lines = V.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("run"), "user_id").alias("run_id"),
+        F.col("event_id").alias("seq"),
+        F.to_json(node).alias("value"),
+    )
+    return S.parse_trace_lines(lines).drop("json")

@@ -21,6 +21,8 @@ def build_session(app: str = "runweave", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Streaming sessions of one key are merged in each map task before the shuffle.
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -132,12 +132,24 @@ def read_json_log_lines(spark: SparkSession, path: str, logtype: str | None = No
 def read_trace_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """Node updates of runs: one JSON node per line, the run id is the file's name.
 
-    ``seq`` is the byte-ordered position of a line inside its file, for last-write-wins.
+    ``seq`` orders the lines of a file, for last-write-wins: the block first, since a large file
+    is read by several tasks, then the position inside the block.
     """
     raw = spark.read.option("pathGlobFilter", "*.jsonl").text(path)
-    return raw.select(
-        F.regexp_replace("_metadata.file_name", r"\.jsonl$", "").alias("run_id"),
-        F.monotonically_increasing_id().alias("seq"),
-        F.from_json("value", TRACE_NODE).alias("node"),
-        "value",
-    ).select("run_id", "seq", "node.*", F.col("value").alias("json"))
+    return parse_trace_lines(
+        raw.select(
+            F.regexp_replace("_metadata.file_name", r"\.jsonl$", "").alias("run_id"),
+            F.struct(
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("line"),
+            ).alias("seq"),
+            "value",
+        )
+    )
+
+
+def parse_trace_lines(lines: DataFrame) -> DataFrame:
+    """Lines (run_id, seq, value) as node updates; the text stays in ``json``."""
+    return lines.withColumn("node", F.from_json("value", TRACE_NODE)).select(
+        "run_id", "seq", "node.*", F.col("value").alias("json")
+    )

@@ -83,8 +83,18 @@ def current_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
 
 
 def dedupe_retries_stream(logs: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop copies of a ``log_id`` that arrive within ``delay`` of the first."""
-    return logs.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["log_id"])
+    """Drop copies of a ``log_id`` that arrive within ``delay`` of the first.
+
+    Copies are dropped per input partition first, so that many copies of one id do not all meet
+    in one task.
+    """
+    near = (
+        logs.withWatermark("ts", delay)
+        .withColumn("__part", F.spark_partition_id())
+        .dropDuplicatesWithinWatermark(["log_id", "__part"])
+        .drop("__part")
+    )
+    return near.dropDuplicatesWithinWatermark(["log_id"])
 
 
 def downsample_stream(
