@@ -186,15 +186,14 @@ def tail_logs(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.load(folder)
-    query = (
+    writer = (
         lines.writeStream.format("text")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(path)
     )
     try:
-        query.awaitTermination()
+        writer.start(path).awaitTermination()
     except Exception:
         if raise_on_error:
             raise
