@@ -62,16 +62,18 @@ def region_latency(
     Inside one span of one thread, a LEAVE closes the last ENTER of its level. What stays open at
     the edges of a span (at most a stack on either side) is matched in a second, far smaller
     step, so a busy thread is never one task. Regions still open have no ``leave_ts``.
+    ``order_by`` starts with ``ts`` and tells all events of a thread apart.
     """
     here = [thread, BUCKET]
     order = list(order_by)
     enters = F.col("kind") == "ENTER"
     inside = Window.partitionBy(*here).orderBy(*order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # The level before an ENTER and after a LEAVE, relative to the start of the span.
     leveled = (
         events.withColumn(BUCKET, time_bucket("ts", span_seconds))
         .withColumn("__delta", F.when(enters, 1).otherwise(-1))
-        .withColumn("__level", F.sum("__delta").over(inside) - enters.cast("int"))
+        .withColumn("__level", F.sum("__delta").over(so_far) - enters.cast("int"))
     )
     near = _pair_regions(leveled, Window.partitionBy(*here, "__level").orderBy(*order))
 
@@ -90,24 +92,19 @@ def region_latency(
     far = _pair_regions(edges, Window.partitionBy(thread, "__level").orderBy(*order))
 
     closed = absolute.where(~enters & F.col("__enter_ts").isNotNull())
-    closed = closed.unionByName(far.where(~enters & F.col("__enter_ts").isNotNull()))
-    level = F.col("__level").cast("bigint").alias("level")
+    crossing = far.where(F.when(enters, ~F.col("__left")).otherwise(F.col("__enter_ts").isNotNull()))
+
+    def regions(df: DataFrame) -> DataFrame:
+        return df.select(
+            thread,
+            F.when(enters, F.col("region")).otherwise(F.col("__enter_region")).alias("region"),
+            F.col("__level").cast("bigint").alias("level"),
+            F.when(enters, F.col("ts")).otherwise(F.col("__enter_ts")).alias("enter_ts"),
+            F.when(~enters, F.col("ts")).alias("leave_ts"),
+        )
+
     elapsed = (F.unix_micros("leave_ts") - F.unix_micros("enter_ts")) / 1e6
-    done = closed.select(
-        thread,
-        F.col("__enter_region").alias("region"),
-        level,
-        F.col("__enter_ts").alias("enter_ts"),
-        F.col("ts").alias("leave_ts"),
-    )
-    waiting = far.where(enters & ~F.col("__left")).select(
-        thread,
-        "region",
-        level,
-        F.col("ts").alias("enter_ts"),
-        F.lit(None).cast("timestamp").alias("leave_ts"),
-    )
-    return done.unionByName(waiting).withColumn("elapsed", elapsed)
+    return regions(closed).unionByName(regions(crossing)).withColumn("elapsed", elapsed)
 
 
 def _pair_regions(events: DataFrame, same_level: WindowSpec) -> DataFrame:

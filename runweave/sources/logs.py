@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runweave.functions.text import round_sig4
-from runweave.operators.logs import log_columns, log_query, log_series, series_x
+from runweave.operators.logs import log_columns, log_query, log_series, once, series_x
 from runweave.operators.rules import rule_column
 from runweave.schemas import LOG_LINE, LOGS, STRING, TRACE_NODE, VALUE_TYPE, WIRE_LOGS
 
@@ -109,13 +109,12 @@ def parse_json_log_lines(lines: DataFrame, logtype: str | None = None) -> DataFr
 
     ``logtype`` keeps one log format only.
     """
-    parsed = lines.select(
-        F.from_json(
-            "value",
-            LOG_LINE,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
-        ).alias("r")
-    ).select("r.*")
+    record = F.from_json(
+        "value",
+        LOG_LINE,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
+    )
+    parsed = once(lines, record=record).select("record.*")
     parsed = parsed.withColumn("timestamp", F.try_to_timestamp("timestamp"))
     if logtype is not None:
         parsed = parsed.where(
@@ -150,6 +149,6 @@ def read_trace_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_trace_lines(lines: DataFrame) -> DataFrame:
     """Lines (run_id, seq, value) as node updates; the text stays in ``json``."""
-    return lines.withColumn("node", F.from_json("value", TRACE_NODE)).select(
+    return once(lines, node=F.from_json("value", TRACE_NODE)).select(
         "run_id", "seq", "node.*", F.col("value").alias("json")
     )
