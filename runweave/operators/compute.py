@@ -86,13 +86,21 @@ def parallel_map(
     """``fn`` of every input, in input order: (index, value, error).
 
     A failing input reports its error and stops no other. ``workers`` is the number of parallel
-    parts; by default the table keeps its own, without a shuffle. There is no limit on inputs.
+    parts, by default the larger of the cores and the shuffle partitions. There is no limit on
+    inputs. The inputs are sorted, not the results: a sort samples what it sorts first, and ``fn``
+    would run twice.
     """
     if workers == 0 or workers < -1:
         raise ValueError("`workers` must be positive, or -1")
-    rows = inputs.select(index, input)
-    if workers > 0:
-        rows = rows.repartition(workers)
+    spark = inputs.sparkSession
+    if workers == -1:
+        shuffle_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        workers = max(spark.sparkContext.defaultParallelism, shuffle_partitions)
+    rows = (
+        inputs.select(index, input)
+        .repartitionByRange(workers, index)
+        .sortWithinPartitions(index)
+    )
 
     def attempt(value: Any) -> tuple[Any, str | None]:
         try:
@@ -112,8 +120,7 @@ def parallel_map(
             )
 
     kind = rows.schema[index].dataType.simpleString()
-    out = rows.mapInPandas(run, f"{index} {kind}, value {returns}, error string")
-    return out.orderBy(index)
+    return rows.mapInPandas(run, f"{index} {kind}, value {returns}, error string")
 
 
 def sequential(

@@ -152,6 +152,7 @@ def guard_completed(events: DataFrame, path: str, checkpoint: str) -> StreamingQ
     """
     def save(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()  # read three times below
         ended = batch.where(F.col("kind") == "end").select("tracker_id", F.col("ts").alias("end_ts"))
         ended.write.mode("overwrite").parquet(f"{path}/ends/{BATCH}={batch_id}")
         ends = (
@@ -163,6 +164,7 @@ def guard_completed(events: DataFrame, path: str, checkpoint: str) -> StreamingQ
         split = reject_after_completed(batch.where(F.col("kind") == "log"), ends)
         split.accepted.write.mode("overwrite").parquet(f"{path}/accepted/{BATCH}={batch_id}")
         split.quarantine.write.mode("overwrite").parquet(f"{path}/rejected/{BATCH}={batch_id}")
+        batch.unpersist()
 
     return (
         events.writeStream.foreachBatch(save)

@@ -96,3 +96,15 @@ def test_group_apply_hot_and_null_keys(spark, live):
         n, best = want.get(k, (0, ""))
         want[k] = (n + 1, max(best, w, key=lambda v: (len(v), v)))
     assert {r.k: (r.n, r.word) for r in got.collect()} == want
+
+
+def test_map_runs_each_input_once(spark):
+    ran = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        ran.add(1)
+        return x
+
+    got = C.parallel_map(spark.range(50).withColumn("x", F.col("id")), count, "x", "bigint", "id")
+    assert [r.id for r in got.collect()] == list(range(50))
+    assert ran.value == 50
