@@ -75,10 +75,12 @@ def with_previous(
     df = df.withColumn(BUCKET, bucket)
     inside = Window.partitionBy(*by, BUCKET).orderBy(*order_by)
     local = df.withColumn(name, F.lag(value).over(inside))
+    # One plain column keeps the aggregation hashed; a struct would have to be sorted.
+    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
     across = Window.partitionBy(*by).orderBy(BUCKET)
     carry = (
         df.groupBy(*by, BUCKET)
-        .agg(F.max_by(value, F.struct(*order_by)).alias("__last"))
+        .agg(F.max_by(value, order).alias("__last"))
         .withColumn("__carry", F.lag("__last").over(across))
     )
     return (
@@ -92,9 +94,9 @@ def hot_keys(df: DataFrame, on: Sequence[str], pieces: int) -> DataFrame:
     """Keys with more than 1/``pieces`` of the rows, so fewer than ``pieces`` keys, and in
     ``__salts`` how many average partitions each would fill.
 
-    Reads the key columns only and counts in the map tasks first.
+    Reads the key columns only and counts in the map tasks first. Rows without a key do not count.
     """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    counts = df.na.drop(subset=[*on]).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
     total = counts.agg(F.sum("__n")).scalar()
     share = F.col("__n") * pieces / total
     return counts.where(share > 1).select(*on, F.ceil(share).cast("int").alias("__salts"))

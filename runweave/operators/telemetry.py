@@ -145,8 +145,9 @@ def heartbeat_sessions(
 ) -> DataFrame:
     """Spans of liveness: beats no further apart than the timeout.
 
-    Sessions are built inside each time span first; only their start and end rows are then
-    merged per key. The end is the last beat plus the timeout, as session windows report it.
+    Sessions are built inside each time span first. Only the first and the last one of a span can
+    go on beyond it, so only those are merged per key: two rows per span however often a key falls
+    silent. The end is the last beat plus the timeout, as session windows report it.
     """
     timeout = int(timeout_seconds * 1_000_000)
     us = F.unix_micros("ts")
@@ -165,21 +166,33 @@ def heartbeat_sessions(
             F.count(F.lit(1)).alias("__beats"),
         )
     )
+    sessions_here = Window.partitionBy(by, BUCKET)
+    edge = (F.col("__s") == 1) | (F.col("__s") == F.max("__s").over(sessions_here))
+    local = local.withColumn("__edge", edge)
+
     across = Window.partitionBy(by).orderBy("__first")
     reopened = F.coalesce(
         (F.col("__first") - F.lag("__last").over(across) >= timeout).cast("int"), F.lit(1)
     )
-    return (
-        local.withColumn("__open", reopened)
+    merged = (
+        local.where("__edge")
+        .withColumn("__open", reopened)
         .withColumn("__session", F.sum("__open").over(across))
         .groupBy(by, "__session")
         .agg(
-            F.timestamp_micros(F.min("__first")).alias("session_start"),
-            F.timestamp_micros(F.max("__last") + timeout).alias("session_end"),
-            F.sum("__beats").alias("beats"),
+            F.min("__first").alias("__first"),
+            F.max("__last").alias("__last"),
+            F.sum("__beats").alias("__beats"),
         )
         .drop("__session")
     )
+    whole = local.where(~F.col("__edge")).select(by, "__first", "__last", "__beats")
+    return merged.unionByName(whole).select(
+        by,
+        F.timestamp_micros("__first").alias("session_start"),
+        F.timestamp_micros(F.col("__last") + timeout).alias("session_end"),
+        F.col("__beats").alias("beats"),
+    )
 
 
 def system_metrics(samples: DataFrame, gpus: Sequence[int] = ()) -> DataFrame:
