@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import simhash
+from runweave.llm import bpe, simhash
 from runweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,5 +20,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {"op5_simhash": op5_simhash}
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of the ids and of the decoded bytes of every document."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(encoded.drop("text"), ranks))
+
+
+QUERIES: dict[str, Query] = {"op5_simhash": op5_simhash, "op7_bpe": op7_bpe}
 ORACLE: dict[str, str] = {}
