@@ -8,12 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe, simhash
+from runweave.llm import bpe, quality, simhash
 from runweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of the fold that is held out teach nothing."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.classify(docs, labels, threshold=0.3)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, links at 4 bits or fewer."""
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), words=4, max_bits=4)
@@ -28,5 +34,5 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded.drop("text"), ranks))
 
 
-QUERIES: dict[str, Query] = {"op5_simhash": op5_simhash, "op7_bpe": op7_bpe}
+QUERIES: dict[str, Query] = {"op4_quality": op4_quality, "op5_simhash": op5_simhash, "op7_bpe": op7_bpe}
 ORACLE: dict[str, str] = {}
