@@ -52,3 +52,12 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
 def content_key(text: str = "text"):
     """128 bits that stand for a whole text; a null text counts as empty."""
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+
+#: A table of no more rows than this is sent to all executors; a larger one takes part in a shuffled join.
+SMALL_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its rows, counted, are few; ``df`` is cheap to count (stored)."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe, quality, simhash
+from runweave.llm import bpe, decontam, quality, simhash
 from runweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,5 +34,16 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded.drop("text"), ranks))
 
 
-QUERIES: dict[str, Query] = {"op4_quality": op4_quality, "op5_simhash": op5_simhash, "op7_bpe": op7_bpe}
-ORACLE: dict[str, str] = {}
+def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of 13-word windows of the benchmark in every document."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontam.contamination(docs, benchmark, width=13, share=20).drop("key")
+
+
+QUERIES: dict[str, Query] = {
+    "op4_quality": op4_quality,
+    "op5_simhash": op5_simhash,
+    "op7_bpe": op7_bpe,
+    "op9_decontam": op9_decontam,
+}
+ORACLE: dict[str, str] = {"op9_decontam": decontam.ORACLE_SQL}
