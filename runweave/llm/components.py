@@ -34,10 +34,10 @@ def _towards_least(edges: DataFrame, up: bool) -> DataFrame:
     return out.where("a < b").distinct()
 
 
-def components(pairs: DataFrame, names: DataFrame) -> DataFrame:
-    """``(node, component)`` for the nodes in ``pairs``: the least ``name`` in each component.
+def components(pairs: DataFrame) -> DataFrame:
+    """``(node, root)`` for the nodes in ``pairs``; ``root`` is the least node of the component.
 
-    ``pairs`` are ``(a, b)`` of ``bigint`` nodes, in any order; ``names`` are ``(node, name)``. Rounds of star
+    ``pairs`` are ``(a, b)`` of ``bigint`` nodes, in any order. Rounds of star
     contraction (each edge is drawn to the least node seen) until no edge changes; every round is
     written to the shared folder, so lineage stays short and lost executors cost nothing. Only
     two sums of a round come to the driver.
@@ -59,18 +59,4 @@ def components(pairs: DataFrame, names: DataFrame) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select("a").distinct().select(F.col("a").alias("node"), F.col("a").alias("root"))
-    member = edges.select(F.col("b").alias("node"), F.col("a").alias("root")).union(roots)
-    member = member.join(names, "node").select("node", "root", "name")
-    least = member.groupBy("root").agg(F.min("name").alias("component"))
-    return stored(member.join(least, "root").select("node", "component"), "components")
-
-
-def attach_components(rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """``component_id`` for rows of classes: ``classes`` are ``(fp, first)``, ``found`` speaks of ``fp``.
-
-    A class without links is a component of its own, named by its first row.
-    """
-    named = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("component", "first").alias("component_id")
-    )
-    return rows.join(named, "fp")
+    return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).union(roots)

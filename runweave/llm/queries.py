@@ -8,12 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe, decontam, quality, simhash
+from runweave.llm import bpe, decontam, pii, quality, simhash
 from runweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: The key of the registered queries; whoever publishes surrogates passes a secret one.
+PII_KEY = b"key of the registered queries"
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with surrogates for personal data, and how many it had."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs, PII_KEY)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of the fold that is held out teach nothing."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -41,6 +51,7 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_pii": op2_pii,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op7_bpe": op7_bpe,

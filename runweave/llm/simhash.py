@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runweave.llm.common import map_arrow, stored, text_batches
-from runweave.llm.components import attach_components, components
+from runweave.llm.common import content_key, map_arrow, stored, text_batches
+from runweave.llm.components import components
 from runweave.llm.xxh64 import slices_hash
 
 SEED = 42
@@ -60,7 +60,7 @@ def fingerprints_of(texts: list[str | None], words: int, seed: int = SEED) -> np
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """``(doc_id, fp bigint)`` of each row: the SimHash of its whole text.
+    """``(doc_id, key, fp bigint)`` of each row: the SimHash of its whole text; ``key`` stands for the text.
 
     A-Z become a-z; words lie between white space of ASCII; shingles are ``words`` words joined by one
     space, repeats counted, or the whole sequence where a text has fewer words. A bit is set if it
@@ -71,10 +71,12 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
         for batch in text_batches(batches, "text", 1 << 20):
             fps = fingerprints_of(batch.column("text").to_pylist(), words)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column("doc_id"), batch.column("key"), pa.array(fps.view(np.int64))],
+                names=["doc_id", "key", "fp"],
             )
 
-    return map_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text")), run, "doc_id bigint, fp bigint")
+    docs = docs.select(F.col("doc_id").cast("bigint"), content_key().alias("key"), "text")
+    return map_arrow(docs, run, "doc_id bigint, key binary, fp bigint")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -133,6 +135,14 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     return left.join(right, ["g", "cell"]).where(near).where(F.col("g") == first).select("a", "b")
 
 
+def _classes(docs: DataFrame, words: int, max_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with fingerprints, classes of equal ones, and the components that links make of these."""
+    rows = stored(fingerprints(docs, words), "simhash")
+    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
+    pairs = stored(links(classes.select("fp"), max_bits), "simhash-links")
+    return rows, classes, components(pairs)
+
+
 def simhash_components(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """``(doc_id, fp, component_id)``, one row per row of ``docs``.
 
@@ -141,8 +151,33 @@ def simhash_components(docs: DataFrame, words: int = 4, max_bits: int = 4) -> Da
     the name; a component of such rows only has a null name. Repeated rows all come back, an empty
     table gives an empty one, further columns of ``docs`` are not looked at.
     """
-    rows = stored(fingerprints(docs, words), "simhash")
-    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    pairs = stored(links(classes.select("fp"), max_bits), "simhash-links")
-    found = components(pairs, classes.select(F.col("fp").alias("node"), F.col("first").alias("name")))
-    return attach_components(rows, classes, found)
+    rows, classes, found = _classes(docs, words, max_bits)
+    # Classes without links are components of their own.
+    linked = found.join(classes.withColumnRenamed("fp", "node"), "node")
+    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = linked.join(least, "root").select(F.col("node").alias("fp"), "component_id")
+    alone = classes.join(found.select(F.col("node").alias("fp")), "fp", "left_anti")
+    named = named.union(alone.select("fp", F.col("first").alias("component_id")))
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row of ``docs`` for each component, all columns kept: that with the smallest doc_id.
+
+    A null id comes after all others, equal ids with different texts are told apart by the texts'
+    digests, and of rows that agree in both one stays.
+    """
+    rows, _, found = _classes(docs, words, max_bits)
+    each = rows.groupBy("fp", "doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    each = each.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "key", "n")
+    first = each.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(order).alias("first"))
+    first = stored(first.select("first.*"), "simhash-first")
+    mine = docs.withColumn("__key", content_key())
+
+    def of(firsts: DataFrame) -> DataFrame:
+        same = mine["doc_id"].cast("bigint").eqNullSafe(firsts["doc_id"]) & (mine["__key"] == firsts["key"])
+        return mine.join(firsts, same, "left_semi")
+
+    repeated = of(first.where("n > 1")).dropDuplicates(["doc_id", "__key"])
+    return of(first.where("n = 1")).union(repeated).drop("__key")
