@@ -9,9 +9,9 @@ without a pair left leave the matrix. Ranks come from a file in the ``tiktoken``
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,9 @@ from runweave.llm.common import text_batches
 NONE = np.iinfo(np.int32).max
 #: Widths of the matrices. Longer pieces, of which a matrix would be mostly width, use a heap.
 WIDTHS = (4, 6, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64, 96, 128)
+WIDTH_OF = [min(w for w in WIDTHS if n <= w) for n in range(WIDTHS[-1] + 1)]
 #: Rows of one matrix, and pieces that a worker remembers.
-ROWS, REMEMBERED = 1 << 12, 400_000
+ROWS, REMEMBERED = 1 << 12, 300_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -45,9 +46,9 @@ class Vocabulary:
                 token, rank = line.split()
                 ranks[base64.b64decode(token)] = int(rank)
         self.ranks = ranks
-        self.tokens = [b""] * (max(ranks.values()) + 1)
+        self.token = np.full(max(ranks.values()) + 1, None, object)
         for token, rank in ranks.items():
-            self.tokens[rank] = token
+            self.token[rank] = token
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.pairs = {}
         for token, rank in ranks.items():
@@ -94,15 +95,15 @@ class Vocabulary:
             at, keys, slot = at[on], keys[on], slot[on]
         return out
 
-    def encode_rows(self, pieces: list[bytes], width: int) -> list[tuple[int, ...]]:
-        """Ids of pieces of at most ``width`` bytes, all in one matrix."""
+    def encode_rows(self, pieces: list[bytes], width: int) -> list[bytes]:
+        """Ids, as the bytes of 32-bit numbers, of pieces of at most ``width`` bytes, all in one matrix."""
         n = len(pieces)
         raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8)
         ids = self.of_byte[raw.reshape(n, width)]
         length = np.fromiter(map(len, pieces), np.int64, n)
         ids[np.arange(width) >= length[:, None]] = -1
         rank = self.merged(ids[:, :-1].reshape(-1), ids[:, 1:].reshape(-1)).reshape(n, -1)
-        row, out = np.arange(n), [()] * n
+        row, out = np.arange(n), [b""] * n
         while len(row):
             width = ids.shape[1]
             each = np.arange(len(row))
@@ -110,9 +111,11 @@ class Vocabulary:
             best = rank[each, at]
             over = best == NONE
             if over.any():
-                held = (ids[over] >= 0).sum(axis=1)
-                for r, got, k in zip(row[over].tolist(), ids[over].tolist(), held.tolist()):
-                    out[r] = tuple(got[:k])
+                rest = ids[over]
+                ends = (4 * (rest >= 0).sum(axis=1) + 4 * width * np.arange(len(rest))).tolist()
+                rest = rest.tobytes()
+                for r, start, end in zip(row[over].tolist(), range(0, len(rest), 4 * width), ends):
+                    out[r] = rest[start:end]
                 on = ~over
                 ids, rank, row, at, best = ids[on], rank[on], row[on], at[on], best[on]
                 each = each[: len(row)]
@@ -122,8 +125,8 @@ class Vocabulary:
             gone.reshape(-1)[each * width + at + 1] = False
             ids = ids[gone].reshape(-1, width - 1)
             if width == 2:
-                for r, got in zip(row.tolist(), ids[:, 0].tolist()):
-                    out[r] = (got,)
+                for r, got in zip(row.tolist(), best):
+                    out[r] = got.tobytes()
                 break
             rank = rank[gone[:, 1:]].reshape(-1, width - 2)
             # New neighbours: of the merged token and what stands before it, and after it.
@@ -133,7 +136,7 @@ class Vocabulary:
             rank[has, at[has]] = self.merged(best[has], ids[has, at[has] + 1])
         return out
 
-    def encode_long(self, piece: bytes) -> tuple[int, ...]:
+    def encode_long(self, piece: bytes) -> bytes:
         """The same merges for a long piece, by a heap of (rank, place) over a linked list."""
         ids = self.of_byte[np.frombuffer(piece, np.uint8)].tolist()
         n, pairs = len(ids), self.pairs
@@ -153,19 +156,22 @@ class Vocabulary:
                     heapq.heappush(heap, (pairs[p], i))
             if (h := before[i]) >= 0 and (p := (ids[h], rank)) in pairs:
                 heapq.heappush(heap, (pairs[p], h))
-        return tuple(x for x in ids if x >= 0)
+        return np.array([x for x in ids if x >= 0], np.int32).tobytes()
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each piece."""
-        out: list[tuple[int, ...]] = [()] * len(pieces)
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes that token ids stand for."""
+        return b"".join(self.token[ids]) if len(ids) else b""
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece, as the bytes of 32-bit numbers."""
+        out = [b""] * len(pieces)
         buckets: dict[int, list[int]] = {}
         for i, piece in enumerate(pieces):
             whole = self.ranks.get(piece)
             if whole is not None:
-                out[i] = (whole,)
-            elif piece:
-                width = next((w for w in WIDTHS if len(piece) <= w), 0)
-                buckets.setdefault(width, []).append(i)
+                out[i] = whole.to_bytes(4, "little")
+            else:
+                buckets.setdefault(WIDTH_OF[len(piece)] if len(piece) <= WIDTHS[-1] else 0, []).append(i)
         for width, at in buckets.items():
             if not width:
                 for i in at:
@@ -189,9 +195,10 @@ class Encoder:
     def __init__(self, rank_file: bytes, pattern: str) -> None:
         self.vocabulary = vocabulary(rank_file)
         self.pieces = regex.compile(pattern)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Token ids of each text."""
         cut = [self.pieces.findall(t) if t else [] for t in texts]
         wanted = set().union(*cut)
         new = list(wanted - self.known.keys())
@@ -201,7 +208,7 @@ class Encoder:
         ids = self.vocabulary.encode_pieces([p.encode() for p in new])
         self.known.update(zip(new, ids))
         known = self.known.__getitem__
-        return [list(chain.from_iterable(map(known, pieces))) for pieces in cut]
+        return [np.frombuffer(b"".join(map(known, pieces)), np.int32) for pieces in cut]
 
 
 @lru_cache(maxsize=4)
@@ -209,6 +216,11 @@ def encoder(rank_file: bytes, pattern: str) -> Encoder:
     return Encoder(rank_file, pattern)
 
 
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
+    cuts = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+    return pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(ids)))
+
+
 def encode(
     docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text", ids: str = "ids"
 ) -> DataFrame:
@@ -223,8 +235,8 @@ def encode(
         own = encoder(rank_file, pattern)
         for batch in batches:
             for part in text_batches([batch], "__text"):
-                made = pa.array(own.encode(part.column("__text").to_pylist()), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], made], names=[*kept, ids])
+                made = own.encode(part.column("__text").to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], _lists(made)], names=[*kept, ids])
 
     df = docs.select(F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in kept])
     schema = T.StructType([*df.schema.fields[1:], T.StructField(ids, T.ArrayType(T.IntegerType()))])
@@ -239,11 +251,12 @@ def decode(df: DataFrame, rank_file: bytes, ids: str = "ids", decoded: str = "de
     kept = [c for c in df.columns if c != decoded]
 
     def run(batches):
-        tokens = vocabulary(rank_file).tokens
+        own = vocabulary(rank_file)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                made = [b"".join(map(tokens.__getitem__, x or ())) for x in part.column(0).to_pylist()]
+                lists = part.column(0)
+                made = [own.decode(lists[k].values.to_numpy() if lists[k].is_valid else []) for k in range(len(lists))]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], pa.array(made, pa.binary())], names=[*kept, decoded]
                 )
@@ -253,13 +266,30 @@ def decode(df: DataFrame, rank_file: bytes, ids: str = "ids", decoded: str = "de
     return df.mapInArrow(run, schema)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` from ``ids`` and ``decoded``, which go."""
-    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return encoded.withColumns(
-        {
-            "n_tokens": F.size("ids"),
-            "ids_sha256": F.sha2(listed.cast("binary"), 256),
-            "decoded_sha256": F.sha2(F.col("decoded"), 256),
-        }
-    ).drop("ids", "decoded")
+def digests(docs: DataFrame, rank_file: bytes, pattern: str, with_ids: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of each row: ``encode`` and ``decode`` in one pass.
+
+    ``with_ids`` adds the ids themselves in ``ids``.
+
+    The digests are those of the decimal ids joined by spaces and of the bytes decoded from the ids.
+    Null texts count as empty, see ``encode``.
+    """
+
+    def run(batches):
+        own = encoder(rank_file, pattern)
+        decimal = np.array([b"%d" % i for i in range(len(own.vocabulary.token))], object)
+        for batch in batches:
+            for part in text_batches([batch], "text", 1 << 20):
+                counts, ids_sha, decoded_sha = [], [], []
+                encoded = own.encode(part.column("text").to_pylist())
+                for ids in encoded:
+                    counts.append(len(ids))
+                    ids_sha.append(hashlib.sha256(b" ".join(decimal[ids])).hexdigest())
+                    decoded_sha.append(hashlib.sha256(own.vocabulary.decode(ids)).hexdigest())
+                made = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(decoded_sha)]
+                yield pa.RecordBatch.from_arrays([*made, *[_lists(encoded)] * with_ids], names=names)
+
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    schema += ", ids array<int>" * with_ids
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)

@@ -39,9 +39,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and of the decoded bytes of every document."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded.drop("text"), ranks))
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
