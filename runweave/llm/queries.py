@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe, decontam, pii, quality, simhash
+from runweave.llm import bpe, decontam, pii, quality, simhash, urls, vectors
 from runweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at a cosine of 0.95 or more, and the components they make, of every vector."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and of the decoded bytes of every document."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -48,11 +53,28 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(docs, benchmark, width=13, share=20).drop("key")
 
 
+#: Rules as (host, path, verdict); the longest that fits a url wins.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    labelled = spark.createDataFrame(urls.LABELLED, "url string, label int")
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, urls.train(labelled))
+
+
 QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
+    "op6_vectors": op6_vectors,
     "op7_bpe": op7_bpe,
     "op9_decontam": op9_decontam,
+    "op10_urls": op10_urls,
 }
 ORACLE: dict[str, str] = {"op9_decontam": decontam.ORACLE_SQL}
