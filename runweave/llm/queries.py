@@ -8,12 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe, decontam, pii, quality, simhash, urls, vectors
+from runweave.llm import bpe, decontam, pii, quality, simhash, urls, vectors, warc
 from runweave.llm.common import table
+from runweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record, equal payloads once, and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.page_records(table(spark, sf_dir, "pages"), least_bytes=0), path)
+    back = warc.read_warc(spark, path, payload="false").where(F.col("record_type").isin("response", "revisit"))
+    return back.select(
+        warc.page_id("record_id").alias("page_id"),
+        "payload_bytes",
+        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"),
+        "record_type",
+        warc.page_id("refers_to").alias("refers_to"),
+    )
+
+
 #: The key of the registered queries; whoever publishes surrogates passes a secret one.
 PII_KEY = b"key of the registered queries"
 
@@ -69,6 +84,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
     "op2_pii": op2_pii,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
@@ -77,4 +93,4 @@ QUERIES: dict[str, Query] = {
     "op9_decontam": op9_decontam,
     "op10_urls": op10_urls,
 }
-ORACLE: dict[str, str] = {"op9_decontam": decontam.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE_SQL, "op9_decontam": decontam.ORACLE_SQL}
