@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe, decontam, pii, quality, simhash, urls, vectors, warc
+from runweave.llm import bpe, decontam, pii, quality, simhash, tokens, urls, vectors, warc
 from runweave.llm.common import table
 from runweave.session import scratch_path
 
@@ -39,6 +39,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(docs, PII_KEY)
 
 
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of the head, tables and body of every document; one on a border goes where most of it is."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents")
+    parts = tokens.attribute(docs, ranks, public_tokenizers.PATTERN, "most", tokens.line_sections)
+    return tokens.by_kind(parts)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of the fold that is held out teach nothing."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -86,6 +94,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
+    "op3_tokens": op3_tokens,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op6_vectors": op6_vectors,
