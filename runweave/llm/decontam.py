@@ -144,9 +144,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
     )
     found = stored(found, "found")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", content_key().alias("key"))
+    suspects = small(found.select("key"))
     # Stored, so that the words of a document are cut once and not for each comparison.
     near = stored(
-        texts.join(found, "key").select("doc_id", "key", "found", words().alias("doc")), "suspects"
+        texts.join(suspects, "key", "left_semi").join(found, "key").select("doc_id", "key", "found", words().alias("doc")), "suspects"
     )
     near = near.withColumn(
         "hits", F.filter(F.transform("found", lambda x: _compared(x, F.col("doc"))), lambda x: F.size(x["hit"]) > 0)
@@ -159,7 +160,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
         F.size(F.array_distinct(F.flatten(F.transform("hits", lambda x: x["hit"])))).cast("bigint").alias("n_hit"),
         ids.alias("ids"),
     )
-    rest = index.where("term = 0").join(found.select("key"), "key", "left_anti")
+    rest = index.where("term = 0").join(suspects, "key", "left_anti")
     rest = rest.select(
         "doc_id",
         "key",
@@ -181,8 +182,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
 def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns kept; see ``contamination``."""
     judged = contamination(docs, benchmark, width, share)
-    bad = judged.where("contaminated").select(F.col("key").alias("__key")).distinct()
-    return docs.join(bad, content_key() == F.col("__key"), "left_anti")
+    bad = stored(judged.where("contaminated").select(F.col("key").alias("__key")).distinct(), "contaminated")
+    return docs.join(small(bad), content_key() == F.col("__key"), "left_anti")
 
 
 ORACLE_SQL = """
