@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe, decontam, pii, quality, simhash, tokens, urls, vectors, warc
+from runweave.llm import bpe, decontam, licenses, pii, quality, simhash, tokens, urls, vectors, warc
 from runweave.llm.common import table
 from runweave.session import scratch_path
 
@@ -70,6 +70,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document: id, license, containment and place."""
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.template_table(spark)).drop("key")
+
+
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of 13-word windows of the benchmark in every document."""
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op6_vectors": op6_vectors,
     "op7_bpe": op7_bpe,
+    "op8_licenses": op8_licenses,
     "op9_decontam": op9_decontam,
     "op10_urls": op10_urls,
 }
