@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runweave.llm.common import content_key, map_arrow, stored, text_batches
+from runweave.llm.common import content_key, map_arrow, small, stored, text_batches
 
 # --- fixed values: forms of address by gender, given names by gender and script ----
 TITLES = {
@@ -199,7 +199,13 @@ def _same_form(text: str, s: _Stream) -> str:
 
 def surrogate(kind: str, norm: str, attempt: int, key: bytes) -> str:
     """The normal form of the replacement of an entity: another value of the same kind."""
-    s = _Stream(key, kind, norm, attempt)
+    turn = 0
+    while (new := _drawn(kind, norm, attempt, _Stream(key, kind, norm, attempt, turn), key)) == norm:
+        turn += 1
+    return new
+
+
+def _drawn(kind: str, norm: str, attempt: int, s: _Stream, key: bytes) -> str:
     if kind == "email":
         local, _, domain = norm.partition("@")
         # One domain stays one domain; the reserved name keeps mail from real people.
@@ -347,7 +353,7 @@ def replace(docs: DataFrame, key: bytes, count: str | None = "n_entities") -> Da
     changes = stored(changes, "pii-changes")
     kept = [c for c in docs.columns if c != count]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], content_key().alias("__key"))
-    rows = rows.join(changes, "__key", "left").drop("__key")
+    rows = rows.join(small(changes), "__key", "left").drop("__key")
     fields = [rows.schema[c] for c in kept]
     place = kept.index("text")
 
