@@ -134,6 +134,22 @@ def round_sig4(values: pd.Series) -> pd.Series:
     return values.map(lambda v: float(f"{v:.4g}"), na_action="ignore")
 
 
+def round_sig4_float(col: str | Column) -> Column:
+    """:func:`round_sig4` of a ``float`` column, as double, without leaving the JVM.
+
+    A float widened to double has all its digits in the double's shortest text as far as it matters
+    here: a text that ends in a 5 right after the fourth digit is an exact tie, and goes to the even
+    neighbour; the formatter, which rounds such ties up, settles all others.
+    """
+    value = _c(col).cast("double")
+    digits = F.format_string("%.17e", value)
+    parts = r"^(-?\d\.\d{3})50{13}(e[+-]\d+)$"
+    even = F.regexp_like(digits, F.lit(r"^-?\d\.\d{2}[02468]50{13}e"))
+    cut = F.regexp_replace(digits, parts, "$1$2")
+    text = F.when(even, cut).otherwise(F.format_string("%.3e", value))
+    return F.when(value.isNotNull(), text).cast("double")
+
+
 def message_lines(col: str | Column) -> Column:
     """Lines of a message; a final line break ends the last line and opens none."""
     return F.split(F.regexp_replace(_c(col), r"\r?\n\z", ""), r"\r?\n")

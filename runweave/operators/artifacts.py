@@ -111,7 +111,8 @@ def has_files(refs: DataFrame, files: DataFrame) -> DataFrame:
 
 def delete_files(files: DataFrame, doomed: DataFrame) -> DataFrame:
     """The catalog without the listed keys (relic_id, name)."""
-    return files.join(doomed.select("relic_id", "name"), ["relic_id", "name"], "left_anti")
+    keys = ["relic_id", "name"]
+    return files.join(doomed.select(*keys).distinct(), keys, "left_anti")
 
 
 def ignore_pattern_column(pattern: str, path: str | Column) -> Column:

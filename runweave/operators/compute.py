@@ -9,10 +9,12 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -30,9 +32,17 @@ class Operator:
         return self.forward(df)
 
 
+def arrow_type(kind: T.DataType | str) -> pa.DataType:
+    """The Arrow type of a Spark type, given as such or as DDL."""
+    return to_arrow_type(kind if isinstance(kind, T.DataType) else T.DataType.fromDDL(kind))
+
+
 class ColumnOperator(Operator):
     """A function of one column's values, run on Arrow batches into a new column.
 
+    The function gets plain Python values: whole numbers stay whole and a null is ``None``, whatever
+    else the batch holds.
+
     ``target`` is a function of one value, or a class with ``forward(value)``, which is built
     once per task and not once per row.
     """
@@ -41,11 +51,15 @@ class ColumnOperator(Operator):
         self.target, self.input, self.output, self.returns = target, input, output, returns
 
     def forward(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.output, init_once_udf(self._build, self.returns)(self.input))
+        target, kind = self.target, arrow_type(self.returns)
 
-    def _build(self) -> Callable[[pd.Series], pd.Series]:
-        one = self.target().forward if isinstance(self.target, type) else self.target
-        return lambda values: values.map(one)
+        @F.arrow_udf(self.returns)
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            one = target().forward if isinstance(target, type) else target
+            for batch in batches:
+                yield pa.array([one(v) for v in batch.to_pylist()], kind)
+
+        return df.withColumn(self.output, run(self.input))
 
 
 def operator(
@@ -64,7 +78,11 @@ def operator(
 def init_once_udf(
     build: Callable[[], Callable[[pd.Series], pd.Series]], returns: T.DataType | str
 ) -> Callable[[str | Column], Column]:
-    """A column function whose heavy set-up, ``build``, runs once per task before its batches."""
+    """A column function whose heavy set-up, ``build``, runs once per task before its batches.
+
+    The built function gets Series as pandas makes them: where a batch has nulls, whole numbers are
+    floats there. :class:`ColumnOperator` hands over plain values instead.
+    """
 
     @F.pandas_udf(returns)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -108,19 +126,19 @@ def parallel_map(
         except Exception as error:  # noqa: BLE001
             return None, traceback.format_exception_only(error)[-1].strip()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    out = arrow_type(returns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [attempt(v) for v in batch[input]]
-            yield pd.DataFrame(
-                {
-                    index: batch[index],
-                    "value": pd.Series([d[0] for d in done], index=batch.index, dtype=object),
-                    "error": pd.Series([d[1] for d in done], index=batch.index, dtype=object),
-                }
+            done = [attempt(v) for v in batch.column(input).to_pylist()]
+            values = pa.array([d[0] for d in done], out)
+            errors = pa.array([d[1] for d in done], pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(index), values, errors], names=[index, "value", "error"]
             )
 
     kind = rows.schema[index].dataType.simpleString()
-    return rows.mapInPandas(run, f"{index} {kind}, value {returns}, error string")
+    return rows.mapInArrow(run, f"{index} {kind}, value {returns}, error string")
 
 
 def sequential(
@@ -179,7 +197,11 @@ def batch_infer(
 
 class Actor:
     """State kept per key. ``update`` folds rows in (column name to array), ``state`` and ``merge``
-    carry the state between tasks, ``result`` gives the output row."""
+    carry the state between tasks, ``result`` gives the output row.
+
+    Columns of numbers and booleans arrive as masked arrays of their own type, masked where they are
+    null; all others as arrays of plain values with ``None``. No type depends on what a batch holds.
+    """
 
     def update(self, rows: dict[str, np.ndarray]) -> None:
         raise NotImplementedError
@@ -194,15 +216,26 @@ class Actor:
         raise NotImplementedError
 
 
-def _rows_by_key(batch: pd.DataFrame, key: str) -> Iterator[tuple[Any, dict[str, np.ndarray]]]:
+def _to_array(column: pa.Array) -> np.ndarray:
+    kind = column.type
+    if pa.types.is_integer(kind) or pa.types.is_floating(kind) or pa.types.is_boolean(kind):
+        missing = column.is_null().to_numpy(zero_copy_only=False)
+        filled = column.fill_null(False if pa.types.is_boolean(kind) else 0)
+        return np.ma.MaskedArray(filled.to_numpy(zero_copy_only=False), missing)
+    out = np.empty(len(column), object)
+    out[:] = column.to_pylist()
+    return out
+
+
+def _rows_by_key(batch: pa.RecordBatch, key: str) -> Iterator[tuple[Any, dict[str, np.ndarray]]]:
     """Arrays of each key of a batch; a sort and slices, since a frame per key would cost more
     than most updates. Null keys form one group."""
-    codes, values = pd.factorize(batch[key], use_na_sentinel=False)
+    coded = batch.column(key).dictionary_encode("encode")
+    codes, values = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
     order = np.argsort(codes, kind="stable")
-    columns = {c: batch[c].to_numpy()[order] for c in batch.columns}
+    columns = {c: _to_array(batch.column(c))[order] for c in batch.schema.names}
     edges = np.searchsorted(codes[order], np.arange(len(values) + 1))
     for i, value in enumerate(values):
-        value = None if pd.isna(value) else value
         yield value, {c: a[edges[i] : edges[i + 1]] for c, a in columns.items()}
 
 
@@ -221,11 +254,16 @@ def group_apply(
     states early and goes on, so memory is bounded and no row is lost.
     """
     kind = df.schema[key].dataType.simpleString()
+    state_rows, result_rows = (
+        pa.schema([(f.name, arrow_type(f.dataType)) for f in T.StructType.fromDDL(f"{key} {kind}, {s}")])
+        for s in (state_schema, result_schema)
+    )
 
-    def states(live: dict[Any, Actor]) -> pd.DataFrame:
-        return pd.DataFrame([{key: k, **a.state()} for k, a in live.items()])
+    def states(live: dict[Any, Actor]) -> pa.RecordBatch:
+        rows = [{key: k, **a.state()} for k, a in live.items()]
+        return pa.RecordBatch.from_pylist(rows, schema=state_rows)
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         live: dict[Any, Actor] = {}
         for batch in batches:
             for value, rows in _rows_by_key(batch, key):
@@ -238,24 +276,24 @@ def group_apply(
         if live:
             yield states(live)
 
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # States arrive sorted by key, so one actor lives at a time.
         current, merged = None, None
         for batch in batches:
             done = []
-            for state in batch.to_dict("records"):
+            for state in batch.to_pylist():
                 value = state.pop(key)
-                value = None if pd.isna(value) else value
                 if merged is None or value != current:
                     if merged is not None:
                         done.append({key: current, **merged.result()})
                     current, merged = value, actor()
                 merged.merge(state)
             if done:
-                yield pd.DataFrame(done)
+                yield pa.RecordBatch.from_pylist(done, schema=result_rows)
         if merged is not None:
-            yield pd.DataFrame([{key: current, **merged.result()}])
+            last = [{key: current, **merged.result()}]
+            yield pa.RecordBatch.from_pylist(last, schema=result_rows)
 
-    partial = df.mapInPandas(fold, f"{key} {kind}, {state_schema}")
+    partial = df.mapInArrow(fold, f"{key} {kind}, {state_schema}")
     sorted_states = partial.repartition(F.col(key)).sortWithinPartitions(key)
-    return sorted_states.mapInPandas(merge, f"{key} {kind}, {result_schema}")
+    return sorted_states.mapInArrow(merge, f"{key} {kind}, {result_schema}")

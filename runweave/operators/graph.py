@@ -27,15 +27,15 @@ def node_source_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return hits.unionByName(lonely.withColumn("edge_id", F.lit(None).cast("string")))
 
 
-def tree_paths(edges: DataFrame, roots: DataFrame, max_depth: int = 64) -> DataFrame:
+def tree_paths(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Dotted path of every node below the roots, each node once, at its first visit in
     pre-order.
 
     ``edges``: parent, ord, name, child; ``roots``: node. The root's path is empty. Level by
     level: the nodes of a level meet the edges by key, and a level is written to the shared
     folder before the next, so plans stay short. ``ordinals`` sorts the nodes in pre-order; the
-    first visit is the path with the smallest ordinals. Deeper trees than ``max_depth`` are an
-    error, not a cut.
+    first visit is the path with the smallest ordinals. There is no limit of depth: a node is never
+    visited below itself, so the levels come to an end.
     """
     level = roots.select(
         "node",
@@ -44,7 +44,7 @@ def tree_paths(edges: DataFrame, roots: DataFrame, max_depth: int = 64) -> DataF
         F.array("node").alias("trail"),
     )
     found = [level]
-    for _ in range(max_depth):
+    while True:
         below = (
             edges.join(level.withColumnRenamed("node", "parent"), "parent")
             .where(~F.array_contains("trail", F.col("child")))
@@ -61,8 +61,6 @@ def tree_paths(edges: DataFrame, roots: DataFrame, max_depth: int = 64) -> DataF
         if level.isEmpty():
             break
         found.append(level)
-    else:
-        raise ValueError(f"tree is deeper than {max_depth} levels")
     every = found[0]
     for part in found[1:]:
         every = every.unionByName(part)

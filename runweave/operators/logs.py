@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Sequence
 from datetime import datetime
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runweave.operators.ordered import HOUR, spread_join, time_bucket, with_ordinal
+from runweave.operators.ordered import HOUR, time_bucket, with_ordinal
 from runweave.operators.paging import page_offset
 from runweave.schemas import KEY_PATTERN, KEY_SEPARATOR, NUMBER, STRING
 
@@ -27,6 +29,21 @@ class Split(NamedTuple):
     quarantine: DataFrame
 
 
+def halves(checked: DataFrame) -> Split:
+    """Two views of a table with ``problems``; each of them reads the table.
+
+    To store both, write the one table: :func:`write_checked`.
+    """
+    clean = F.size("problems") == 0
+    return Split(checked.where(clean).drop("problems"), checked.where(~clean))
+
+
+def write_checked(checked: DataFrame, path: str) -> None:
+    """Append accepted and rejected rows to their own folders below ``path``, in one pass."""
+    state = F.when(F.size("problems") == 0, "accepted").otherwise("rejected")
+    checked.withColumn("state", state).write.mode("append").partitionBy("state").parquet(path)
+
+
 # --- nested records to flat keys ------------------------------------------------
 
 
@@ -68,30 +85,90 @@ def _open_objects(entries: Column) -> Column:
     return F.flatten(F.transform(entries, opened))
 
 
-def flat_entries(payload: str | Column, max_depth: int = 8) -> Column:
+# Levels that expressions open; deeper records, which are rare, take a batch function without a limit.
+SHALLOW = 3
+LEAVES = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("key", T.StringType()),
+            T.StructField("number", T.FloatType()),
+            T.StructField("text", T.StringType()),
+            T.StructField("problem", T.StringType()),
+        ]
+    )
+)
+
+
+def flat_entries(payload: str | Column) -> Column:
     """Leaves of the JSON object in ``payload``, as
     ``array<struct<key, number, text, problem>>``; null when the text is no JSON object.
 
     Keys are joined with dots; lists are leaves; empty objects vanish. A leaf has a number
     (float32) or a text, or a ``problem``: the separator in a key's own name, a character that
-    keys may not have, or a value that is neither. A record opens no more levels than its text
-    has braces, so flat records pay for one. Objects below ``max_depth`` are leaves with a
-    problem: nothing is lost silently.
+    keys may not have, or a value that is neither. Records of any depth are opened: a record has
+    no more levels than its text has braces, so few braces go through expressions, and only the
+    texts with more are sent to Python, in Arrow batches.
     """
     text = F.col(payload) if isinstance(payload, str) else payload
     braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
     entries = _root_entries(F.try_parse_json(text))
-    by_depth = [(1, entries)]
-    for depth in range(2, max_depth + 1):
+    flat = braces <= 1
+    chosen = F.when(flat, F.transform(entries, _leaf))
+    for _ in range(1, SHALLOW):
         entries = _open_objects(entries)
-        if depth in (2, 4) or depth == max_depth:
-            by_depth.append((depth, entries))
-    chosen: Column | None = None
-    for depth, column in by_depth[:-1]:
-        fits = braces <= depth
-        chosen = F.when(fits, column) if chosen is None else chosen.when(fits, column)
-    deepest = by_depth[-1][1]
-    return F.transform(deepest if chosen is None else chosen.otherwise(deepest), _leaf)
+    chosen = chosen.when(braces <= SHALLOW, F.transform(entries, _leaf))
+    return chosen.otherwise(_deep_entries(F.when(braces > SHALLOW, text)))
+
+
+def _unique(pairs: list[tuple[str, Any]]) -> dict[str, Any]:
+    out = dict(pairs)
+    if len(out) < len(pairs):
+        raise ValueError("a key occurs twice")
+    return out
+
+
+def _no_constant(name: str) -> None:
+    raise ValueError(f"{name} is no JSON")
+
+
+def leaves_of(text: str | None) -> list[dict[str, Any]] | None:
+    """Leaves of one JSON object of any depth, in the order and form of :func:`flat_entries`."""
+    if text is None:
+        return None
+    try:
+        root = json.loads(text, object_pairs_hook=_unique, parse_constant=_no_constant)
+    except (ValueError, RecursionError):
+        return None
+    if not isinstance(root, dict):
+        return None
+    out, left = [], [("", "", root, False)]
+    while left:
+        key, own, value, dotted = left.pop()
+        if isinstance(value, dict):
+            dotted = dotted or KEY_SEPARATOR in own
+            prefix = f"{key}{KEY_SEPARATOR}" if key or own else ""
+            left.extend((prefix + k, k, value[k], dotted) for k in sorted(value, reverse=True))
+            continue
+        number = isinstance(value, (int, float)) and not isinstance(value, bool)
+        problem = None
+        if dotted or KEY_SEPARATOR in own:
+            problem = f"separator in key: {key}"
+        elif not re.match(KEY_PATTERN, key):
+            problem = f"invalid key: {key}"
+        elif not number and not isinstance(value, str):
+            problem = f"invalid type: {key}"
+        try:
+            as_number = float(value) if number else None
+        except OverflowError:
+            as_number = float("inf") if value > 0 else float("-inf")
+        text = value if isinstance(value, str) else None
+        out.append({"key": key, "number": as_number, "text": text, "problem": problem})
+    return out
+
+
+@F.pandas_udf(LEAVES)
+def _deep_entries(texts: pd.Series) -> pd.Series:
+    return texts.map(leaves_of, na_action="ignore")
 
 
 def _leaf(e: Column) -> Column:
@@ -115,9 +192,10 @@ def valid_key(key: Column) -> Column:
     return key.rlike("(?d)" + KEY_PATTERN)
 
 
-def flatten_log(df: DataFrame, payload: str, keep: Sequence[str], max_depth: int = 8) -> DataFrame:
+def flatten_log(df: DataFrame, payload: str, keep: Sequence[str]) -> DataFrame:
     """One row per leaf of the JSON text in ``payload``: ``keep``, key, number, text, problem."""
-    return df.select(*keep, F.inline(flat_entries(payload, max_depth)))
+    opened = df.withColumn("__entries", flat_entries(payload))
+    return opened.select(*keep, F.inline("__entries"))
 
 
 def flatten_columns(schema: T.StructType, sep: str = KEY_SEPARATOR) -> list[tuple[str, Column]]:
@@ -143,13 +221,11 @@ def flatten_columns(schema: T.StructType, sep: str = KEY_SEPARATOR) -> list[tupl
     return out
 
 
-def validate_keys(df: DataFrame, key: str = "key") -> Split:
-    """Rows with loggable keys, and the others."""
+def validate_keys(df: DataFrame, key: str = "key") -> DataFrame:
+    """All rows with ``problems``: empty for a loggable key. One pass; see :func:`halves`."""
     ok = F.coalesce(valid_key(F.col(key)), F.lit(False))
-    bad = df.where(~ok).withColumn(
-        "problems", F.array(F.concat(F.lit("invalid key: "), F.coalesce(key, F.lit("null"))))
-    )
-    return Split(df.where(ok), bad)
+    problem = F.concat(F.lit("invalid key: "), F.coalesce(key, F.lit("null")))
+    return df.withColumn("problems", F.array_compact(F.array(F.when(~ok, problem))))
 
 
 def split_by_type(entries: str | Column) -> tuple[Column, Column]:
@@ -162,16 +238,17 @@ def split_by_type(entries: str | Column) -> tuple[Column, Column]:
     return pairs("number"), pairs("text")
 
 
-def append_logs(df: DataFrame, payload: str = "payload", max_depth: int = 8) -> Split:
-    """Turn JSON payloads into LOGS rows; whole records with any bad key or value are set aside.
+def append_logs(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Turn JSON payloads into LOGS rows; whole records with any bad key or value have ``problems``.
 
     Needs ``project_id``, ``tracker_id``, ``ts`` and ``payload``; a missing or empty ``log_id``
-    is replaced by a new one. Narrow: no shuffle.
+    is replaced by a new one. A record with problems keeps its payload and has null maps; the
+    payload of an accepted one is null. Narrow and one pass: no shuffle, one scan.
     """
     if "log_id" not in df.columns:
         df = df.withColumn("log_id", F.lit(None).cast("string"))
     checked = once(
-        once(df, entries=flat_entries(payload, max_depth)),
+        df.withColumn("entries", flat_entries(payload)),
         problems=F.coalesce(
             F.array_compact(F.transform("entries", lambda e: e["problem"])),
             F.array(F.lit("not a JSON object")),
@@ -180,13 +257,14 @@ def append_logs(df: DataFrame, payload: str = "payload", max_depth: int = 8) ->
     clean = F.size("problems") == 0
     number, text = split_by_type("entries")
     carried = [c for c in df.columns if c not in (payload, "log_id")]
-    accepted = checked.where(clean).select(
+    return checked.select(
         *carried,
         F.coalesce(F.nullif("log_id", F.lit("")), F.uuid()).alias("log_id"),
-        number.alias("number"),
-        text.alias("text"),
+        F.when(clean, number).alias("number"),
+        F.when(clean, text).alias("text"),
+        F.when(~clean, F.col(payload)).alias(payload),
+        "problems",
     )
-    return Split(accepted, checked.where(~clean).select(*df.columns, "problems"))
 
 
 def append_struct_logs(df: DataFrame, value_columns: Sequence[str]) -> DataFrame:
@@ -219,9 +297,14 @@ def _dense_map(pairs: Sequence[tuple[str, Column]], value_type: str) -> Column:
 
 
 def write_logs(logs: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
-    """Append to a LOGS table; each task writes its own files, so a hot project needs no shuffle."""
+    """Append to a LOGS table, a folder per project.
+
+    The rebalance brings the rows of small projects together, so that files do not number tasks times
+    projects, and splits a hot project over as many tasks as its size asks for.
+    """
     (
-        logs.write.mode("append")
+        logs.hint("rebalance", F.col("project_id"))
+        .write.mode("append")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("project_id")
         .parquet(path)
@@ -233,9 +316,9 @@ def write_logs(logs: DataFrame, path: str, max_records_per_file: int = 5_000_000
 
 def check_window(after: datetime | None, before: datetime | None, limit: int) -> None:
     if after is not None and before is not None and after > before:
-        raise ValueError("`after` date cannot be greater than `before` date")
+        raise ValueError(f"the time window is empty: it opens at {after} and closes at {before}")
     if limit < 0:
-        raise ValueError("`limit` cannot be negative")
+        raise ValueError(f"a limit of {limit} records makes no sense; 0 stands for all")
 
 
 def log_query(
@@ -377,11 +460,13 @@ def logged_elements(logs: DataFrame) -> DataFrame:
     return logs.groupBy("tracker_id").agg(F.count(F.lit(1)).alias("total_logged_elements"))
 
 
-def reject_after_completed(logs: DataFrame, ends: DataFrame) -> Split:
-    """Set aside records later than their tracker's ``end_ts`` (``ends``: tracker_id, end_ts)."""
-    joined = spread_join(logs, ends, ["tracker_id"], ["log_id"])
+def reject_after_completed(logs: DataFrame, ends: DataFrame) -> DataFrame:
+    """All records with ``problems``: not empty for one later than its tracker's ``end_ts``.
+
+    ``ends`` (tracker_id, end_ts) has one row per tracker, so one left join will do: Spark broadcasts
+    ends that it has measured to be small, and splits a hot tracker's records otherwise.
+    """
     late = F.coalesce(F.col("ts") > F.col("end_ts"), F.lit(False))
-    rejected = joined.where(late).withColumn(
-        "problems", F.array(F.lit("tracker is completed"))
-    )
-    return Split(joined.where(~late).drop("end_ts"), rejected.drop("end_ts"))
+    problem = F.when(late, F.lit("tracker is completed"))
+    joined = logs.join(ends.select("tracker_id", "end_ts"), "tracker_id", "left")
+    return joined.withColumn("problems", F.array_compact(F.array(problem))).drop("end_ts")

@@ -88,4 +88,4 @@ def register_rows(
 
 def delete_rows(base: DataFrame, doomed: DataFrame, key: str = "id") -> DataFrame:
     """The table without the listed ids. Write it to a new path; a source is never overwritten."""
-    return base.join(doomed.select(key), key, "left_anti")
+    return base.join(doomed.select(key).distinct(), key, "left_anti")

@@ -70,7 +70,7 @@ def map_progress(runs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def runs_in_invocation(runs: DataFrame, invocation: DataFrame) -> DataFrame:
     """Runs whose id is in the invocation's id table (run_id)."""
-    return runs.join(invocation.select("run_id"), "run_id", "left_semi")
+    return runs.join(invocation.select("run_id").distinct(), "run_id", "left_semi")
 
 
 def outputs_ready(tags: DataFrame, files: DataFrame) -> DataFrame:

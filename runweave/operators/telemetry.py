@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import string
+import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from runweave.operators.ordered import BUCKET, HOUR, time_bucket, with_previous
@@ -20,11 +20,8 @@ def request_filter(requests: DataFrame) -> DataFrame:
 
 def template_pattern(template: str) -> str:
     """Regular expression of a path template: each ``{name}`` is one word, the rest as written."""
-    body = "".join(
-        literal + (r"\w+" if field is not None else "")
-        for literal, field, _, _ in string.Formatter().parse(template)
-    )
-    return f"(?dU)^{body}$"
+    fixed = re.split(r"\{[^{}]*\}", template)
+    return r"(?dU)^" + r"\w+".join(fixed) + "$"
 
 
 def route_match(requests: DataFrame, templates: Sequence[str], path: str = "path") -> DataFrame:
@@ -196,15 +193,30 @@ def heartbeat_sessions(
 
 
 def system_metrics(samples: DataFrame, gpus: Sequence[int] = ()) -> DataFrame:
-    """One row per (host, ts): mean CPU use, memory in whole MB, and each GPU's use."""
-    gpu_columns = [
-        F.max(F.when(F.col("gpu") == i, F.col("gpu_usage"))).alias(f"gpu-{i}_usage") for i in gpus
-    ]
-    return samples.groupBy("host", "ts").agg(
-        F.avg("cpu_usage").alias("cpu_usage"),
-        F.floor(F.max("memory_bytes") / (1024 * 1024)).cast("bigint").alias("memory_usage_mb"),
-        *gpu_columns,
-    )
+    """One row per (host, ts): mean CPU use, memory in whole MB, and each GPU's use.
+
+    Samples may also have ``memory_available_bytes``, ``memory_percent`` and ``disk_percent``, and of
+    GPUs ``gpu_memory_free_bytes`` and ``gpu_memory_used_bytes``; those that they have are reported.
+    """
+    has = samples.columns
+
+    def megabytes(column: Column | str) -> Column:
+        return F.call_function("div", F.max(column), F.lit(1024 * 1024))
+
+    columns = [F.avg("cpu_usage").alias("cpu_usage"), megabytes("memory_bytes").alias("memory_usage_mb")]
+    if "memory_available_bytes" in has:
+        columns.append(megabytes("memory_available_bytes").alias("memory_available_mb"))
+    for source, name in (("memory_percent", "memory_percentage"), ("disk_percent", "disk_utilisation")):
+        if source in has:
+            columns.append(F.max(source).alias(name))
+    for i in gpus:
+        mine = F.col("gpu") == i
+        columns.append(F.max(F.when(mine, F.col("gpu_usage"))).alias(f"gpu-{i}_usage"))
+        for source, name in (("free", "available"), ("used", "usage")):
+            if f"gpu_memory_{source}_bytes" in has:
+                value = F.when(mine, F.col(f"gpu_memory_{source}_bytes"))
+                columns.append(megabytes(value).alias(f"gpu-{i}_memory_{name}_mb"))
+    return samples.groupBy("host", "ts").agg(*columns)
 
 
 def downsample(
@@ -226,7 +238,9 @@ def dedupe_retries(logs: DataFrame, value_columns: Sequence[str]) -> DataFrame:
 
     The copies of an id are reduced in each map task, so many copies of one id cost one row each.
     """
-    first = F.min(F.struct("ts", *value_columns))
+    row = F.struct("ts", *value_columns)
+    # The text of a row orders copies of one time, for maps have no order of their own.
+    first = F.min_by(row, F.struct("ts", F.to_json(row).alias("tie")))
     return logs.groupBy("log_id").agg(first.alias("r")).select("log_id", "r.*")
 
 

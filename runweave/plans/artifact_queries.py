@@ -12,12 +12,6 @@ MIME = {".html": "text/html", ".json": "application/json", ".txt": "text/plain"}
 PATTERNS = ["/fr/", "*example.net*", "66"]
 
 
-@query("scan_files")
-def scan_files(spark, sf_dir):
-    """The test tables' own files: path, length and time, no content read."""
-    return S.scan_files(spark, sf_dir, [".parquet", "s.parquet"])
-
-
 @query(
     "catalog_files",
     """select trim(regexp_replace(url, '[?#].*$', ''), './') as name, 'me' as username,

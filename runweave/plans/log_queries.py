@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from runweave.operators import logs as L
 from runweave.plans import views as V
 from runweave.plans.registry import query
+from runweave.session import scratch_path
 from runweave.sources import logs as S
 
 SERIES_SQL = """
@@ -48,7 +49,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
               cast(props_k as double) as props_k, event_type from {logs}""",
 )
 def read_logs(spark, sf_dir):
-    """Wire records (parallel arrays) read into maps."""
+    """Wire records (parallel arrays) read from files into maps, stored as LOGS and read again."""
     flat = V.view(spark, sf_dir, "logs")
     wire = flat.select(
         F.lit("w").alias("workspace_id"),
@@ -61,7 +62,10 @@ def read_logs(spark, sf_dir):
         F.array(F.lit("event_type")).alias("text_keys"),
         F.array("event_type").alias("text_values"),
     )
-    out = S.logs_from_wire(wire)
+    path = scratch_path(spark, "wire")
+    wire.write.json(f"{path}/wire")
+    L.write_logs(S.read_wire_logs(spark, f"{path}/wire"), f"{path}/logs")
+    out = S.read_logs(spark, f"{path}/logs")
     return out.select(
         "project_id",
         "tracker_id",
@@ -88,26 +92,18 @@ def read_logs(spark, sf_dir):
 )
 def append_logs(spark, sf_dir):
     """Nested JSON records split into accepted LOGS rows and a quarantine."""
-    split = L.append_logs(payloads(spark, sf_dir))
-    accepted = split.accepted.select(
+    path = scratch_path(spark, "append-logs")
+    L.write_checked(L.append_logs(payloads(spark, sf_dir)), path)
+    rejected = F.size("problems") > 0
+    return spark.read.parquet(path).select(
         "log_id",
         "tracker_id",
-        F.lit("accepted").alias("state"),
+        F.when(rejected, "quarantine").otherwise(F.col("state")).alias("state"),
         F.col("number")["m.value"].cast("double").alias("value"),
         F.col("number")["m.props.k"].cast("double").alias("props_k"),
         F.col("text")["kind"].alias("kind"),
-        F.lit(None).cast("string").alias("problem"),
+        F.when(rejected, F.array_join("problems", "; ")).alias("problem"),
     )
-    quarantine = split.quarantine.select(
-        "log_id",
-        "tracker_id",
-        F.lit("quarantine").alias("state"),
-        F.lit(None).cast("double").alias("value"),
-        F.lit(None).cast("double").alias("props_k"),
-        F.lit(None).cast("string").alias("kind"),
-        F.array_join("problems", "; ").alias("problem"),
-    )
-    return accepted.unionByName(quarantine)
 
 
 @query(
@@ -133,18 +129,16 @@ def flatten_log(spark, sf_dir):
     "validate_keys",
     """select doc_id, key, regexp_full_match(key, '[a-zA-Z0-9_.-]+\\n?') as valid
        from (select doc_id, concat(lang, '.', source) as key from documents
-             union all select doc_id, substr(text, 1, 12) from documents) t""",
+             union all select doc_id, text from documents) t""",
 )
 def validate_keys(spark, sf_dir):
     """Keys drawn from document sources and from their prose."""
     docs = V.table(spark, sf_dir, "documents")
     keys = docs.select("doc_id", F.concat_ws(".", "lang", "source").alias("key")).unionAll(
-        docs.select("doc_id", F.substring("text", 1, 12).alias("key"))
-    )
-    split = L.validate_keys(keys)
-    return split.accepted.withColumn("valid", F.lit(True)).unionByName(
-        split.quarantine.drop("problems").withColumn("valid", F.lit(False))
+        docs.select("doc_id", F.col("text").alias("key"))
     )
+    checked = L.validate_keys(keys)
+    return checked.select("doc_id", "key", (F.size("problems") == 0).alias("valid"))
 
 
 @query(
@@ -157,7 +151,7 @@ def validate_keys(spark, sf_dir):
 )
 def split_by_type(spark, sf_dir):
     """Flat entries split into a number map and a text map."""
-    entries = L.once(payloads(spark, sf_dir), entries=L.flat_entries("payload"))
+    entries = payloads(spark, sf_dir).withColumn("entries", L.flat_entries("payload"))
     number, text = L.split_by_type("entries")
     maps = entries.select("log_id", number.alias("number"), text.alias("text"))
     return maps.select(
@@ -302,10 +296,8 @@ def reject_after_completed(spark, sf_dir):
         .groupBy("tracker_id")
         .agg(F.max("ts").alias("end_ts"))
     )
-    split = L.reject_after_completed(logs.select("tracker_id", "log_id", "ts"), ends)
-    return split.accepted.select("log_id", F.lit(False).alias("rejected")).unionAll(
-        split.quarantine.select("log_id", F.lit(True).alias("rejected"))
-    )
+    checked = L.reject_after_completed(logs.select("tracker_id", "log_id", "ts"), ends)
+    return checked.select("log_id", (F.size("problems") > 0).alias("rejected"))
 
 
 @query(
@@ -314,11 +306,11 @@ def reject_after_completed(spark, sf_dir):
        from {logs} where project_id = 'p2' and ts > timestamp '2024-01-10 00:00:00'""",
 )
 def export_dataset(spark, sf_dir):
-    """Records picked by a log request, as exported."""
-    picked = S.select_dataset(
-        V.logs(spark, sf_dir),
-        log_request={"project_id": "p2", "after": datetime(2024, 1, 10)},
-    )
+    """Records picked by a log request, exported as JSON lines and read back."""
+    path = scratch_path(spark, "dataset")
+    logs = V.logs(spark, sf_dir)
+    S.export_dataset(logs, path, log_request={"project_id": "p2", "after": datetime(2024, 1, 10)})
+    picked = spark.read.schema(logs.schema).json(path)
     return picked.select(
         "log_id",
         "tracker_id",

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,19 +12,6 @@ from runweave.session import scratch_path
 from runweave.streaming import live as S
 
 
-@contextmanager
-def _few_local_states(spark: SparkSession) -> Iterator[None]:
-    """On a local master, as many state stores as cores; a cluster keeps its own setting."""
-    key, local = "spark.sql.shuffle.partitions", spark.sparkContext.master.startswith("local")
-    before = spark.conf.get(key)
-    if local:
-        spark.conf.set(key, spark.sparkContext.defaultParallelism)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = V.table(spark, sf_dir, "events").schema
     return S.stream_logs(spark, sf_dir, schema, glob="events.parquet").withColumn(
@@ -48,15 +32,13 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _appended(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
-    with _few_local_states(spark):
-        S.append_stream(df, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    S.append_stream(df, f"{path}/table", f"{path}/checkpoint").awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{path}/table")
 
 
 def _updated(spark: SparkSession, df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     path = scratch_path(spark, name)
-    with _few_local_states(spark):
-        S.update_stream(df, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    S.update_stream(df, f"{path}/table", f"{path}/checkpoint").awaitTermination()
     return S.current_rows(spark, f"{path}/table", keys)
 
 
@@ -180,13 +162,9 @@ def guard_completed(spark, sf_dir):
     kind = F.when(F.col("event_type") == "purchase", "end").otherwise("log")
     events = _stream(spark, sf_dir).select("tracker_id", "log_id", "ts", kind.alias("kind"))
     path = scratch_path(spark, "guard")
-    with _few_local_states(spark):
-        S.guard_completed(events, f"{path}/table", f"{path}/checkpoint").awaitTermination()
-    accepted = spark.read.parquet(f"{path}/table/accepted")
-    rejected = spark.read.parquet(f"{path}/table/rejected")
-    return accepted.select("tracker_id", "log_id", F.lit(False).alias("rejected")).unionAll(
-        rejected.select("tracker_id", "log_id", F.lit(True).alias("rejected"))
-    )
+    S.guard_completed(events, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    rows = S.guarded_rows(spark, f"{path}/table")
+    return rows.select("tracker_id", "log_id", (F.size("problems") > 0).alias("rejected"))
 
 
 @query(

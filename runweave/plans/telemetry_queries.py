@@ -135,10 +135,11 @@ def downsample(spark, sf_dir):
 )
 def dedupe_retries(spark, sf_dir):
     """Every tenth record was sent twice; each is kept once."""
-    logs = V.view(spark, sf_dir, "logs").select("tracker_id", "log_id", "ts", "value")
+    logs = V.logs(spark, sf_dir)
     sent_again = logs.where(F.col("log_id").endswith("0"))
-    kept = T.dedupe_retries(logs.unionByName(sent_again), ["tracker_id", "value"])
-    return kept.withColumn("value", F.col("value").cast("double"))
+    kept = T.dedupe_retries(logs.unionByName(sent_again), ["tracker_id", "number", "text"])
+    value = F.col("number")["value"].cast("double")
+    return kept.select("log_id", "ts", "tracker_id", value.alias("value"))
 
 
 @query(

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.functions.text import round_sig4
+from runweave.functions.text import round_sig4_float
 from runweave.operators.logs import log_columns, log_query, log_series, once, series_x
 from runweave.operators.rules import rule_column
 from runweave.schemas import LOG_LINE, LOGS, STRING, TRACE_NODE, VALUE_TYPE, WIRE_LOGS
@@ -70,9 +70,7 @@ def dataset_completed(spark: SparkSession, path: str) -> bool:
 def log_columns_json(logs: DataFrame, chunk_rows: int = 1000) -> DataFrame:
     """Record columns as JSON text: keys sorted, defaults left out, enums as names, numbers to
     four significant digits. One row per column chunk."""
-    series = log_series(logs).withColumn(
-        "number", round_sig4(F.col("number").cast("double"))
-    )
+    series = log_series(logs).withColumn("number", round_sig4_float("number"))
     columns = log_columns(series_x(series), chunk_rows)
     names = F.create_map(*[F.lit(x) for pair in VALUE_TYPE.items() for x in pair])
     is_text = F.col("value_type") == STRING
@@ -98,10 +96,12 @@ def log_columns_json(logs: DataFrame, chunk_rows: int = 1000) -> DataFrame:
 
 
 def export_log_columns_json(logs: DataFrame, path: str, **request: Any) -> None:
-    """Write the answer of a log query as one JSON text per record column."""
-    request.setdefault("limit", 100)
-    out = log_columns_json(log_query(logs, **request))
-    out.orderBy("tracker_id", "key", "chunk").select("json").write.text(path)
+    """Write the answer of a log query as one JSON text per chunk of a record column.
+
+    Every record that the request asks for: a limit is the caller's own. Chunks lie in no order
+    across files, since a sort would move all the text once more.
+    """
+    log_columns_json(log_query(logs, **request)).select("json").write.text(path)
 
 
 def parse_json_log_lines(lines: DataFrame, logtype: str | None = None) -> DataFrame:

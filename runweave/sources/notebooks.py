@@ -12,16 +12,23 @@ from pyspark.sql import types as T
 
 from runweave.operators.ordered import with_ordinal
 
-NOTEBOOK = "cells array<struct<cell_type:string,source:array<string>>>"
+NOTEBOOK = "cells array<struct<cell_type:string,source:variant>>"
 
 
 def read_notebooks(spark: SparkSession, path: str) -> DataFrame:
-    """One row per cell of every notebook file: nb, cell, cell_type, source."""
+    """One row per cell of every notebook file: nb, cell, cell_type, source.
+
+    The format has a source as one text or as a list of lines; both give the text.
+    """
     files = spark.read.schema(NOTEBOOK).option("multiLine", "true").json(path)
-    return files.select(
+    files = files.select(
         F.col("_metadata.file_path").alias("nb"),
         F.posexplode("cells").alias("cell", "c"),
-    ).select("nb", "cell", "c.cell_type", F.array_join("c.source", "").alias("source"))
+    )
+    lines = F.array_join(F.try_variant_get("c.source", "$", "array<string>"), "")
+    listed = F.schema_of_variant("c.source").startswith("ARRAY")
+    source = F.when(listed, lines).otherwise(F.try_variant_get("c.source", "$", "string"))
+    return files.select("nb", "cell", "c.cell_type", source.alias("source"))
 
 
 def cell_code(source: str | Column = "source") -> Column:

@@ -6,7 +6,8 @@ the checkpoint folder, which must be on shared storage.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,10 @@ from runweave.schemas import LOGS
 
 BATCH = "batch_id"
 
+#: Sinks take the present input and end, unless the caller names another trigger, such as
+#: ``{"processingTime": "10 seconds"}`` to go on for as long as the query lives.
+ONCE: Mapping[str, Any] = {"availableNow": True}
+
 
 def stream_logs(
     spark: SparkSession,
@@ -44,18 +49,22 @@ def live_request_logs(requests: DataFrame, templates: Sequence[str]) -> DataFram
     return kept.select("id", "path", "route", "latency_ns", "ts")
 
 
-def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream to Parquet, exactly once; runs until the present input is used up."""
+def append_stream(
+    df: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, Any] = ONCE
+) -> StreamingQuery:
+    """Append a stream to Parquet, exactly once."""
     return (
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start(path)
     )
 
 
-def update_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def update_stream(
+    df: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, Any] = ONCE
+) -> StreamingQuery:
     """Write the changed rows of every batch to a folder of its own.
 
     A batch that runs again overwrites its folder, so results are exactly-once. Read the table with
@@ -69,7 +78,7 @@ def update_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         df.writeStream.outputMode("update")
         .foreachBatch(save)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -85,16 +94,10 @@ def current_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
 def dedupe_retries_stream(logs: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Drop copies of a ``log_id`` that arrive within ``delay`` of the first.
 
-    Copies are dropped per input partition first, so that many copies of one id do not all meet
-    in one task.
+    An id names one record, so its copies are the few retries of one sender: one shuffle and one
+    state row per id, which the watermark takes away again.
     """
-    near = (
-        logs.withWatermark("ts", delay)
-        .withColumn("__part", F.spark_partition_id())
-        .dropDuplicatesWithinWatermark(["log_id", "__part"])
-        .drop("__part")
-    )
-    return near.dropDuplicatesWithinWatermark(["log_id"])
+    return logs.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["log_id"])
 
 
 def downsample_stream(
@@ -105,7 +108,7 @@ def downsample_stream(
     tie_break: str,
     delay: str = "1 hour",
 ) -> DataFrame:
-    """At most one sample, the newest, per key and slot, sent once the slot is closed."""
+    """At most one sample, the newest, per key and slot, sent once the watermark has closed the slot."""
     newest = F.max_by(F.struct("ts", *value_columns), F.struct("ts", tie_break))
     return (
         samples.withWatermark("ts", delay)
@@ -143,37 +146,35 @@ def tracker_status_stream(events: DataFrame) -> DataFrame:
     return tracker_status(events)
 
 
-def guard_completed(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Split live events into accepted and rejected records by their tracker's end.
+def guard_completed(
+    events: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, Any] = ONCE
+) -> StreamingQuery:
+    """Store live records and the ends of their trackers as they arrive.
 
-    ``events``: tracker_id, log_id, ts, kind (``log`` or ``end``). Every batch adds its end events
-    to the table of ends, then sets aside the records later than the first end. All folders are
-    per batch and overwritten on a second run.
+    ``events``: tracker_id, log_id, ts, kind (``log`` or ``end``). A batch is written in one pass, to a
+    folder of its own that a second run overwrites, and reads nothing of earlier ones. Which records
+    are late is told by :func:`guarded_rows` from all ends known then, so that an end that arrives
+    after its tracker's records, or in another batch, gives the same answer.
     """
+
     def save(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()  # read three times below
-        ended = batch.where(F.col("kind") == "end").select("tracker_id", F.col("ts").alias("end_ts"))
-        ended.write.mode("overwrite").parquet(f"{path}/ends/{BATCH}={batch_id}")
-        ends = (
-            spark.read.parquet(f"{path}/ends")
-            .where(F.col(BATCH) <= batch_id)
-            .groupBy("tracker_id")
-            .agg(F.min("end_ts").alias("end_ts"))
-        )
-        split = reject_after_completed(batch.where(F.col("kind") == "log"), ends)
-        split.accepted.write.mode("overwrite").parquet(f"{path}/accepted/{BATCH}={batch_id}")
-        split.quarantine.write.mode("overwrite").parquet(f"{path}/rejected/{BATCH}={batch_id}")
-        batch.unpersist()
+        batch.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/{BATCH}={batch_id}")
 
     return (
         events.writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
 
+def guarded_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Records stored by :func:`guard_completed`, with ``problems`` for those after their tracker's first end."""
+    stored = spark.read.parquet(path).drop(BATCH)
+    ends = stored.where(F.col("kind") == "end").groupBy("tracker_id").agg(F.min("ts").alias("end_ts"))
+    return reject_after_completed(stored.where(F.col("kind") == "log"), ends)
+
+
 def tail_logs(
     spark: SparkSession,
     folder: str,
@@ -181,10 +182,14 @@ def tail_logs(
     checkpoint: str,
     glob: str | None = None,
     raise_on_error: bool = True,
+    trigger: Mapping[str, Any] = ONCE,
+    max_files_per_trigger: int | None = None,
 ) -> bool:
     """Copy log lines to a writer as they arrive. True when all went well; a failed stream raises
-    or, without ``raise_on_error``, gives False."""
+    or, without ``raise_on_error``, gives False. With a trigger that goes on, so does the call."""
     reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.load(folder)
@@ -192,7 +197,7 @@ def tail_logs(
         lines.writeStream.format("text")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
     )
     try:
         writer.start(path).awaitTermination()

@@ -108,3 +108,47 @@ def test_map_runs_each_input_once(spark):
     got = C.parallel_map(spark.range(50).withColumn("x", F.col("id")), count, "x", "bigint", "id")
     assert [r.id for r in got.collect()] == list(range(50))
     assert ran.value == 50
+
+
+BIG = 2**53 + 1
+
+
+@pytest.mark.parametrize("batch", ["1", "2", "10000"])
+def test_values_do_not_depend_on_the_batch(spark, batch):
+    rows = [(i, v) for i, v in enumerate([1, None, BIG, 7, None, -BIG])]
+    df = spark.createDataFrame(rows, "idx long, x long").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        shown = C.parallel_map(df, repr, "x", "string", workers=1).collect()
+        assert [r.value for r in shown] == [repr(v) for _, v in rows]
+
+        @C.operator("x", "y", "bigint")
+        def same(x):
+            return x if x is None else x - 1
+
+        assert [r.y for r in same(df).orderBy("idx").collect()] == [v if v is None else v - 1 for _, v in rows]
+        got = C.group_apply(df, "x", Counted, "n bigint, total bigint", "n bigint, total bigint").collect()
+        assert {r.x: (r.n, r.total) for r in got} == {1: (1, 0), None: (2, 5), BIG: (1, 2), 7: (1, 3), -BIG: (1, 5)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+class Counted(C.Actor):
+    def __init__(self):
+        self.n, self.total = 0, 0
+
+    def update(self, rows):
+        assert rows["x"].dtype == "int64"
+        self.n += len(rows["x"])
+        self.total += int(rows["idx"].sum())
+
+    def state(self):
+        return {"n": self.n, "total": self.total}
+
+    def merge(self, state):
+        assert type(state["n"]) is int
+        self.n += state["n"]
+        self.total += state["total"]
+
+    def result(self):
+        return self.state()

@@ -179,3 +179,16 @@ def test_fire_times_end_inclusive(spark):
         ("b", "01 16:45"), ("b", "01 17:00"), ("b", "01 17:45"), ("b", "01 18:00"),
         ("w", "07 01:00"),
     ]
+
+
+def test_round_sig4_of_floats(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    some = (rng.normal(size=400) * 10.0 ** rng.integers(-30, 30, 400)).astype("float32").tolist()
+    ties = [0.0, -0.0, 12345.0, 12355.0, -12345.0, 0.5, 1.00048828125, 1000.5, 1001.5, 99995.0, 10.0625, 959.15, 1e-42, 3.4e38]
+    some += [float(np.float32(x)) for x in ties] + [None, float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in some], "v float").select("v", text.round_sig4_float("v").alias("r"))
+    for v, r in df.collect():
+        want = None if v is None else float(f"{v:.4g}")
+        assert r == want or (want != want and r != r), (v, r)

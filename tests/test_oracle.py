@@ -21,5 +21,5 @@ def test_query(spark, sf_dir, con, name):
         assert df.count() > 0
 
 
-def test_all_but_file_scans_have_sql():
-    assert set(QUERIES) - set(ORACLE) == {"scan_files"}
+def test_all_have_sql():
+    assert set(QUERIES) == set(ORACLE)

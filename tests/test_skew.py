@@ -130,7 +130,7 @@ def test_spread_join_splits_copies_of_one_row(spark):
 def test_reject_after_completed_hot(df, rows, spark):
     end = START + timedelta(seconds=600)
     ends = spark.createDataFrame([("hot", end)], "tracker_id string, end_ts timestamp")
-    split = L.reject_after_completed(df, ends)
+    split = L.halves(L.reject_after_completed(df, ends))
     late = {i for k, ts, i in rows if k == "hot" and ts > end}
     assert {r.log_id for r in split.quarantine.collect()} == late
     assert {r.log_id for r in split.accepted.collect()} == {i for _, _, i in rows} - late

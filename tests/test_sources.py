@@ -121,7 +121,7 @@ def test_scan_and_put_tree(spark, tmp_path):
 def test_notebooks(spark, tmp_path):
     cells = [{"cell_type": "code", "source": ["%matplotlib inline\n", "import os.path as p, sys\n", "x = '%d'"]},
              {"cell_type": "markdown", "source": ["import no"]},
-             {"cell_type": "code", "source": ["from a.b import c\n"]}]
+             {"cell_type": "code", "source": "from a.b import c\n"}]
     (tmp_path / "n.ipynb").write_text(json.dumps({"cells": cells, "nbformat": 4}))
     read = B.read_notebooks(spark, str(tmp_path))
     code = B.notebook_code(read)

@@ -99,8 +99,9 @@ def test_status(spark, feed, tmp_path):
 def test_guard_rejects_later_batches(spark, feed, tmp_path):
     events = stream(spark, feed).select("tracker_id", "log_id", "ts", "kind")
     S.guard_completed(events, f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
-    rejected = {r.log_id for r in spark.read.parquet(f"{tmp_path}/t/rejected").collect()}
-    accepted = {r.log_id for r in spark.read.parquet(f"{tmp_path}/t/accepted").collect()}
+    rows = S.guarded_rows(spark, f"{tmp_path}/t").collect()
+    rejected = {r.log_id for r in rows if r.problems}
+    accepted = {r.log_id for r in rows if not r.problems}
     end = START + timedelta(minutes=180)
     late = {r[1] for r in feed[1] if r[0] == "t0" and r[2] > end and r[4] == "log"}
     assert late <= rejected and not (late & accepted)
