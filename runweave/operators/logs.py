@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runweave.operators.ordered import HOUR, time_bucket, with_ordinal
+from runweave.operators.ordered import TASK_ROWS, micros, with_ordinal
 from runweave.operators.paging import page_offset
 from runweave.schemas import KEY_PATTERN, KEY_SEPARATOR, NUMBER, STRING
 
@@ -394,10 +394,10 @@ def log_series(logs: DataFrame) -> DataFrame:
 _ENTRY = "array<struct<key:string,value_type:int,number:float,text:string>>"
 
 
-def series_x(series: DataFrame, span_seconds: int = HOUR) -> DataFrame:
+def series_x(series: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
     """Add ``x``, the 0-based position of each item of a (tracker, key) series."""
     return with_ordinal(
-        series, ["tracker_id", "key"], ["ts", "log_id"], time_bucket("ts", span_seconds)
+        series, ["tracker_id", "key"], ["ts", "log_id"], micros("ts"), rows=rows
     )
 
 

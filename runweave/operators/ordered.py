@@ -1,30 +1,61 @@
 """Ordinals, look-backs and equi-joins that survive a hot key.
 
-A plain window over ``partitionBy(key)`` sends every row of one key to one task.
-Here each key is cut into buckets along its order (usually spans of time): the
-window runs inside a bucket, and one summary row per (key, bucket) carries the
-result over the boundary. Only the summaries, not the rows, meet per key.
-
-Group keys must be non-null ids. ``bucket`` must not decrease along the order. Choose it so that
-one key's rows of one bucket fit a task well: with a third of 100 TB under one key for a year, an
-hour holds about 4 GB and ten minutes 0.6 GB.
+A plain window over ``partitionBy(key)`` sends every row of one key to one task. Here the rows of each key
+are counted first. Keys that fit a task, which mostly is all of them, get the plain window. A key of
+more rows is cut into buckets at measured quantiles of its order, so that a burst is cut like a calm
+time: the window runs inside a bucket, and one summary row per (key, bucket) carries the result over the
+boundary. Summaries number one for each key and each cut.
+
+Group keys must be non-null ids. Rows of one key with the very same value of the measured order stay in
+one bucket.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "__bucket"
-HOUR = 3600
 
+#: Rows of one key that one task may hold.
+TASK_ROWS = 2_000_000
 
-def time_bucket(ts: str | Column = "ts", span_seconds: int = HOUR) -> Column:
-    """Number of the time span that holds ``ts``."""
-    col = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_seconds(col.cast("timestamp")) / F.lit(span_seconds))
+
+def micros(ts: str | Column = "ts") -> Column:
+    """A time as a number, for measuring."""
+    return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
+
+
+def with_bucket(
+    df: DataFrame, by: Sequence[str], measure: Column, rows: int = TASK_ROWS
+) -> tuple[DataFrame, bool]:
+    """``df`` with the bucket of each row, and whether any key was cut.
+
+    ``measure`` is a number that does not decrease along the order. One count per key, combined in the
+    map tasks, decides; only the largest count comes to the driver. The cuts of keys with more than
+    ``rows`` rows are approximate quantiles of ``measure``; a wrong guess shifts a border, never a result.
+    """
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.where(F.col("__n") > rows).select(*by, "__n")
+    most = hot.agg(F.max("__n")).first()[0]
+    if most is None:
+        return df.withColumn(BUCKET, F.lit(0)), False
+    pieces = math.ceil(most / rows)
+    marks = [i / pieces for i in range(1, pieces)]
+    cuts = (
+        df.select(*by, measure.cast("bigint").alias("__m"))
+        .join(hot.drop("__n"), [*by], "left_semi")
+        .groupBy(*by)
+        .agg(F.percentile_approx("__m", marks, max(100, 10 * pieces)).alias("__cuts"))
+    )
+    place = F.size(F.filter("__cuts", lambda c: c < measure))
+    cut = df.join(cuts, [*by], "left").withColumn(
+        BUCKET, F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(place)
+    )
+    return cut.drop("__cuts"), True
 
 
 def _attach_carry(local: DataFrame, carry: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -42,14 +73,16 @@ def with_ordinal(
     df: DataFrame,
     by: Sequence[str],
     order_by: Sequence[str],
-    bucket: Column,
+    measure: Column,
     name: str = "x",
+    rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """0-based position of each row inside its key."""
-    df = df.withColumn(BUCKET, bucket)
-    local = df.withColumn(
-        name, F.row_number().over(Window.partitionBy(*by, BUCKET).orderBy(*order_by)) - 1
-    )
+    """0-based position of each row inside its key; ``measure`` as in :func:`with_bucket`."""
+    df, cut = with_bucket(df, by, measure, rows)
+    position = (F.row_number().over(Window.partitionBy(*by, BUCKET).orderBy(*order_by)) - 1).cast("bigint")
+    local = df.withColumn(name, position)
+    if not cut:
+        return local.drop(BUCKET)
     before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         df.groupBy(*by, BUCKET)
@@ -58,7 +91,7 @@ def with_ordinal(
     )
     return (
         _attach_carry(local, carry, by)
-        .withColumn(name, (F.col(name) + F.coalesce("__carry", F.lit(0))).cast("bigint"))
+        .withColumn(name, F.col(name) + F.coalesce("__carry", F.lit(0)))
         .drop(BUCKET, "__carry")
     )
 
@@ -67,14 +100,17 @@ def with_previous(
     df: DataFrame,
     by: Sequence[str],
     order_by: Sequence[str],
-    bucket: Column,
+    measure: Column,
     value: str,
     name: str = "previous",
+    rows: int = TASK_ROWS,
 ) -> DataFrame:
     """``value`` of the row before, null on the first row of a key. ``value`` is non-null."""
-    df = df.withColumn(BUCKET, bucket)
+    df, cut = with_bucket(df, by, measure, rows)
     inside = Window.partitionBy(*by, BUCKET).orderBy(*order_by)
     local = df.withColumn(name, F.lag(value).over(inside))
+    if not cut:
+        return local.drop(BUCKET)
     # One plain column keeps the aggregation hashed; a struct would have to be sorted.
     order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
     across = Window.partitionBy(*by).orderBy(BUCKET)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from runweave.operators.ordered import BUCKET, HOUR, time_bucket, with_previous
+from runweave.operators.ordered import BUCKET, TASK_ROWS, micros, with_bucket, with_previous
 from runweave.schemas import HEARTBEAT_SECONDS, UNLOGGED_PATHS
 
 
@@ -52,7 +52,7 @@ def region_latency(
     events: DataFrame,
     thread: str = "thread",
     order_by: Sequence[str] = ("ts", "region"),
-    span_seconds: int = HOUR,
+    rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Elapsed seconds of each region from ENTER and LEAVE events, with its nesting level.
 
@@ -67,8 +67,9 @@ def region_latency(
     inside = Window.partitionBy(*here).orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # The level before an ENTER and after a LEAVE, relative to the start of the span.
+    bucketed, _ = with_bucket(events, [thread], micros("ts"), rows)
     leveled = (
-        events.withColumn(BUCKET, time_bucket("ts", span_seconds))
+        bucketed
         .withColumn("__delta", F.when(enters, 1).otherwise(-1))
         .withColumn("__level", F.sum("__delta").over(so_far) - enters.cast("int"))
     )
@@ -122,10 +123,10 @@ def heartbeat_gaps(
     by: str = "tracker_id",
     period_seconds: float = HEARTBEAT_SECONDS,
     factor: float = 1.0,
-    span_seconds: int = HOUR,
+    rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Silences longer than ``factor`` periods: previous beat, next beat and gap in seconds."""
-    looked = with_previous(beats, [by], ["ts"], time_bucket("ts", span_seconds), "ts", "previous")
+    looked = with_previous(beats, [by], ["ts"], micros("ts"), "ts", "previous", rows)
     gap = (F.unix_micros("ts") - F.unix_micros("previous")) / 1e6
     return (
         looked.withColumn("gap_seconds", gap)
@@ -138,13 +139,13 @@ def heartbeat_sessions(
     beats: DataFrame,
     timeout_seconds: float,
     by: str = "tracker_id",
-    span_seconds: int = HOUR,
+    rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Spans of liveness: beats no further apart than the timeout.
 
-    Sessions are built inside each time span first. Only the first and the last one of a span can
-    go on beyond it, so only those are merged per key: two rows per span however often a key falls
-    silent. The end is the last beat plus the timeout, as session windows report it.
+    Sessions are built inside each measured bucket of a key first. Only the first and the last one of
+    a bucket can go on beyond it, so only those are merged per key: two rows per bucket however often a
+    key falls silent. The end is the last beat plus the timeout, as session windows report it.
     """
     timeout = int(timeout_seconds * 1_000_000)
     us = F.unix_micros("ts")
@@ -152,8 +153,9 @@ def heartbeat_sessions(
     opened = F.coalesce(
         (F.col("__us") - F.lag("__us").over(inside) >= timeout).cast("int"), F.lit(1)
     )
+    bucketed, _ = with_bucket(beats.select(by, us.alias("__us")), [by], F.col("__us"), rows)
     local = (
-        beats.select(by, time_bucket("ts", span_seconds).alias(BUCKET), us.alias("__us"))
+        bucketed
         .withColumn("__open", opened)
         .withColumn("__s", F.sum("__open").over(inside))
         .groupBy(by, BUCKET, "__s")

@@ -44,7 +44,7 @@ def notebook_code(cells: DataFrame, chunk_cells: int = 1000) -> DataFrame:
     code cells; almost every notebook is one part, and one of any size never becomes one row.
     """
     code = cells.where(F.col("cell_type") == "code")
-    numbered = with_ordinal(code, ["nb"], ["cell"], F.floor(F.col("cell") / chunk_cells), "n")
+    numbered = with_ordinal(code, ["nb"], ["cell"], F.col("cell"), "n")
     item = F.struct("n", cell_code().alias("code"))
     return (
         numbered.withColumn("part", F.floor(F.col("n") / chunk_cells))

@@ -38,3 +38,19 @@ def test_tracker_table_shuffles_once(spark, sf_dir):
 def test_route_match_and_ignore_files_have_no_shuffle(spark, sf_dir):
     for name in ("route_match", "ignore_files", "append_logs", "flatten_log", "field_mask"):
         assert "Exchange" not in plan(spark, sf_dir, name)
+
+
+def test_checked_records_take_one_scan(spark, sf_dir):
+    from runweave.operators import logs as L
+    from runweave.plans.log_queries import payloads
+
+    checked = L.append_logs(payloads(spark, sf_dir))
+    for text in (checked._jdf.queryExecution().executedPlan().toString(), plan(spark, sf_dir, "validate_keys")):
+        assert text.count("FileScan parquet") == (1 if "__entries" in text or "entries" in text else 2)
+        assert "Exchange" not in text
+    late = plan(spark, sf_dir, "reject_after_completed")
+    assert late.count("FileScan parquet") == 2
+
+
+def test_ordinals_without_hot_keys_shuffle_once(spark, sf_dir):
+    assert plan(spark, sf_dir, "series_x").count("Exchange hashpartitioning") == 1

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from runweave.operators import logs as L
 from runweave.operators import telemetry as T
 from runweave.operators.ordered import (
-    hot_keys, spread_join, time_bucket, with_ordinal, with_previous,
+    BUCKET, hot_keys, micros, spread_join, with_bucket, with_ordinal, with_previous,
 )
 
 START = datetime(2024, 1, 1)
@@ -40,16 +40,16 @@ def by_key(rows):
     return {k: sorted(v) for k, v in groups.items()}
 
 
-@pytest.mark.parametrize("span", [1, 600, 3600, 10**9])
-def test_ordinal(df, rows, span):
-    got = with_ordinal(df, ["tracker_id"], ["ts", "log_id"], time_bucket("ts", span))
+@pytest.mark.parametrize("most", [20, 100, 1000, 10**9])
+def test_ordinal(df, rows, most):
+    got = with_ordinal(df, ["tracker_id"], ["ts", "log_id"], micros("ts"), rows=most)
     want = {(k, i, x) for k, g in by_key(rows).items() for x, (_, i) in enumerate(g)}
     assert {(r.tracker_id, r.log_id, r.x) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("span", [1, 600, 3600, 10**9])
-def test_previous(df, rows, span):
-    got = with_previous(df, ["tracker_id"], ["ts", "log_id"], time_bucket("ts", span), "log_id")
+@pytest.mark.parametrize("most", [20, 100, 1000, 10**9])
+def test_previous(df, rows, most):
+    got = with_previous(df, ["tracker_id"], ["ts", "log_id"], micros("ts"), "log_id", rows=most)
     want = set()
     for key, group in by_key(rows).items():
         ids = [None, *(i for _, i in group)]
@@ -57,10 +57,10 @@ def test_previous(df, rows, span):
     assert {(r.tracker_id, r.log_id, r.previous) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("span", [7, 3600])
+@pytest.mark.parametrize("most", [30, 10**9])
 @pytest.mark.parametrize("timeout", [1, 45, 4000])
-def test_sessions(df, rows, span, timeout):
-    got = T.heartbeat_sessions(df.select("tracker_id", "ts"), timeout, span_seconds=span)
+def test_sessions(df, rows, most, timeout):
+    got = T.heartbeat_sessions(df.select("tracker_id", "ts"), timeout, rows=most)
     want = []
     for key, group in by_key(rows).items():
         start = last = None
@@ -75,8 +75,8 @@ def test_sessions(df, rows, span, timeout):
     assert sorted(have) == sorted(want)
 
 
-@pytest.mark.parametrize("span", [5, 60, 3600])
-def test_regions_cross_spans(spark, span):
+@pytest.mark.parametrize("most", [7, 50, 10**9])
+def test_regions_cross_buckets(spark, most):
     rnd = random.Random(3)
     events, want = [], []
     for thread in range(6):
@@ -92,7 +92,7 @@ def test_regions_cross_spans(spark, span):
                 events.append((thread, n, "ENTER", now))
         want.extend((thread, r, level, entered, None) for r, entered, level in stack)
     df = spark.createDataFrame(events, "thread bigint, region bigint, kind string, ts timestamp")
-    got = T.region_latency(df, span_seconds=span).collect()
+    got = T.region_latency(df, rows=most).collect()
     have = {(r.thread, r.region, r.level, r.enter_ts, r.leave_ts) for r in got}
     assert have == set(want) and len(got) == len(want)
     for r in got:
@@ -145,3 +145,17 @@ def test_dedupe_many_copies(spark):
     kept = T.dedupe_retries(one, ["v"]).collect()
     assert len(kept) == 2001
     assert [r.v for r in kept if r.log_id == "copy"] == [0]
+
+
+def test_a_burst_is_cut(spark):
+    # Half of all rows are one key's, within one second.
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 400)).alias("k"),
+        F.timestamp_micros(F.lit(1704067200000000) + F.when(F.col("id") % 2 == 0, F.col("id") * 200).otherwise(F.col("id") * 10**7)).alias("ts"),
+    )
+    cut, any_cut = with_bucket(df, ["k"], micros("ts"), rows=100)
+    sizes = {(r.k, r[BUCKET]): r["count"] for r in cut.groupBy("k", BUCKET).count().collect()}
+    assert any_cut and max(sizes.values()) <= 300 and len([k for k in sizes if k[0] == "hot"]) >= 15
+    assert all(b == 0 for k, b in sizes if k != "hot")
+    whole, any_cut = with_bucket(df, ["k"], micros("ts"), rows=5000)
+    assert not any_cut and whole.select(BUCKET).distinct().count() == 1
