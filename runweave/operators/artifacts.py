@@ -50,14 +50,61 @@ def put_tree(
     return rows.withColumn("name", name).withColumn("relic_name", F.lit(relic_name))
 
 
+def list_relics(
+    relics: DataFrame,
+    relic_name: str | None = None,
+    relic_id: str | None = None,
+    page: int = 0,
+    page_size: int = 0,
+) -> DataFrame:
+    """Stores, all or by name or id, with ``total_relics`` that the request finds on every row.
+
+    A page is cut from the order of names; ``page_size`` 0 gives all, unsorted. The total is a count of
+    its own, so that a page stays a top-k.
+    """
+    out = relics
+    if relic_name:
+        out = out.where(F.col("name") == relic_name)
+    if relic_id:
+        out = out.where(F.col("id") == relic_id)
+    return _paged(out, ["name", "id"], page, page_size, "total_relics")
+
+
+def _paged(df: DataFrame, order_by: Sequence[str], page: int, page_size: int, total: str) -> DataFrame:
+    count = df.agg(F.count(F.lit(1))).scalar()
+    shown = page_no(df, order_by, page, page_size) if page_size else df
+    return shown.withColumn(total, count)
+
+
+def page_of_files(
+    files: DataFrame,
+    path: str = "",
+    recurse: bool = False,
+    relic_id: str | None = None,
+    file_name: str | None = None,
+    page: int = 0,
+    page_size: int = 100,
+) -> DataFrame:
+    """One page of :func:`list_files` in the order of store, name and size, with ``total_files`` on every row."""
+    found = list_files(files, path, recurse, relic_id, file_name)
+    return _paged(found, ["relic_id", "name", "size"], page, page_size, "total_files")
+
+
 def list_files(
-    files: DataFrame, path: str = "", recurse: bool = False, relic_id: str | None = None
+    files: DataFrame,
+    path: str = "",
+    recurse: bool = False,
+    relic_id: str | None = None,
+    file_name: str | None = None,
 ) -> DataFrame:
     """Files whose key starts with ``path``; without ``recurse`` only those with no further slash.
 
-    Over flat keys the whole recursion is one prefix filter.
+    ``file_name`` keeps the files whose last part it is. Over flat keys the whole recursion is one prefix
+    filter.
     """
     out = files if relic_id is None else files.where(F.col("relic_id") == relic_id)
+    if file_name:
+        out = out.where(F.element_at(F.split("name", "/"), -1) == file_name)
     if path:
         out = out.where(F.col("name").startswith(path))
     if not recurse:
@@ -155,6 +202,7 @@ def activity_log(
     activity: DataFrame,
     relic_id: str | None = None,
     username: str | None = None,
+    relic_name: str | None = None,
     from_timestamp_ns: int = 0,
     to_timestamp_ns: int = 0,
     page: int = 0,
@@ -169,6 +217,8 @@ def activity_log(
         out = out.where(F.col("relic_id") == relic_id)
     if username:
         out = out.where(F.col("username") == username)
+    if relic_name:
+        out = out.where(F.col("relic_name") == relic_name)
     if from_timestamp_ns:
         out = out.where(F.col("timestamp_ns") >= from_timestamp_ns)
     if to_timestamp_ns:

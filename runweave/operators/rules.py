@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runweave.operators.paging import page_no
+
 COMPARE = {
     "==": lambda a, b: a == b,
     "!=": lambda a, b: a != b,
@@ -25,6 +27,14 @@ def active_rules(rules: DataFrame, project_id: str | None = None) -> DataFrame:
     return out if project_id is None else out.where(F.col("project_id") == project_id)
 
 
+def list_rules(
+    rules: DataFrame, project_id: str | None = None, page: int = 0, page_size: int = 0
+) -> DataFrame:
+    """All rules, deactivated ones too, of one project or of all; a page in the order of names."""
+    out = rules if project_id is None else rules.where(F.col("project_id") == project_id)
+    return page_no(out, ["rule_name", "id"], page, page_size) if page_size else out
+
+
 def _operand(node: Any, numeric: bool) -> Column:
     if isinstance(node, dict):
         if set(node) != {"var"}:

@@ -6,7 +6,6 @@ from runweave.operators import artifacts as A
 from runweave.plans import views as V
 from runweave.plans.registry import query
 from runweave.schemas import DEFAULT_IGNORE
-from runweave.sources import files as S
 
 MIME = {".html": "text/html", ".json": "application/json", ".txt": "text/plain"}
 PATTERNS = ["/fr/", "*example.net*", "66"]
@@ -193,3 +192,51 @@ def activity_log(spark, sf_dir):
         to_timestamp_ns=1706054400000000000,
     )
     return found.withColumn("object_size", F.col("object_size").cast("double"))
+
+
+@query(
+    "list_relics",
+    """select id, name, created_on, total_relics from (
+           select 'r' || c_custkey as id, c_name as name, c_custkey * 7 as created_on,
+                  count(*) over () as total_relics,
+                  row_number() over (order by c_name, 'r' || c_custkey) as n
+           from customer where c_nationkey < 12) r where n > 40 and n <= 80""",
+)
+def list_relics(spark, sf_dir):
+    """Third page of the stores of some workspaces, with their total number."""
+    relics = V.table(spark, sf_dir, "customer").where("c_nationkey < 12").select(
+        F.concat(F.lit("r"), "c_custkey").alias("id"),
+        F.col("c_name").alias("name"),
+        (F.col("c_custkey") * 7).alias("created_on"),
+    )
+    return A.list_relics(relics, page=3, page_size=20).unionAll(
+        A.list_relics(relics, page=4, page_size=20)
+    )
+
+
+@query(
+    "list_relics_name",
+    """select 'r' || c_custkey as id, c_name as name, 1 as total_relics from customer
+       where c_name = (select min(c_name) from customer)""",
+)
+def list_relics_name(spark, sf_dir):
+    """One store by its name."""
+    customers = V.table(spark, sf_dir, "customer")
+    first = customers.agg(F.min("c_name")).first()[0]
+    relics = customers.select(F.concat(F.lit("r"), "c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return A.list_relics(relics, relic_name=first)
+
+
+@query(
+    "page_of_files",
+    """select relic_id, name, size, total_files from (
+           select relic_id, name, size, count(*) over () as total_files,
+                  row_number() over (order by relic_id, name, size) as n
+           from {files} where relic_id = 'r1') f
+       where n > 5 and n <= 10""",
+)
+def page_of_files(spark, sf_dir):
+    """Second page of the keys of one store, with their total number."""
+    files = V.view(spark, sf_dir, "files")
+    found = A.page_of_files(files, recurse=True, relic_id="r1", page=2, page_size=5)
+    return found.drop("type")

@@ -63,7 +63,7 @@ def read_logs(spark, sf_dir):
         F.array("event_type").alias("text_values"),
     )
     path = scratch_path(spark, "wire")
-    wire.write.json(f"{path}/wire")
+    wire.write.option("timestampFormat", S.TIMESTAMP).json(f"{path}/wire")
     L.write_logs(S.read_wire_logs(spark, f"{path}/wire"), f"{path}/logs")
     out = S.read_logs(spark, f"{path}/logs")
     return out.select(

@@ -478,3 +478,22 @@ def active_rules(spark, sf_dir):
         (F.col("p_brand") == "Brand#7").alias("is_deactivated"),
     )
     return R.active_rules(rules, "p1").drop("is_deactivated")
+
+
+@query(
+    "list_rules",
+    """select id, project_id, rule_name, is_deactivated from (
+           select 'rule' || p_partkey as id, 'p' || p_size % 5 as project_id, p_name as rule_name,
+                  p_brand = 'Brand#7' as is_deactivated,
+                  row_number() over (order by p_name, 'rule' || p_partkey) as n
+           from part where p_size % 5 = 2) r where n > 10 and n <= 20""",
+)
+def list_rules(spark, sf_dir):
+    """Second page of one project's rules, deactivated ones too."""
+    rules = V.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("rule"), "p_partkey").alias("id"),
+        F.concat(F.lit("p"), F.col("p_size") % 5).alias("project_id"),
+        F.col("p_name").alias("rule_name"),
+        (F.col("p_brand") == "Brand#7").alias("is_deactivated"),
+    )
+    return R.list_rules(rules, "p2", page=2, page_size=10)

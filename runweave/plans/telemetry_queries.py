@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from runweave.operators import telemetry as T
 from runweave.plans import views as V
 from runweave.plans.registry import query
+from runweave.session import scratch_path
 from runweave.sources import logs as S
 
 # The first template that fits wins: the third never does.
@@ -195,7 +196,9 @@ def read_json_log_lines(spark, sf_dir):
         .otherwise(text)
         .alias("value")
     )
-    read = S.parse_json_log_lines(lines, "jl1")
+    path = scratch_path(spark, "log-lines")
+    lines.write.text(path)
+    read = S.read_json_log_lines(spark, path, "jl1")
     broken = F.col("_corrupt_record").isNotNull()
     return read.select(
         F.coalesce(
@@ -228,3 +231,34 @@ def read_trace_jsonl(spark, sf_dir):
         F.to_json(node).alias("value"),
     )
     return S.parse_trace_lines(lines).drop("json")
+
+
+@query(
+    "system_metrics_full",
+    """select 'h' || l_suppkey as host, l_shipdate as ts, avg(l_quantity) as cpu_usage,
+              max(l_partkey * 1048576 + 5) // 1048576 as memory_usage_mb,
+              max(l_orderkey * 1048576 + 1048575) // 1048576 as memory_available_mb,
+              max(l_tax) as memory_percentage, max(l_discount) as disk_utilisation,
+              max(case when l_linenumber = 1 then l_extendedprice end) as "gpu-1_usage",
+              max(case when l_linenumber = 1 then l_partkey * 1048577 end) // 1048576
+                  as "gpu-1_memory_available_mb",
+              max(case when l_linenumber = 1 then l_orderkey * 1048577 end) // 1048576
+                  as "gpu-1_memory_usage_mb"
+       from lineitem group by l_suppkey, l_shipdate""",
+)
+def system_metrics_full(spark, sf_dir):
+    """All host metrics and those of one GPU."""
+    samples = V.table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("h"), "l_suppkey").alias("host"),
+        F.col("l_shipdate").alias("ts"),
+        F.col("l_quantity").alias("cpu_usage"),
+        (F.col("l_partkey") * 1048576 + 5).alias("memory_bytes"),
+        (F.col("l_orderkey") * 1048576 + 1048575).alias("memory_available_bytes"),
+        F.col("l_tax").alias("memory_percent"),
+        F.col("l_discount").alias("disk_percent"),
+        F.col("l_linenumber").alias("gpu"),
+        F.col("l_extendedprice").alias("gpu_usage"),
+        (F.col("l_partkey") * 1048577).alias("gpu_memory_free_bytes"),
+        (F.col("l_orderkey") * 1048577).alias("gpu_memory_used_bytes"),
+    )
+    return T.system_metrics(samples, [1])

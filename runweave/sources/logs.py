@@ -14,6 +14,10 @@ from runweave.operators.rules import rule_column
 from runweave.schemas import LOG_LINE, LOGS, STRING, TRACE_NODE, VALUE_TYPE, WIRE_LOGS
 
 
+#: Times in JSON keep their microseconds; the writer's own form ends at milliseconds.
+TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def logs_from_wire(wire: DataFrame) -> DataFrame:
     """Wire records (parallel key and value arrays) as LOGS."""
     return wire.select(
@@ -57,7 +61,8 @@ def select_dataset(
 
 def export_dataset(logs: DataFrame, path: str, **selector: Any) -> None:
     """Write a dataset as JSON lines. Spark leaves ``_SUCCESS`` in ``path`` when it is complete."""
-    select_dataset(logs, **selector).write.mode("errorifexists").json(path)
+    picked = select_dataset(logs, **selector).write.mode("errorifexists")
+    picked.option("timestampFormat", TIMESTAMP).json(path)
 
 
 def dataset_completed(spark: SparkSession, path: str) -> bool:
