@@ -127,13 +127,14 @@ def project_artifacts(spark, sf_dir):
 
 @query(
     "page_offset",
-    """select id, created_at from {trackers} where created_at is not null
-       order by created_at, id limit 50 offset 100""",
+    """select id, created_at from {trackers}
+       order by created_at nulls last, id limit 50 offset 100""",
 )
 def page_offset(spark, sf_dir):
-    """Rows 100 to 150 of the trackers by creation time."""
-    trackers = V.view(spark, sf_dir, "trackers").where(F.col("created_at").isNotNull())
-    return P.page_offset(trackers, ["created_at", "id"], 100, 50).select("id", "created_at")
+    """Rows 100 to 150 of all trackers by creation time, those without one at the end."""
+    order = [F.asc_nulls_last("created_at"), "id"]
+    page = P.page_offset(V.view(spark, sf_dir, "trackers"), order, 100, 50)
+    return page.select("id", "created_at")
 
 
 @query(
