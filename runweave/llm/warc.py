@@ -175,10 +175,11 @@ class _Members:
     def __iter__(self) -> Iterator[tuple[dict[str, str], object]]:
         while True:
             head = self._more(12)
-            if not head.strip(b"\r\n\0"):
-                if len(head) < 12:
-                    return
-                self._skip(1)
+            blank = len(head) - len(head.lstrip(b"\r\n\0"))
+            if not head:
+                return
+            if blank:
+                self._skip(blank)
             elif head[:2] == b"\x1f\x8b":
                 yield from self._member()
             else:

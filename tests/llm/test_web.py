@@ -66,7 +66,8 @@ def test_predicates_reach_the_reader(spark, folder):
     assert sorted(r.record_id for r in found.collect()) == ["<urn:page:7>", "<urn:page:>"]
     reader = warc.WarcReader(folder, 1 << 20, True)
     assert list(reader.pushFilters([warc.EqualTo(("record_type",), "revisit")])) == []
-    assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == found.count() + 0
+    revisits = sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
+    assert revisits == warc.read_warc(spark, folder).where("record_type = 'revisit'").count() == 3
     assert [r.payload for r in warc.read_warc(spark, folder, payload="false").collect()] == [None] * len(PAGES)
     parts = warc.WarcReader(folder, 1, True).partitions()
     assert len(parts) >= 1 and all(len(p.names) == 1 for p in parts)
