@@ -87,19 +87,19 @@ class Model:
 
     def links(self, at: int, q: np.ndarray, x: np.ndarray, codes: np.ndarray, error: np.ndarray, least: float):
         """Row and column numbers of the pairs of ``q`` and list members ``x`` with cosine >= ``least``."""
-        m, n_words, axes = self.words.shape
+        m, _, axes = self.words.shape
         rest = np.pad(q - self.centroids[at], ((0, 0), (0, m * axes - q.shape[1])))
-        for i in range(0, len(q), 128):
-            part = rest[i : i + 128]
-            table = np.empty((m, len(part), n_words), np.float32)
-            for s in range(m):
-                step = part[:, None, s * axes : (s + 1) * axes] - self.words[s][None]
-                table[s] = (step * step).sum(axis=2)
-            far = np.zeros((len(part), len(x)), np.float32)
+        square = (self.words * self.words).sum(axis=2)
+        most = ((self.radius + error + 1e-4) ** 2).astype(np.float32)[:, None]
+        for i in range(0, len(q), 256):
+            part = rest[i : i + 256]
+            # A row of the table for each word of a subspace: its squared distance to every query.
+            far = np.zeros((len(x), len(part)), np.float32)
             for s in range(m):
-                far += table[s][:, codes[:, s]]
-            may = np.sqrt(far) <= (self.radius + error + 1e-4)[None, :]
-            a, b = np.nonzero(may)
+                own = part[:, s * axes : (s + 1) * axes]
+                table = square[s][:, None] - 2 * (self.words[s] @ own.T) + (own * own).sum(axis=1)
+                far += np.take(table.astype(np.float32), codes[:, s], axis=0)
+            b, a = np.nonzero(far <= most)
             for j in range(0, len(a), 1 << 14):
                 aa, bb = a[j : j + (1 << 14)] + i, b[j : j + (1 << 14)]
                 close = np.einsum("ij,ij->i", q[aa], x[bb]) >= least
