@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import traceback
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
@@ -203,7 +203,7 @@ class Actor:
     null; all others as arrays of plain values with ``None``. No type depends on what a batch holds.
     """
 
-    def update(self, rows: dict[str, np.ndarray]) -> None:
+    def update(self, rows: Mapping[str, np.ndarray]) -> None:
         raise NotImplementedError
 
     def state(self) -> dict[str, Any]:
@@ -216,6 +216,22 @@ class Actor:
         raise NotImplementedError
 
 
+class _Rows(Mapping):
+    """The arrays of one key, cut out of a batch's columns when they are asked for."""
+
+    def __init__(self, columns: dict[str, np.ndarray], where: slice):
+        self.columns, self.where = columns, where
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        return self.columns[name][self.where]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.columns)
+
+    def __len__(self) -> int:
+        return len(self.columns)
+
+
 def _to_array(column: pa.Array) -> np.ndarray:
     kind = column.type
     if pa.types.is_integer(kind) or pa.types.is_floating(kind) or pa.types.is_boolean(kind):
@@ -227,7 +243,7 @@ def _to_array(column: pa.Array) -> np.ndarray:
     return out
 
 
-def _rows_by_key(batch: pa.RecordBatch, key: str) -> Iterator[tuple[Any, dict[str, np.ndarray]]]:
+def _rows_by_key(batch: pa.RecordBatch, key: str) -> Iterator[tuple[Any, Mapping[str, np.ndarray]]]:
     """Arrays of each key of a batch; a sort and slices, since a frame per key would cost more
     than most updates. Null keys form one group."""
     coded = batch.column(key).dictionary_encode("encode")
@@ -236,7 +252,7 @@ def _rows_by_key(batch: pa.RecordBatch, key: str) -> Iterator[tuple[Any, dict[st
     columns = {c: _to_array(batch.column(c))[order] for c in batch.schema.names}
     edges = np.searchsorted(codes[order], np.arange(len(values) + 1))
     for i, value in enumerate(values):
-        yield value, {c: a[edges[i] : edges[i + 1]] for c, a in columns.items()}
+        yield value, _Rows(columns, slice(edges[i], edges[i + 1]))
 
 
 def group_apply(
