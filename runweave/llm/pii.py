@@ -35,6 +35,18 @@ GIVEN = {
     ("m", "GREEK"): ["Γιώργος", "Δημήτρης", "Κώστας", "Νίκος", "Παναγιώτης", "Γιάννης"],
     ("f", "GREEK"): ["Μαρία", "Ελένη", "Αικατερίνη", "Βασιλική", "Σοφία", "Αγγελική"],
 }
+# --- fixed values: what stands inside a name, and capitalised words that end one ----
+PARTICLES = (
+    "von vom van zu zum zur der den dem de del della dello di da do dos das du des la las le los el al ibn bin bint "
+    "ben ter ten te af av"
+).split()
+ENDS = frozenset(
+    "jr sr ii iii iv md phd esq mr mrs ms miss dr prof the this that these those and or but nor if then when while where "
+    "who whom whose which what why how in on at of for from by to with as is are was were has have had will would can "
+    "could may might must not he she it they we you his her their our your its no yes also however monday tuesday "
+    "wednesday thursday friday saturday sunday january february march april june july august september october "
+    "november december".split()
+)
 # --- fixed values: syllables of made-up names, and endings by gender ---------------
 SYLLABLES = {
     "LATIN": "ba be bo bra da de do dra fa fe fo ga go gra ka ke ko kra la le lo ma me mo na ne no pa ro sa ta".split(),
@@ -53,7 +65,7 @@ ALPHABETS = {
 }
 # ------------------------------------------------------------------------------------
 
-KINDS = ("secret", "email", "ipv6", "iban", "card", "ssn", "phone", "ip", "given", "surname")
+KINDS = ("secret", "email", "ipv6", "iban", "card", "ssn", "phone", "ip", "given", "surname", "initial")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _GAP = r"[^\w\n@]{0,6}"
 _FOUND = re.compile(
@@ -71,21 +83,120 @@ _FOUND = re.compile(
     % {"o": _OCTET, "g": _GAP},
     re.IGNORECASE,
 )
-_NAME = r"[^\W\d_][\w'’-]+"
 _GENDER = {t: g for g, titles in TITLES.items() for t in titles}
 _GIVEN = {n: key[0] for key, names in GIVEN.items() for n in names}
+_GENDER_OF = {n.casefold(): g for n, g in _GIVEN.items()}
 
 
 def _any(words) -> str:
     return "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True))
 
 
-_PERSON = re.compile(
-    rf"(?<![\w.])(?:(?P<title>{_any(_GENDER)})[ ]+(?P<one>{_NAME})(?:[ ]+(?P<two>{_NAME}))?"
-    rf"|(?P<given>{_any(_GIVEN)})[ ]+(?P<last>{_NAME}))(?!\w)"
+#: A word of a name, without a possessive ending.
+_NAME = r"[^\W\d_](?:\w|['’-](?!s\b)(?=\w))+"
+_WORD = re.compile(rf"(?<!\w){_NAME}")
+_PREFIXED = re.compile(r"(?:d|l|dell|dall|al|el)['’-](?=\w)", re.IGNORECASE)
+_START = re.compile(
+    rf"(?<![\w.])(?:(?P<title>{_any(_GENDER)})(?:[ ]+(?:Dr\.?|Prof\.?|Professor)(?=[ ]))*(?=[ ])"
+    rf"|(?P<given>{_any(_GIVEN)})(?=[ ]))"
+)
+_STEP = re.compile(
+    rf"(?P<gap>[ ]*)(?:(?:{_any(PARTICLES)})[ ]+)*(?:(?P<initial>[^\W\d_])(?:\.|(?=[ ]))|(?P<name>{_NAME})(?!\w))"
 )
 
 
+def _is_name(word: str) -> bool:
+    m = _PREFIXED.match(word)
+    return word[m.end() if m else 0].isupper() and word.casefold() not in ENDS
+
+
+def _people(text: str) -> list[tuple[str, bool, list[tuple[int, int, bool]]]]:
+    """``(gender, titled, parts)`` of the full names of a text; a part is ``(start, end, initial)``."""
+    out, pos = [], 0
+    while m := _START.search(text, pos):
+        pos = at = m.end()
+        title, dotted = m["title"], False
+        parts = [] if title else [(*m.span("given"), False)]
+        waiting = []
+        while (step := _STEP.match(text, at)) and (step["gap"] or dotted):
+            at = step.end()
+            if step["initial"]:
+                if not step["initial"].isupper():
+                    break
+                dotted = text[at - 1] == "."
+                waiting.append((*step.span("initial"), True))
+                continue
+            if not _is_name(step["name"]):
+                break
+            parts += [*waiting, (*step.span("name"), False)]
+            waiting, dotted, pos = [], False, at
+        names = [text[a:b] for a, b, initial in parts if not initial]
+        if len(names) > (0 if title else 1):
+            gender = _GENDER[title] if title else "n"
+            if gender == "n" and len(names) > 1:
+                gender = _GENDER_OF.get(names[0].casefold(), "n")
+            out.append((gender, bool(title), parts))
+    return out
+
+
+def _named(text: str) -> tuple[list[tuple[int, int, str, str]], dict[str, tuple[str, str]]]:
+    """Mentions of the full names of a text, and ``(kind, normal form)`` by each name found, case-folded.
+
+    What one mention leaves open another tells: the gender of a given name after a neutral title,
+    whether a single name after a title is a given name, whether a middle name is a surname.
+    """
+    people = _people(text)
+    if not people:
+        return [], {}
+    genders, first, last, alone = {}, set(), set(), set()
+    for gender, _, parts in people:
+        names = [text[a:b].casefold() for a, b, initial in parts if not initial]
+        (last if len(names) > 1 else alone).add(names[-1])
+        first.update(names[:1] if len(names) > 1 else ())
+        for n in names[:-1]:
+            genders.setdefault(n, []).append(gender)
+    out, known = [], {}
+    for gender, _, parts in people:
+        whole = [x for x in parts if not x[2]]
+        for a, b, initial in parts:
+            value = text[a:b].casefold()
+            script = _script(value)
+            if initial:
+                out.append((a, b, "initial", f"n {script} {value}"))
+                continue
+            given = (a, b, initial) != whole[-1]
+            if given and value in last | alone and value not in _GENDER_OF and (a, b, initial) != whole[0]:
+                given = False
+            elif len(whole) == 1 and value in first and value not in last:
+                given = True
+            if given:
+                seen = [g for g in genders[value] if g != "n"]
+                # A single name after a title may be of a gender that no full name has.
+                g = seen[0] if seen and (gender == "n" or (len(whole) == 1 and gender not in seen)) else gender
+                entity = ("given", f"{g} {script} {value}")
+            else:
+                entity = ("surname", f"n {script} {value}")
+            out.append((a, b, *entity))
+            old = known.setdefault(value, entity)
+            if old[0] != entity[0] and entity[0] == ("given" if value in _GENDER_OF else "surname"):
+                known[value] = entity
+    return out, known
+
+
+def _bare(text: str, known: dict[str, tuple[str, str]]) -> list[tuple[int, int, str, str]]:
+    """The mentions of single names that ``known`` has, alone or inside a hyphenated word."""
+    out = []
+    for m in _WORD.finditer(text):
+        word, at = m[0], m.start()
+        if (entity := known.get(word.casefold())) and _is_name(word):
+            out.append((at, m.end(), *entity))
+        elif re.search("['’-]", word):
+            for part in re.finditer("[^'’-]+", word):
+                if (entity := known.get(part[0].casefold())) and _is_name(part[0]):
+                    out.append((at + part.start(), at + part.end(), *entity))
+    return out
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
@@ -114,8 +225,9 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, normal form)`` of the entities of one text, in order, without overlaps.
 
     Numbers count as cards or IBANs only with the right check digits. A name follows a form of address
-    or is a known given name with a capitalised one after it; the normal form of its parts tells
-    gender and script, so that ``Ms. Smith`` and ``Sarah Smith`` share the surname's surrogate.
+    or is a known given name with a capitalised one after it, and goes on over capitalised words,
+    particles and initials; the normal form of its parts tells gender and script, so that ``Ms. Smith``
+    and ``Sarah Smith`` share the surname's surrogate. Names found so are found again where they stand alone.
     """
     if not text:
         return []
@@ -144,28 +256,33 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
         else:
             norm = value if kind == "secret" else value.lower()
         out.append((*at, kind, norm))
-    for m in _PERSON.finditer(text):
-        title = m["title"]
-        parts = [(n, m[n]) for n in (("one", "two") if title else ("given", "last")) if m[n]]
-        parts = [p for p in parts if p[1][0].isupper()]
-        if not parts or m[parts[0][0]] is None or (title and parts[0][0] != "one") or (not title and len(parts) < 2):
-            continue
-        for i, (group, value) in enumerate(parts):
-            script = _script(value)
-            if i + 1 < len(parts):
-                gender = _GENDER[title] if title else _GIVEN[value]
-                out.append((*m.span(group), "given", f"{gender} {script} {value.casefold()}"))
-            else:
-                out.append((*m.span(group), "surname", f"n {script} {value.casefold()}"))
-    out.sort()
+    named, known = _named(text)
+    # Of mentions that start together the longest counts.
+    kept = _apart(sorted([*out, *named], key=lambda x: (x[0], -x[1])))
+    if known:
+        kept = _apart(sorted([*kept, *_outside(_bare(text, known), kept)]))
+    return kept
+
+
+def _apart(found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
     kept, end = [], 0
-    for x in out:
+    for x in found:
         if x[0] >= end:
             kept.append(x)
             end = x[1]
     return kept
 
 
+def _outside(found: list[tuple[int, int, str, str]], kept: list[tuple[int, int, str, str]]):
+    """Those of ``found`` that touch none of ``kept``; both are in order."""
+    i = 0
+    for x in found:
+        while i < len(kept) and kept[i][1] <= x[0]:
+            i += 1
+        if i == len(kept) or kept[i][0] >= x[1]:
+            yield x
+
+
 class _Stream:
     """A keyed stream of numbers."""
 
@@ -231,6 +348,9 @@ def _drawn(kind: str, norm: str, attempt: int, s: _Stream, key: bytes) -> str:
     if kind == "iban":
         body = "".join(str(s.below(10)) if c.isdigit() else "ABCDEFGHJKLMNPRSTUVWXYZ"[s.below(23)] for c in norm[4:])
         return norm[:2] + f"{98 - _iban_rest(norm[:2] + '00' + body):02d}" + body
+    if kind == "initial":
+        gender, script, _ = norm.split(" ", 2)
+        return f"{gender} {script} {ALPHABETS[script][s.below(len(ALPHABETS[script]))]}"
     if kind in ("given", "surname"):
         gender, script, value = norm.split(" ", 2)
         names = GIVEN.get((gender, script), [])
@@ -254,7 +374,7 @@ def _shaped(kind: str, new: str, mention: str) -> str:
     if kind == "iban":
         chars = iter(new)
         return "".join(c if c == " " else next(chars) for c in mention)
-    if kind in ("given", "surname"):
+    if kind in ("given", "surname", "initial"):
         new = new.split(" ", 2)[2]
         return new.upper() if mention.isupper() and len(mention) > 1 else new.title()
     if kind == "email" and mention.isupper():
@@ -276,13 +396,16 @@ def rewrite(text: str | None, attempts: dict[tuple[str, str], int], key: bytes)
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """``(key, kind, norm)``: the entities of each text, once a text; ``key`` stands for the text."""
+    """``(key, kind, norm)``: the entities of each text, once a text; ``key`` stands for the text.
+
+    Initials are left out: there are fewer letters than people, so they cannot differ.
+    """
 
     def run(batches):
         for batch in text_batches(batches, "text"):
             keys, kinds, norms = [], [], []
             for k, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-                for kind, norm in sorted({x[2:] for x in mentions(text)}):
+                for kind, norm in sorted({x[2:] for x in mentions(text) if x[2] != "initial"}):
                     keys.append(k)
                     kinds.append(kind)
                     norms.append(norm)

@@ -129,6 +129,43 @@ def test_surrogates_over_a_table(spark):
     assert pii.replace(df.limit(0), KEY).count() == 0
 
 
+def named(text):
+    return [(text[a:b], kind, norm) for a, b, kind, norm in pii.mentions(text) if kind in ("given", "surname", "initial")]
+
+
+def test_one_person_is_one_person():
+    text = "Dr. Mary Jones met Mary Jones. Mary's friend said that Jones left, and JONES-led talks; mary jones and Joneses stay."
+    got = named(text)
+    assert {x[1:] for x in got} == {("given", "f LATIN mary"), ("surname", "n LATIN jones")}
+    assert [x[0] for x in got] == ["Mary", "Jones", "Mary", "Jones", "Mary", "Jones", "JONES"]
+    new, n = pii.rewrite(text, {}, KEY)
+    assert n == 7 and "Mary" not in new and not re.search(r"\b(Jones|JONES)\b", new)
+    # What a title or another mention tells.
+    assert {x[2] for x in named("Dr. Alex Kim and Ms. Alex Kim, Dr. Alex")} == {"f LATIN alex", "n LATIN kim"}
+    assert [x[2] for x in named("Frau Prof. Dr. Berger")] == ["n LATIN berger"]
+    mail = named("Mr. Smith and Smith@mail.example, Smith.")
+    assert len(mail) == 2 and [x[2] for x in pii.mentions("Mr. Smith and Smith@mail.example")] == ["surname", "email"]
+
+
+@pytest.mark.parametrize(
+    "text, parts",
+    [
+        ("Mr. John Paul Smith spoke", ["given John", "given Paul", "surname Smith"]),
+        ("by Hans von Berg and", ["given Hans", "surname Berg"]),
+        ("María de la Cruz García, Sra. Cruz", ["given María", "surname Cruz", "surname García", "surname Cruz"]),
+        ("Mr. J. R. Smith, Mr. J.R. Smith", ["initial J", "initial R", "surname Smith"] * 2),
+        ("John F. Kennedy's and", ["given John", "initial F", "surname Kennedy"]),
+        ("Mr. John Smith Jr. and Mary Jones The", ["given John", "surname Smith", "given Mary", "surname Jones"]),
+        ("Mary said that Mr. and Don't, Hans von hier", []),
+        ("Pierre d'Artagnan I", ["given Pierre", "surname d'Artagnan"]),
+    ],
+)
+def test_all_words_of_a_name(text, parts):
+    assert [f"{kind} {value}" for value, kind, _ in named(text)] == parts
+    new = pii.rewrite(text, {}, KEY)[0]
+    assert all(not re.search(rf"\b{x.split()[1]}\b", new) for x in parts if x[0] != "i")
+
+
 def test_collisions_are_settled(spark):
     # Two-digit addresses of one form have few surrogates, so that many collide at first.
     entities = [("email", f"{a}{b}@x.example") for a in "abcdefghij" for b in range(10)]
