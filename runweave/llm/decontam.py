@@ -93,24 +93,61 @@ def diagonals(index: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def proximity(index: DataFrame, chosen: DataFrame, slack: int) -> DataFrame:
-    """``(key, item, near)``: the chosen rare words of an item meet within ``slack`` places of their order.
+    """``(key, item)``: two chosen rare words of an item stand within ``slack`` places of their distance in it.
 
-    Shifts are dealt to a grid of cells of ``slack + 1``; a shift can only be near those of its own and
-    of the next cell, so a shift counts in both, and no two lists are crossed.
+    Two postings of different places of the item meet if their shifts differ by ``slack`` at most; of a
+    window of one word one posting does. Shifts are dealt to cells of ``slack + 1``: those of one cell are
+    near each other, all others that are near lie in neighbouring cells. A cell keeps bounds and its
+    distinct shifts, ``slack + 1`` at most. Where no two postings of it meet, all have the same place in
+    the item or in the document, so that the shifts give back the postings and neighbours are compared exactly.
     """
     hits = index.where("term <> 0").join(small(chosen), "term")
     shift = F.col("pos") - 1 - F.col("at")
-    cell = F.floor(shift / F.lit(slack + 1))
-    hits = hits.select("key", "item", "need", "at", shift.alias("shift"), F.explode(F.array(cell, cell + 1)).alias("cell"))
-    met = hits.groupBy("key", "item", "cell", "at").agg(
-        F.min("shift").alias("low"), F.max("shift").alias("high"), F.min("need").alias("need")
+    hits = hits.select(
+        "key", "item", "need", "at", "pos", shift.alias("shift"), F.floor(shift / F.lit(slack + 1)).alias("cell")
     )
-    # Neighbours in the item's order, within a cell: a group is as long as the item at most.
-    next_ = Window.partitionBy("key", "item", "cell").orderBy("at")
-    gap = F.greatest(F.lead("low").over(next_) - F.col("high"), F.col("low") - F.lead("high").over(next_))
-    met = met.withColumn("gap", F.greatest(gap, F.lit(0)))
-    met = met.where((F.col("need") == 1) | (F.col("gap") <= slack))
-    return met.groupBy("key", "item").agg(F.count(F.lit(1)).alias("near"))
+    cells = hits.groupBy("key", "item", "cell").agg(
+        F.min("need").alias("need"),
+        F.min("at").alias("low"),
+        F.max("at").alias("high"),
+        F.min("pos").alias("first"),
+        F.max("pos").alias("last"),
+        F.collect_set("shift").alias("shifts"),
+    )
+    cells = stored(cells.withColumn("met", F.expr("need = 1 or (low < high and first < last)")), "near-cells")
+    here = F.struct("low", "high", "first", "shifts")
+    pairs = cells.where("not met").select("key", "item", F.explode(F.array("cell", F.col("cell") - 1)).alias("pair"), "cell", here.alias("here"))
+    pairs = pairs.groupBy("key", "item", "pair").agg(
+        F.first(F.when(F.col("cell") == F.col("pair"), F.col("here")), ignorenulls=True).alias("a"),
+        F.first(F.when(F.col("cell") != F.col("pair"), F.col("here")), ignorenulls=True).alias("b"),
+    )
+
+    def at(cell: Column, x: Column) -> Column:
+        return F.when(cell["low"] == cell["high"], cell["low"]).otherwise(cell["first"] - 1 - x)
+
+    def meet(x: Column, y: Column) -> Column:
+        i, j = at(F.col("a"), x), at(F.col("b"), y)
+        return (y - x <= slack) & (i != j) & (x + i != y + j)
+
+    near = F.exists("a.shifts", lambda x: F.exists("b.shifts", lambda y: meet(x, y)))
+    pairs = pairs.where(F.col("a").isNotNull() & F.col("b").isNotNull()).where(near)
+    return cells.where("met").select("key", "item").union(pairs.select("key", "item")).distinct()
+
+
+def near_items(docs: DataFrame, benchmark: DataFrame, width: int = 13, slack: int = 3) -> DataFrame:
+    """``(doc_id, key, n_near)``, one row per row of ``docs``: the number of items that ``proximity`` finds in it.
+
+    An item with a window in the document is among them. Null and repeated ids and texts as in ``contamination``.
+    """
+    items = item_table(benchmark, width)
+    terms = items.select(F.explode("words").alias("word")).select(_term(F.col("word")).alias("term"))
+    index = build_index(docs, terms.distinct())
+    near = proximity(index, anchors(items, index), slack)
+    ids = items.select("item", F.coalesce("item_id", F.lit("-")).alias("item_id"))
+    near = near.join(small(ids), "item").select("key", "item_id").distinct()
+    counts = stored(near.groupBy("key").agg(F.count(F.lit(1)).alias("n_near")), "near-items")
+    rows = index.where("term = 0").select("doc_id", "key").join(small(counts), "key", "left")
+    return rows.select("doc_id", "key", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"))
 
 
 def _compared(found: Column, doc: Column) -> Column:

@@ -82,6 +82,12 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(docs, benchmark, width=13, share=20).drop("key")
 
 
+def op9_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of benchmark items whose rare words stand near each other, of every document."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontam.near_items(docs, benchmark, width=13, slack=3).drop("key")
+
+
 #: Rules as (host, path, verdict); the longest that fits a url wins.
 URL_RULES = [
     ("net", "/", "block"),
@@ -107,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op7_bpe": op7_bpe,
     "op8_licenses": op8_licenses,
     "op9_decontam": op9_decontam,
+    "op9_proximity": op9_proximity,
     "op10_urls": op10_urls,
 }
 ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE_SQL, "op9_decontam": decontam.ORACLE_SQL}

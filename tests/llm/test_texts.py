@@ -260,6 +260,45 @@ def test_proximity_finds_what_exact_search_does_not(spark):
     assert {keys[bytes(r.key)] for r in decontam.proximity(index, chosen, 3).collect()} == {1, 3}
 
 
+def near_by_brute_force(text, words, chosen, slack):
+    w = decontam_words(text)
+    hits = [(at, p) for at in chosen for p, x in enumerate(w) if x == words[at]]
+    if min(13, len(words)) == 1:
+        return bool(hits)
+    return any(i != j and p != q and abs((p - i) - (q - j)) <= slack for i, p in hits for j, q in hits)
+
+
+def decontam_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
+
+
+@pytest.mark.parametrize("slack", [0, 1, 3])
+def test_proximity_against_brute_force(spark, slack):
+    random.seed(slack)
+    rare = [f"w{i}" for i in range(9)]
+    items = [(1, "w0 w1 w2 w3"), (2, "w4"), (3, "w5 w6 w5 w7"), (4, " ".join(random.choices(rare, k=17))), (None, "w8 w8")]
+    # One chosen word only; a place between two that meet, and far from both.
+    texts = ["w0", "w5 " + "x " * 9, "w8", "w4", None, "", "w0 w1 w2 w3", "w1 " + "x " * 30 + "w0 x x x w3 x x w2 " + "x " * 30 + "w1"]
+    for n in (3, 8, 20):
+        texts += [" ".join(random.choices([*rare, *["x"] * n], k=3 * n)) for _ in range(12)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, texts[6])], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = decontam.item_table(bench, 13)
+    index = decontam.build_index(docs, table.selectExpr("explode(words) word").selectExpr("xxhash64(word) term").distinct())
+    places = {}
+    for r in decontam.anchors(table, index).join(table, "item").collect():
+        places.setdefault((r.item_id, tuple(r.words)), set()).add(r.at)
+    got = decontam.near_items(docs, bench, 13, slack).collect()
+    assert len(got) == len(texts) + 1
+    exact = {r.doc_id: r.n_items for r in decontam.contamination(docs, bench).collect()}
+    for r in got:
+        text = texts[6 if r.doc_id is None else r.doc_id]
+        want = {i for (i, words), at in places.items() if near_by_brute_force(text, words, at, slack)}
+        assert r.n_near == len(want) and r.n_near >= exact[r.doc_id], (text, want)
+    by = {r.doc_id: r.n_near for r in got}
+    assert [by[i] for i in range(7)] == [0, 0, 0, 1, 0, 0, 1]
+
+
 def test_quality_of_the_held_out_fold(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
