@@ -9,6 +9,7 @@ tries again with the next attempt. Texts are rewritten with the attempts that ca
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 import unicodedata
 
@@ -47,11 +48,17 @@ ENDS = frozenset(
     "wednesday thursday friday saturday sunday january february march april june july august september october "
     "november december".split()
 )
+# --- fixed values: words of a name in a script without case, which does not show where it ends ---
+UNCASED_WORDS = 3
 # --- fixed values: syllables of made-up names, and endings by gender ---------------
 SYLLABLES = {
     "LATIN": "ba be bo bra da de do dra fa fe fo ga go gra ka ke ko kra la le lo ma me mo na ne no pa ro sa ta".split(),
     "CYRILLIC": "ба бо ва во га го да до за зо ка ко ла ло ма мо на но па по ра ро са со та то".split(),
     "GREEK": "βα βο γα γο δα δο κα κο λα λο μα μο να νο πα πο ρα ρο σα σο τα το".split(),
+    "CJK": list("安柏成达恩方冠海嘉凯朗明宁平庆瑞思涛文欣雅永泽志"),
+    "ARABIC": "با دا را سا فا كا لا ما نا بو دو رو سو كو لو مو نو".split(),
+    "HEBREW": "בא דא גא לא מא נא רא סא בו דו גו לו מו נו רו סו".split(),
+    "DEVANAGARI": "का गा ता दा ना पा बा मा रा ला सा को गो तो दो नो मो रो लो सो".split(),
 }
 ENDINGS = {
     ("m", "LATIN"): "n", ("f", "LATIN"): "lia", ("n", "LATIN"): "m",
@@ -62,21 +69,25 @@ ALPHABETS = {
     "LATIN": "abcdefghijklmnopqrstuvwxyz",
     "CYRILLIC": "абвгдежзиклмнопрстуфхцчшщэюя",
     "GREEK": "αβγδεζηθικλμνξοπρστυφχψω",
+    "CJK": "安柏成达恩方冠海嘉凯朗明宁平庆瑞思涛文欣雅永泽志",
+    "ARABIC": "بتجحدرسطفقكلمنهوي",
+    "HEBREW": "אבגדהוזחטיכלמנסעפצקרשת",
+    "DEVANAGARI": "कगचजटडतदनपबमयरलवसह",
 }
 # ------------------------------------------------------------------------------------
 
 KINDS = ("secret", "email", "ipv6", "iban", "card", "ssn", "phone", "ip", "given", "surname", "initial")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_GAP = r"[^\w\n@]{0,6}"
+_GAP = r"[^\w\n@+]{0,6}"
 _FOUND = re.compile(
     r"""(?:token|secret|api[_-]?key|access[_-]?key|passw(?:or)?d|pwd)["']?\s*[:=]\s*["']?(?P<secret>[\w\-/+=.]{8,})"""
     r"|(?<!\w)(?P<hex>[0-9a-f]{32,})(?!\w)"
     r"|(?<!\w)(?P<known>(?:ghp_|gho_|AKIA|sk-|xox[bp]-)[\w-]{10,})"
     r"|(?P<email>(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
-    r"|(?<![\w:])(?P<ipv6>(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4})(?![\w:])"
+    r"|(?<![\w:.])(?P<ipv6>(?=[0-9a-f]{0,4}:[0-9a-f]{0,4}:)[0-9a-f:]{2,39}(?:(?<=:)(?:%(o)s\.){3}%(o)s)?)(?![\w:]|\.\d)"
     r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?!\w)"
     r"|(?<![\w.])(?P<ip>(?:%(o)s\.){3}%(o)s)(?!\w|\.\d)"
-    r"|(?P<phone>(?<!\w)\+\d{1,3}%(g)s\d{2,4}%(g)s\d{2,4}(?:%(g)s\d{2,4}){1,2}(?!\w)"
+    r"|(?P<phone>(?<!\w)\+[1-9](?:%(g)s\d){7,14}(?!\w)"
     r"|(?<![\w(])\(\d{3}\)[ ]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?<!\w)(?P<card>\d{13,19}|\d{4}(?P<s>[ -])\d{4}(?P=s)\d{4}(?P=s)\d{4}|\d{4}(?P<r>[ -])\d{6}(?P=r)\d{5})(?!\w)"
@@ -93,7 +104,8 @@ def _any(words) -> str:
 
 
 #: A word of a name, without a possessive ending.
-_NAME = r"[^\W\d_](?:\w|['’-](?!s\b)(?=\w))+"
+_MARKS = "".join(chr(c) for c in range(0x300, 0x1100) if unicodedata.category(chr(c))[0] == "M")
+_NAME = rf"[^\W\d_](?:[\w{_MARKS}]|['’-](?!s\b)(?=\w))+"
 _WORD = re.compile(rf"(?<!\w){_NAME}")
 _PREFIXED = re.compile(r"(?:d|l|dell|dall|al|el)['’-](?=\w)", re.IGNORECASE)
 _START = re.compile(
@@ -107,7 +119,11 @@ _STEP = re.compile(
 
 def _is_name(word: str) -> bool:
     m = _PREFIXED.match(word)
-    return word[m.end() if m else 0].isupper() and word.casefold() not in ENDS
+    return (word[m.end() if m else 0].isupper() or _uncased(word)) and word.casefold() not in ENDS
+
+
+def _uncased(word: str) -> bool:
+    return word[0].lower() == word[0].upper()
 
 
 def _people(text: str) -> list[tuple[str, bool, list[tuple[int, int, bool]]]]:
@@ -126,7 +142,9 @@ def _people(text: str) -> list[tuple[str, bool, list[tuple[int, int, bool]]]]:
                 dotted = text[at - 1] == "."
                 waiting.append((*step.span("initial"), True))
                 continue
-            if not _is_name(step["name"]):
+            if not _is_name(step["name"]) or (not title and _uncased(step["name"])):
+                break
+            if _uncased(step["name"]) and len(parts) == UNCASED_WORDS:
                 break
             parts += [*waiting, (*step.span("name"), False)]
             waiting, dotted, pos = [], False, at
@@ -249,7 +267,20 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
             if not plain.isascii() or _iban_rest(plain) != 1:
                 continue
             norm = plain
+        elif kind == "ipv6":
+            try:
+                address = ipaddress.IPv6Address(value)
+            except ValueError:
+                continue
+            if not int(address) >> 1:
+                continue
+            norm = str(address)
         elif kind == "phone":
+            if value[0] == "+":
+                # The zero in brackets is not dialled after a country code.
+                digits = _digits(value.replace("(0)", "", 1))
+                if not 8 <= len(digits) <= 15:
+                    continue
             norm = digits if value[0] == "+" or len(digits) != 10 else f"1{digits}"
         elif kind in ("card", "ssn"):
             norm = digits
@@ -358,7 +389,7 @@ def _drawn(kind: str, norm: str, attempt: int, s: _Stream, key: bytes) -> str:
             return f"{gender} {script} {names[s.below(len(names))].casefold()}"
         some = SYLLABLES[script]
         made = "".join(some[s.below(len(some))] for _ in range(3 + attempt // 2))
-        return f"{gender} {script} {made}{ENDINGS[gender, script]}"
+        return f"{gender} {script} {made}{ENDINGS.get((gender, script), '')}"
     if re.fullmatch("[0-9a-fA-F]+", norm):
         digits = "0123456789abcdef" if not re.search("[A-F]", norm) else "0123456789ABCDEF"
         return "".join(digits[s.below(16)] for _ in norm)
@@ -369,8 +400,10 @@ def _drawn(kind: str, norm: str, attempt: int, s: _Stream, key: bytes) -> str:
 def _shaped(kind: str, new: str, mention: str) -> str:
     """The replacement in the format of a mention: its separators, its capitals."""
     if kind in ("phone", "card", "ssn"):
-        digits = iter(new[-len(_digits(mention)) :])
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        shown = mention.replace("(0)", "()", 1) if kind == "phone" and mention[0] == "+" else mention
+        digits = iter(new[-len(_digits(shown)) :])
+        out = "".join(next(digits) if c.isdigit() else c for c in shown)
+        return out if shown == mention else out.replace("()", "(0)", 1)
     if kind == "iban":
         chars = iter(new)
         return "".join(c if c == " " else next(chars) for c in mention)

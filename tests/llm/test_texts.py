@@ -166,6 +166,28 @@ def test_all_words_of_a_name(text, parts):
     assert all(not re.search(rf"\b{x.split()[1]}\b", new) for x in parts if x[0] != "i")
 
 
+@pytest.mark.parametrize(
+    "value, kind",
+    [(x, "ipv6") for x in ("2001:db8::1", "fe80::1", "::ffff:10.1.2.3", "2001:DB8:0:0:0:0:0:1")]
+    + [(x, "phone") for x in ("+33 1 23 45 67 89", "+33 6 12 34 56 78", "+61 2 9374 4000", "+49 (0)30 1234567", "+1 (957) 555-9688")]
+    + [(x, "surname") for x in ("王小明", "محمد", "כהן", "शर्मा")]
+    + [(x, None) for x in ("std::vector", "a::b::zz", "12:30:45", "::1", "+12 34", "+12345678901234567")],
+)
+def test_usual_forms_are_found(value, kind):
+    text = f"Mr. {value}, and" if kind == "surname" else f"at {value}, and"
+    found = [(text[a:b], k) for a, b, k, _ in pii.mentions(text)]
+    assert found == ([(value, kind)] if kind else [])
+    new = pii.rewrite(text, {}, KEY)[0]
+    assert (value in new) == (kind is None)
+    if kind:
+        again = pii.mentions(new)
+        assert [x[2] for x in again] == [kind]
+    if kind == "surname":
+        assert pii._script(new[4:]) == pii._script(value) != "LATIN"
+    if value == "+49 (0)30 1234567":
+        assert new.startswith("at +49 (0)") and pii.mentions(f"{value} +49 30 1234567")[1][3] == "49301234567"
+
+
 def test_collisions_are_settled(spark):
     # Two-digit addresses of one form have few surrogates, so that many collide at first.
     entities = [("email", f"{a}{b}@x.example") for a in "abcdefghij" for b in range(10)]
