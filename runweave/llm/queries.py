@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe, decontam, licenses, pii, quality, simhash, tokens, urls, vectors, warc
+from runweave.llm import bpe, decontam, licenses, merkle, pii, quality, simhash, tokens, urls, vectors, warc
 from runweave.llm.common import table
 from runweave.session import scratch_path
 
@@ -103,6 +103,12 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, urls.train(labelled))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that a changed text leads to."""
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, merkle.every_fifth(), merkle.ascii_lower(F.col("text")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
@@ -115,5 +121,6 @@ QUERIES: dict[str, Query] = {
     "op9_decontam": op9_decontam,
     "op9_proximity": op9_proximity,
     "op10_urls": op10_urls,
+    "op11_merkle": op11_merkle,
 }
-ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE_SQL, "op9_decontam": decontam.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE_SQL, "op9_decontam": decontam.ORACLE_SQL, "op11_merkle": merkle.ORACLE_SQL}
