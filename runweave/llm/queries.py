@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe, decontam, licenses, merkle, pii, quality, simhash, tokens, urls, vectors, warc
+from runweave.llm import bpe, decontam, licenses, merkle, negatives, pii, quality, simhash, tokens, urls, vectors, warc
 from runweave.llm.common import table
 from runweave.session import scratch_path
 
@@ -109,6 +109,13 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, merkle.every_fifth(), merkle.ascii_lower(F.col("text")))
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, after one in seven labels has moved on by one."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
@@ -122,5 +129,6 @@ QUERIES: dict[str, Query] = {
     "op9_proximity": op9_proximity,
     "op10_urls": op10_urls,
     "op11_merkle": op11_merkle,
+    "op13_negatives": op13_negatives,
 }
 ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE_SQL, "op9_decontam": decontam.ORACLE_SQL, "op11_merkle": merkle.ORACLE_SQL}
