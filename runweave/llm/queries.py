@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe, decontam, licenses, merkle, negatives, pii, quality, simhash, tokens, urls, vectors, warc
+from runweave.llm import bpe, decontam, licenses, merkle, negatives, pii, quality, simhash, tokens, toxicity, urls, vectors, warc
 from runweave.llm.common import table
 from runweave.session import scratch_path
 
@@ -109,6 +109,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, merkle.every_fifth(), merkle.ascii_lower(F.col("text")))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of the fold that is held out teach nothing."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.classify(docs, labels, threshold=0.3)
+
+
 def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector, after one in seven labels has moved on by one."""
     rows = table(spark, sf_dir, "embeddings")
@@ -129,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op9_proximity": op9_proximity,
     "op10_urls": op10_urls,
     "op11_merkle": op11_merkle,
+    "op12_toxicity": op12_toxicity,
     "op13_negatives": op13_negatives,
 }
 ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE_SQL, "op9_decontam": decontam.ORACLE_SQL, "op11_merkle": merkle.ORACLE_SQL}
