@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runweave.session import scratch_path
@@ -28,7 +28,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def text_batches(
-    batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 << 20
+    batches: Iterable[pa.RecordBatch], column: str | int, most_bytes: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of one hold about ``most_bytes``, and one text at least."""
     for batch in batches:
@@ -44,6 +44,14 @@ def text_batches(
         yield batch.slice(first)
 
 
+def fresh(name: str, columns: Iterable[str]) -> str:
+    """``name``, made longer until no column has it, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with a schema given as DDL."""
     return df.mapInArrow(fn, schema)
@@ -61,3 +69,13 @@ SMALL_ROWS = 200_000
 def small(df: DataFrame) -> DataFrame:
     """``df`` with a broadcast hint if its rows, counted, are few; ``df`` is cheap to count (stored)."""
     return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
+#: Bytes that a table of rows of any size may have to be sent to all executors.
+SMALL_BYTES = 32 << 20
+
+
+def small_in_bytes(df: DataFrame, size: Column) -> DataFrame:
+    """``df`` with a broadcast hint if ``size``, the bytes of a row, adds up to little; for rows without a bound."""
+    whole = df.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if whole <= SMALL_BYTES else df

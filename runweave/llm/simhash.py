@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runweave.llm.common import content_key, map_arrow, stored, text_batches
+from runweave.llm.common import content_key, fresh, map_arrow, stored, text_batches
 from runweave.llm.components import components
 from runweave.llm.xxh64 import slices_hash
 
@@ -173,11 +173,12 @@ def keep_one(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "key", "n")
     first = each.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(order).alias("first"))
     first = stored(first.select("first.*"), "simhash-first")
-    mine = docs.withColumn("__key", content_key())
+    own = fresh("key", docs.columns)
+    mine = docs.withColumn(own, content_key())
 
     def of(firsts: DataFrame) -> DataFrame:
-        same = mine["doc_id"].cast("bigint").eqNullSafe(firsts["doc_id"]) & (mine["__key"] == firsts["key"])
+        same = mine["doc_id"].cast("bigint").eqNullSafe(firsts["doc_id"]) & (mine[own] == firsts["key"])
         return mine.join(firsts, same, "left_semi")
 
-    repeated = of(first.where("n > 1")).dropDuplicates(["doc_id", "__key"])
-    return of(first.where("n = 1")).union(repeated).drop("__key")
+    repeated = of(first.where("n > 1")).dropDuplicates(["doc_id", own])
+    return of(first.where("n = 1")).union(repeated).drop(own)

@@ -26,8 +26,6 @@ SAMPLE = 16_384
 MOST_LISTS, WORDS = 1024, 256
 #: Rows of one list that one group holds at most, on average, on either side.
 BLOCK = 2048
-#: Standard deviations of a random step of the allowed length across a border between lists.
-SPREAD = 4.0
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
@@ -62,9 +60,8 @@ class Model:
     def coded(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         """List, codes and coding error of unit vectors, and the lists that each has to probe.
 
-        A vector within ``radius`` of x can lie in another list only if the border to it is within
-        ``radius`` of x; as a step goes across a given border by its length / sqrt(axes) typically,
-        ``SPREAD`` of these suffice (measured recall: see the README).
+        A vector within ``radius`` of x lies in another list only if the border between the two lists, a
+        plane, is within ``radius`` of x. All such lists are probed, so no link is lost, whatever the data.
         """
         lists = _nearest(x, self.centroids)
         rest = x - self.centroids[lists]
@@ -81,8 +78,7 @@ class Model:
         away = square - 2 * (x @ c.T)
         own = away[np.arange(len(x)), lists]
         between = np.sqrt(np.maximum(0, square[:, None] + square - 2 * (c @ c.T)))[lists]
-        reach = self.radius * min(1.0, SPREAD / math.sqrt(x.shape[1]))
-        probe = (away - own[:, None]) / 2 <= reach * between + 1e-9
+        probe = (away - own[:, None]) / 2 <= self.radius * between + 1e-9
         return lists, codes, error, [np.flatnonzero(p) for p in probe]
 
     def links(self, at: int, q: np.ndarray, x: np.ndarray, codes: np.ndarray, error: np.ndarray, least: float):

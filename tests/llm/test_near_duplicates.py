@@ -150,3 +150,34 @@ def test_probes_and_codes_of_real_vectors_lose_nothing(spark, sf_dir):
     u /= np.linalg.norm(u, axis=1, keepdims=True)
     want = (u @ u.T >= 0.95).sum(axis=1) - 1
     assert [got[r[0]] for r in rows] == want.tolist()
+
+
+def low_rank(kind, rng):
+    """Vectors whose differences point in few directions, or in all."""
+    if kind == "3 of 256":
+        return rng.normal(0, 1, (700, 3)) @ rng.normal(0, 1, (3, 256)) + rng.normal(0, 1, 256) * 1.2
+    if kind == "4 of 768":
+        return rng.normal(0, 1, (400, 4)) @ rng.normal(0, 1, (4, 768))
+    if kind == "clusters":
+        centre = rng.normal(0, 1, (12, 32))
+        return centre[rng.integers(0, 12, 800)] + rng.normal(0, 0.16, (800, 32))
+    return rng.normal(0, 1, (800, 6))
+
+
+@pytest.mark.parametrize("kind", ["3 of 256", "4 of 768", "clusters", "isotropic"])
+def test_no_link_is_lost_on_any_data(spark, kind):
+    x = low_rank(kind, np.random.default_rng(8)).astype(np.float32)
+    unit = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(axis=1, keepdims=True))
+    close = unit @ unit.T >= 0.95
+    np.fill_diagonal(close, False)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    made = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert {r.vec_id: r.n_links for r in made} == dict(enumerate(close.sum(axis=1).tolist()))
+    want = groups(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(close))])
+    assert {r.vec_id: r.component_id for r in made} == want and close.any()
+
+
+def test_keep_one_keeps_columns_named_like_helpers(spark):
+    rows = [(1, "a b c d e", 7, 8), (2, "a b c d e", 9, 10)]
+    made = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, __key int, key int"))
+    assert [tuple(r) for r in made.collect()] == [rows[0]]
