@@ -11,7 +11,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from functools import lru_cache
+from array import array
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runweave.llm.common import text_batches
+from runweave.llm.common import fresh, text_batches
 
 NONE = np.iinfo(np.int32).max
 #: Widths of the matrices. Longer pieces, of which a matrix would be mostly width, use a heap.
 WIDTHS = (4, 6, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64, 96, 128)
 WIDTH_OF = [min(w for w in WIDTHS if n <= w) for n in range(WIDTHS[-1] + 1)]
 #: Rows of one matrix, and pieces that a worker remembers.
-ROWS, REMEMBERED = 1 << 12, 300_000
+ROWS, REMEMBERED = 1 << 12, 200_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -50,18 +51,18 @@ class Vocabulary:
         for token, rank in ranks.items():
             self.token[rank] = token
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.pairs = {}
+        made = array("q")
         for token, rank in ranks.items():
             for k in range(1, len(token)):
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
-                    self.pairs[a, b] = rank
-        both = np.array(list(self.pairs), np.int64).reshape(-1, 2)
-        value = np.array(list(self.pairs.values()), np.int32)
+                    made.extend((a << 32 | b, rank))
+        keys, value = np.array(made, np.int64).reshape(-1, 2).T
+        keys, value = keys.copy(), value.astype(np.int32)
+        self._pairs = keys, value
         self._bits = max(4, int(np.ceil(np.log2(4 * len(value) + 1))))
         self._keys = np.full(1 << self._bits, -1, np.int64)
         self._values = np.full(1 << self._bits, NONE, np.int32)
-        keys = both[:, 0] << 32 | both[:, 1]
         slot = self._slot(keys)
         while len(keys):
             free = self._keys[slot] < 0
@@ -71,6 +72,12 @@ class Vocabulary:
             keys, value = keys[~put], value[~put]
             slot = (slot[~put] + 1) & ((1 << self._bits) - 1)
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """What the heap needs, so only workers that meet a long piece hold it: the rank by both ids."""
+        keys, value = self._pairs
+        return dict(zip(keys.tolist(), value.tolist()))
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -138,25 +145,31 @@ class Vocabulary:
 
     def encode_long(self, piece: bytes) -> bytes:
         """The same merges for a long piece, by a heap of (rank, place) over a linked list."""
-        ids = self.of_byte[np.frombuffer(piece, np.uint8)].tolist()
-        n, pairs = len(ids), self.pairs
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(pairs[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]
+        start = self.of_byte[np.frombuffer(piece, np.uint8)]
+        n, pairs = len(start), self.pairs
+        ids = array("q", start.astype(np.int64).tobytes())
+        after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        first = self.merged(start[:-1], start[1:]).astype(np.int64)
+        at = np.flatnonzero(first != NONE)
+        heap = (first[at] << 40 | at).tolist()  # one number an entry: rank, then place
         heapq.heapify(heap)
+        places = (1 << 40) - 1
         while heap:
-            rank, i = heapq.heappop(heap)
+            entry = heapq.heappop(heap)
+            rank, i = entry >> 40, entry & places
             j = after[i]
-            if ids[i] < 0 or j >= n or pairs.get((ids[i], ids[j])) != rank:
+            if ids[i] < 0 or j >= n or pairs.get(ids[i] << 32 | ids[j]) != rank:
                 continue
             ids[i], ids[j] = rank, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (p := (rank, ids[k])) in pairs:
-                    heapq.heappush(heap, (pairs[p], i))
-            if (h := before[i]) >= 0 and (p := (ids[h], rank)) in pairs:
-                heapq.heappush(heap, (pairs[p], h))
-        return np.array([x for x in ids if x >= 0], np.int32).tobytes()
+                if (p := rank << 32 | ids[k]) in pairs:
+                    heapq.heappush(heap, pairs[p] << 40 | i)
+            if (h := before[i]) >= 0 and (p := ids[h] << 32 | rank) in pairs:
+                heapq.heappush(heap, pairs[p] << 40 | h)
+        left = np.frombuffer(ids, np.int64)
+        return left[left >= 0].astype(np.int32).tobytes()
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes that token ids stand for."""
@@ -234,11 +247,11 @@ def encode(
     def run(batches):
         own = encoder(rank_file, pattern)
         for batch in batches:
-            for part in text_batches([batch], "__text"):
-                made = own.encode(part.column("__text").to_pylist())
+            for part in text_batches([batch], 0):
+                made = own.encode(part.column(0).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], _lists(made)], names=[*kept, ids])
 
-    df = docs.select(F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in kept])
+    df = docs.select(F.col(f"`{text}`").alias(fresh("text", docs.columns)), *[F.col(f"`{c}`") for c in kept])
     schema = T.StructType([*df.schema.fields[1:], T.StructField(ids, T.ArrayType(T.IntegerType()))])
     return df.mapInArrow(run, schema)
 
@@ -261,7 +274,7 @@ def decode(df: DataFrame, rank_file: bytes, ids: str = "ids", decoded: str = "de
                     [*part.columns[1:], pa.array(made, pa.binary())], names=[*kept, decoded]
                 )
 
-    df = df.select(F.col(f"`{ids}`").alias("__ids"), *[F.col(f"`{c}`") for c in kept])
+    df = df.select(F.col(f"`{ids}`").alias(fresh("ids", df.columns)), *[F.col(f"`{c}`") for c in kept])
     schema = T.StructType([*df.schema.fields[1:], T.StructField(decoded, T.BinaryType())])
     return df.mapInArrow(run, schema)
 

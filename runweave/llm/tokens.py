@@ -6,16 +6,15 @@ fields or sections in an interval join. A token on a border is allotted by a rul
 
 from __future__ import annotations
 
-import base64
 from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runweave.llm.bpe import encoder, vocabulary
 from runweave.llm.common import map_arrow, text_batches
 
 #: How a token that belongs to several parts is allotted: to the part with its first character, to that
@@ -24,19 +23,15 @@ RULES = ("first", "most", "share")
 
 
 @lru_cache(maxsize=4)
-def _encoding(rank_file: bytes, pattern: str) -> tuple[tiktoken.Encoding, np.ndarray]:
-    pairs = (line.split() for line in rank_file.splitlines() if line)
-    ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-    size = np.zeros(max(ranks.values()) + 1, np.int64)
-    for token, rank in ranks.items():
-        size[rank] = len(token)
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), size
+def _sizes(rank_file: bytes) -> np.ndarray:
+    """Bytes of each token."""
+    return np.array([len(t) if t is not None else 0 for t in vocabulary(rank_file).token], np.int64)
 
 
 def token_spans(text: str, rank_file: bytes, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     """First and past-the-last character of each token; tokens that share a character both cover it."""
-    encoding, size = _encoding(rank_file, pattern)
-    ids = np.array(encoding.encode_ordinary(text), np.int64)
+    size = _sizes(rank_file)
+    ids = encoder(rank_file, pattern).encode([text])[0]
     ends = np.cumsum(size[ids])
     starts = ends - size[ids]
     raw = np.frombuffer(text.encode(), np.uint8)
@@ -82,7 +77,9 @@ def attribute(
     rule: str = "most",
     sections: Callable[[str], list[dict]] | None = None,
 ) -> DataFrame:
-    """``(doc_id, n_tokens, part, begin, end, tokens double, crossing)``: one row for each part of each row.
+    """``(row, doc_id, n_tokens, part, begin, end, tokens double, crossing)``: one row for each part of each row.
+
+    ``row`` tells the rows of ``docs`` apart, whose ids may repeat.
 
     ``docs`` has ``doc_id``, ``text`` and, unless ``sections`` makes them from a text, ``parts``: an array of
     (part string, begin int, end int) in characters of the text, such as the fields a text was joined from. A row without parts gives one row with a null part; a null text has no tokens; an empty
@@ -93,25 +90,26 @@ def attribute(
 
     def run(batches):
         for batch in text_batches(batches, "text", 1 << 20):
-            columns = [[] for _ in range(7)]
+            columns = [[] for _ in range(8)]
             rows = zip(*(column.to_pylist() for column in batch.columns))
-            for doc, text, *parts in rows:
+            for row, doc, text, *parts in rows:
                 parts = sections(text or "") if sections else parts[0]
                 starts, ends = token_spans(text or "", rank_file, pattern)
                 parts = parts or [{"part": None, "begin": 0, "end": 0}]
                 begin, end = (np.array([p[k] or 0 for p in parts], np.int64) for k in ("begin", "end"))
                 count, crossing = allot(starts, ends, begin, end, rule)
-                made = ([doc] * len(parts), [len(starts)] * len(parts), [p["part"] for p in parts], begin, end, count, crossing)
+                made = ([row] * len(parts), [doc] * len(parts), [len(starts)] * len(parts), [p["part"] for p in parts], begin, end, count, crossing)
                 for column, values in zip(columns, made):
                     column.extend(values)
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
-            names = ["doc_id", "n_tokens", "part", "begin", "end", "tokens", "crossing"]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
+            names = ["row", "doc_id", "n_tokens", "part", "begin", "end", "tokens", "crossing"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text", *[] if sections else ["parts"])
+    row = F.monotonically_increasing_id().alias("row")
+    docs = docs.select(row, F.col("doc_id").cast("bigint").alias("doc_id"), "text", *[] if sections else ["parts"])
     return map_arrow(
         docs, run,
-        "doc_id bigint, n_tokens bigint, part string, begin bigint, end bigint, tokens double, crossing bigint",
+        "row bigint, doc_id bigint, n_tokens bigint, part string, begin bigint, end bigint, tokens double, crossing bigint",
     )
 
 
@@ -133,13 +131,14 @@ def line_sections(text: str) -> list[dict]:
 
 
 def by_kind(attributed: DataFrame) -> DataFrame:
-    """``attributed`` summed by document and part name: how many parts, tokens and crossing tokens.
+    """``attributed`` summed by row and part name: how many parts, tokens and crossing tokens.
 
-    Sums inside the tasks first; ids that repeat with equal texts are one group, as are null ids.
+    Sums inside the tasks first. Rows with one id, alike or not, give results of their own, as do those
+    without an id: ``n_tokens`` is that of the row's text, and the parts' tokens add up to it where they
+    cover the text.
     """
-    return attributed.groupBy("doc_id", "part").agg(
-        F.max("n_tokens").alias("n_tokens"),
+    return attributed.groupBy("row", "doc_id", "part", "n_tokens").agg(
         F.count("part").alias("parts"),
         F.sum("tokens").alias("tokens"),
         F.sum("crossing").alias("crossing"),
-    )
+    ).drop("row")

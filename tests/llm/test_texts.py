@@ -344,3 +344,21 @@ def test_quality_of_odd_rows(spark):
         assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
     assert quality.classify(df.limit(0), one).count() == 0
     assert quality.keep_good(df, none).columns == df.columns
+
+
+def test_attribution_of_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "one two\nthree four"), (1, "one two\nthree four"), (1, "five\nsix seven eight nine ten")], "doc_id long, text string")
+    got = tokens.by_kind(tokens.attribute(df, RANKS, PATTERN, "most", tokens.line_sections)).collect()
+    assert len(got) == 6 and all(r.parts == 1 for r in got)
+    whole = sorted(len(bpe.Encoder(RANKS, PATTERN).encode([r.text])[0]) for r in df.collect())
+    by_part = {p: sorted((r.n_tokens, r.tokens) for r in got if r.part == p) for p in ("head", "body")}
+    assert [n for n, _ in by_part["head"]] == [n for n, _ in by_part["body"]] == whole
+    assert sorted(n for n, _ in by_part["head"]) == whole and sum(r.tokens for r in got) == sum(whole)
+
+
+@pytest.mark.parametrize("text", [" " * 5_000_000 + "x", "ab" + "a" * 2_000_000, "\n" * 1_000_000])
+def test_very_long_runs(text):
+    starts, ends = tokens.token_spans(text, RANKS, PATTERN)
+    assert starts[0] == 0 and ends[-1] == len(text) and (starts[1:] == ends[:-1]).all()
+    ids = bpe.encoder(RANKS, PATTERN).encode([text])[0]
+    assert bpe.vocabulary(RANKS).decode(ids) == text.encode()
