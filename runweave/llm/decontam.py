@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runweave.llm.common import content_key, small, stored
+from runweave.llm.common import content_key, fresh, small, stored
 
 # --- fixed values: what a word is, and which letters fold ----------------------
 WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
@@ -219,8 +219,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
 def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns kept; see ``contamination``."""
     judged = contamination(docs, benchmark, width, share)
-    bad = stored(judged.where("contaminated").select(F.col("key").alias("__key")).distinct(), "contaminated")
-    return docs.join(small(bad), content_key() == F.col("__key"), "left_anti")
+    own = fresh("key", docs.columns)
+    bad = stored(judged.where("contaminated").select(F.col("key").alias(own)).distinct(), "contaminated")
+    return docs.join(small(bad), content_key() == F.col(own), "left_anti")
 
 
 ORACLE_SQL = """

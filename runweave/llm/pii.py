@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runweave.llm.common import content_key, map_arrow, small, stored, text_batches
+from runweave.llm.common import content_key, fresh, map_arrow, small_in_bytes, stored, text_batches
 
 # --- fixed values: forms of address by gender, given names by gender and script ----
 TITLES = {
@@ -500,16 +500,19 @@ def replace(docs: DataFrame, key: bytes, count: str | None = "n_entities") -> Da
     """
     found = stored(entities(docs), "pii-found")
     moved = settle(found.select("kind", "norm").distinct(), key)
+    key_name, moved_name = fresh("key", docs.columns), fresh("moved", docs.columns)
     changes = (
         found.join(moved, ["kind", "norm"])
         .distinct()
-        .groupBy(F.col("key").alias("__key"))
-        .agg(F.collect_list(F.struct("kind", "norm", "attempt")).alias("__moved"))
+        .groupBy(F.col("key").alias(key_name))
+        .agg(F.collect_list(F.struct("kind", "norm", "attempt")).alias(moved_name))
     )
+    # A row lists the moved entities of one text, so rows have no bound: their bytes are counted.
     changes = stored(changes, "pii-changes")
+    size = F.aggregate(moved_name, F.lit(32), lambda a, m: a + 48 + F.octet_length(m["norm"]))
     kept = [c for c in docs.columns if c != count]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], content_key().alias("__key"))
-    rows = rows.join(small(changes), "__key", "left").drop("__key")
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], content_key().alias(key_name))
+    rows = rows.join(small_in_bytes(changes, size), key_name, "left").drop(key_name)
     fields = [rows.schema[c] for c in kept]
     place = kept.index("text")
 
@@ -517,7 +520,7 @@ def replace(docs: DataFrame, key: bytes, count: str | None = "n_entities") -> Da
         for batch in text_batches(batches, "text"):
             texts = batch.column("text").to_pylist()
             new, numbers = [], []
-            for text, moves in zip(texts, batch.column("__moved").to_pylist()):
+            for text, moves in zip(texts, batch.column(moved_name).to_pylist()):
                 attempts = {(m["kind"], m["norm"]): m["attempt"] for m in moves or ()}
                 t, n = rewrite(text, attempts, key)
                 new.append(t)
