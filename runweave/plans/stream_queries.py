@@ -172,11 +172,13 @@ def guard_completed(spark, sf_dir):
     """select '{"id":' || event_id || ',"kind":"' || event_type || '"}' as line from events""",
 )
 def tail_logs(spark, sf_dir):
-    """Log lines written from the events, tailed to another folder."""
+    """Log lines written from the events, tailed to another folder: the first half, then the rest."""
     lines = V.table(spark, sf_dir, "events").select(
-        F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind")))
+        F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"))).alias("value"),
+        (F.col("event_id") % 2).alias("half"),
     )
     path = scratch_path(spark, "tail")
-    lines.write.text(f"{path}/in")
-    S.tail_logs(spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint")
+    for half in (0, 1):  # the second run goes on from the checkpoint of the first
+        lines.where(F.col("half") == half).select("value").write.mode("append").text(f"{path}/in")
+        S.tail_logs(spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint")
     return spark.read.text(f"{path}/out").withColumnRenamed("value", "line")

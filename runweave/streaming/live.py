@@ -18,6 +18,7 @@ from runweave.operators.logs import reject_after_completed
 from runweave.operators.telemetry import request_filter, route_match
 from runweave.operators.trackers import tracker_status
 from runweave.schemas import LOGS
+from runweave.sources.tailing import RANGE_BYTES, tail_lines
 
 BATCH = "batch_id"
 
@@ -183,18 +184,15 @@ def tail_logs(
     glob: str | None = None,
     raise_on_error: bool = True,
     trigger: Mapping[str, Any] = ONCE,
-    max_files_per_trigger: int | None = None,
+    range_bytes: int = RANGE_BYTES,
 ) -> bool:
-    """Copy log lines to a writer as they arrive. True when all went well; a failed stream raises
-    or, without ``raise_on_error``, gives False. With a trigger that goes on, so does the call."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    lines = reader.load(folder)
+    """Copy log lines to a writer as they arrive, also those appended to files seen before; see
+    :func:`tail_lines`. True when all went well; a failed stream raises or, without ``raise_on_error``,
+    gives False. With a trigger that goes on, so does the call."""
+    lines = tail_lines(spark, folder, glob or "*", range_bytes)
     writer = (
-        lines.writeStream.format("text")
+        lines.select(F.col("line").alias("value"))
+        .writeStream.format("text")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
