@@ -10,6 +10,8 @@ from runweave.plans.registry import query
 from runweave.plans.telemetry_queries import BEAT_TIMEOUT, DUCK_ROUTE, TEMPLATES
 from runweave.session import scratch_path
 from runweave.streaming import live as S
+from runweave.streaming.guard import guard_stream, guarded
+from runweave.streaming.nodes import closing_nodes_stream as closing_nodes
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +134,25 @@ def node_state_stream(spark, sf_dir):
     return _updated(spark, S.node_state_stream(updates, ["status"]), "nodes", ["run_id", "id"])
 
 
+@query(
+    "closing_nodes_stream",
+    """with n as (select 'p' || cast(substr(tracker_id, 2) as bigint) % 5 as run_id,
+                         'n' || cast(props_k as bigint) as id, max(ts) as ts, arg_max(event_type, ts) as status
+                  from {logs} group by all)
+       select *, epoch_ms(ts) + 21600000 <= (select epoch_ms(max(ts)) - 3600000 from events) as closed from n""",
+)
+def closing_nodes_stream(spark, sf_dir):
+    """Last state of every node of every project, closed after six hours of silence."""
+    updates = _stream(spark, sf_dir).select(
+        F.concat(F.lit("p"), F.substring("tracker_id", 2, 20).cast("bigint") % 5).alias("run_id"),
+        F.concat(F.lit("n"), "props_k").alias("id"),
+        "ts",
+        F.col("log_id").alias("seq"),
+        F.col("event_type").alias("status"),
+    )
+    return _updated(spark, closing_nodes(updates, ["status"], 21600), "closing", ["run_id", "id"])
+
+
 @query(
     "tracker_status_stream",
     """select tracker_id, max(case when event_type = 'error' and props_k < 5 then 3
@@ -167,6 +188,26 @@ def guard_completed(spark, sf_dir):
     return rows.select("tracker_id", "log_id", (F.size("problems") > 0).alias("rejected"))
 
 
+@query(
+    "guard_stream",
+    """with e as (select tracker_id, min(ts) as end_ts from {logs}
+                  where event_type = 'purchase' group by tracker_id),
+            w as (select least(max(ts) filter (where event_type = 'purchase'),
+                               max(ts) filter (where event_type <> 'purchase')) - interval 1 hour as mark from {logs})
+       select l.tracker_id, log_id, coalesce(ts > end_ts, false) as late
+       from {logs} l left join e on l.tracker_id = e.tracker_id cross join w
+       where event_type <> 'purchase' and (coalesce(ts > end_ts, false) or ts <= date_trunc('millisecond', mark))""",
+)
+def late_records_stream(spark, sf_dir):
+    """Records after their tracker's first purchase are told as they come, others once the watermark has passed."""
+    events = _stream(spark, sf_dir)
+    logs = events.where("event_type <> 'purchase'").select("tracker_id", "log_id", "ts")
+    ends = events.where("event_type = 'purchase'").select("tracker_id", F.col("ts").alias("end_ts"))
+    path = scratch_path(spark, "late")
+    guard_stream(logs, ends, f"{path}/table", f"{path}/checkpoint", horizon="3650 days").awaitTermination()
+    return guarded(spark, f"{path}/table").select("tracker_id", "log_id", "late")
+
+
 @query(
     "tail_logs",
     """select '{"id":' || event_id || ',"kind":"' || event_type || '"}' as line from events""",

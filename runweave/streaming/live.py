@@ -137,7 +137,11 @@ def heartbeat_sessions_stream(
 
 
 def node_state_stream(updates: DataFrame, value_columns: Sequence[str]) -> DataFrame:
-    """Last write per (run, node), for update mode."""
+    """Last write per (run, node), for update mode, with a state row for each node for ever.
+
+    Where nodes come and go, ``runweave.streaming.nodes.closing_nodes_stream`` sends a closing row for a
+    silent node and forgets it, at the price of a Python call a node and batch.
+    """
     newest = F.max_by(F.struct("ts", *value_columns), F.struct("ts", "seq"))
     return updates.groupBy("run_id", "id").agg(newest.alias("n")).select("run_id", "id", "n.*")
 
