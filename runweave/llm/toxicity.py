@@ -13,6 +13,7 @@ unseen forms have a score too; counts live in a hashed table of fixed size.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -21,7 +22,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,35 +36,37 @@ PRIOR, CAUTION, DRIFT = 0.02, 3.0, 0.1
 SIGNIFICANT, REMEMBERED = 0.05, 200_000
 #: Characters of a text that are cut into words at a time.
 PIECE = 1 << 20
+_MASK = (1 << BITS) - 1
 
-_WORD = regex.compile(r"[^\W_]+")
-_BREAK = regex.compile(r"[\W_]")
+_WORD = re.compile(r"[^\W_]+")
+_BREAK = re.compile(r"[\W_]")
 #: Bins of token scores (for the law of chance) and of significances (for the curve).
 SCORE_STEP, SCORE_BINS = 0.05, 400
 LEVEL_STEP, LEVEL_BINS = 0.25, 400
 
 
-def spans(text: str) -> Iterator[tuple[int, list[str]]]:
-    """Words of a text in lower case, in pieces of bounded size that begin at the given character."""
+def pieces(text: str) -> Iterator[list[str]]:
+    """Words of a text as they stand, in lists of bounded size; all that is done to a word is done once a word."""
     at = 0
     while at < len(text):
         end = at + PIECE
         if end < len(text):
             found = _BREAK.search(text, end)
             end = found.start() if found else len(text)
-        words = _WORD.findall(text, at, end)
-        yield at, " ".join(words).lower().split(" ") if words else []
+        yield _WORD.findall(text, at, end)
         at = end
 
 
 def slots(word: str) -> tuple[int, ...]:
-    """Slots of a word: its own, then those of its beginnings."""
+    """Slots of a word in lower case: its own, then those of its beginnings."""
+    word = word.lower()
     raw = word.encode()
-    mask = (1 << BITS) - 1
-    return (
-        zlib.crc32(b"=" + raw) & mask,
-        *[zlib.crc32(word[:n].encode()) & mask for n in BEGINNINGS if len(word) >= n],
-    )
+    own = zlib.crc32(b"=" + raw) & _MASK
+    starts = raw if len(raw) == len(word) else word
+    found = [starts[:n] for n in BEGINNINGS if len(word) >= n]
+    if starts is word:
+        found = [x.encode() for x in found]
+    return (own, *[zlib.crc32(x) & _MASK for x in found])
 
 
 class _Slots(dict):
@@ -82,13 +84,17 @@ class _Scores(dict):
 
     def __init__(self, weights: np.ndarray) -> None:
         super().__init__()
-        self.weights = weights
+        at = np.flatnonzero(weights)
+        self.weights = dict(zip(at.tolist(), weights[at].tolist()))  # most slots say nothing
 
     def __missing__(self, word: str) -> float:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self.weights[list(slots(word))]
-        self[word] = score = float(found[np.abs(found).argmax()])
+        score, weight = 0.0, self.weights
+        for slot in slots(word):
+            if slot in weight and abs(weight[slot]) > abs(score):
+                score = weight[slot]
+        self[word] = score
         return score
 
 
@@ -172,11 +178,11 @@ def token_scores(text: str | None, known: _Scores) -> np.ndarray:
     text has a k-th of a positive score.
     """
     parts, used = [], Counter()
-    for _, words in spans(text or ""):
+    for words in pieces(text or ""):
         scores = np.fromiter(map(known.__getitem__, words), np.float32, len(words))
         for at in np.flatnonzero(scores > 0).tolist():
-            used[words[at]] += 1
-            scores[at] /= used[words[at]]
+            used[word := words[at].lower()] += 1
+            scores[at] /= used[word]
         parts.append(scores)
     return (np.concatenate(parts) if parts else np.empty(0, np.float32)) - np.float32(DRIFT)
 
@@ -221,7 +227,7 @@ def _counts(docs: DataFrame) -> DataFrame:
         sums, whole, known = np.zeros((5, size)), np.zeros(5), _Slots()
         for batch in text_batches(batches, "text", 1 << 20):
             for text, w0, w1, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "w0", "w1", "fold"))):
-                words = set().union(*(words for _, words in spans(text or "")))
+                words = set().union(*pieces(text or ""))
                 has = np.fromiter(set().union(*map(known.__getitem__, words)), np.int64)
                 sums[0, has] += 1
                 whole[0] += 1

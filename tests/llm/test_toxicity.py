@@ -149,7 +149,7 @@ def test_passages_and_held_out(spark):
 def test_odd_rows(spark):
     docs, labels = corpus(150)
     long = "word1 " * 400_000 + "vile rotten wretch " + "x" * 2_500_000
-    odd = [(None, "vile"), (1000, None), (1001, ""), (1002, "..."), (0, docs[0][1]), (0, docs[0][1]), (1003, long), (1004, "İ_Vile_ROTTEN wretch")]
+    odd = [(None, "vile"), (1000, None), (1001, ""), (1002, "..."), (0, docs[0][1]), (0, docs[0][1]), (1003, long), (1004, "İİ_Vile_ROTTEN wretch")]
     labels = [*labels, (0, 0), (5, None), (6, 7), (None, 1), (9999, 1)]
     df = spark.createDataFrame([*docs, *odd], DOCS)
     for extra in ("w0", "w1", "fold", "n", "score"):
