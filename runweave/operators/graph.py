@@ -31,11 +31,74 @@ def tree_paths(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Dotted path of every node below the roots, each node once, at its first visit in
     pre-order.
 
-    ``edges``: parent, ord, name, child; ``roots``: node. The root's path is empty. Level by
-    level: the nodes of a level meet the edges by key, and a level is written to the shared
-    folder before the next, so plans stay short. ``ordinals`` sorts the nodes in pre-order; the
-    first visit is the path with the smallest ordinals. There is no limit of depth: a node is never
-    visited below itself, so the levels come to an end.
+    ``edges``: parent, ord, name, child; ``roots``: node. The root's path is empty. ``ordinals`` sorts the
+    nodes in pre-order. A forest, where no node has two parents, is opened by pointer doubling: as many
+    rounds as the depth has binary digits. Other graphs go level by level, as the first of several
+    paths to a node, and where a path would close a cycle, is known only once it is walked.
+    """
+    inner = edges.where(F.col("child").isNotNull() & F.col("parent").isNotNull())
+    entered = inner.join(roots.select(F.col("node").alias("child")), "child", "left_semi")
+    twice = inner.groupBy("child").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = roots.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if twice.isEmpty() and repeated.isEmpty() and entered.isEmpty():
+        return _forest_paths(inner, roots)
+    return _graph_paths(edges, roots)
+
+
+def _forest_paths(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Paths where every node has one parent at most and no root has any.
+
+    A row holds the names on the way to a node from its ancestor ``up``, up to 2^k levels above. A round joins
+    it to the row of that ancestor, which doubles the way; a row whose ancestor has no parent stays as it
+    is. Rounds end when no row has moved, or when the way is longer than there are rows: then those
+    that move run in circles. What does not end at a root is left out.
+    """
+    known = reliable_checkpoint(
+        edges.select(
+            F.col("child").alias("node"),
+            F.col("parent").alias("up"),
+            F.array("name").alias("names"),
+            F.array(F.col("ord").cast("bigint")).alias("ordinals"),
+            F.lit(True).alias("moved"),
+        )
+    )
+    rows, reach = known.count(), 1
+    while reach <= rows:
+        above = known.select(
+            F.col("node").alias("up"),
+            F.col("up").alias("higher"),
+            F.col("names").alias("before"),
+            F.col("ordinals").alias("first"),
+        )
+        moved = F.col("higher").isNotNull()
+        known = reliable_checkpoint(
+            known.drop("moved")
+            .join(above, "up", "left")
+            .select(
+                "node",
+                F.coalesce("higher", "up").alias("up"),
+                F.when(moved, F.concat("before", "names")).otherwise(F.col("names")).alias("names"),
+                F.when(moved, F.concat("first", "ordinals")).otherwise(F.col("ordinals")).alias("ordinals"),
+                moved.alias("moved"),
+            )
+        )
+        reach *= 2
+        if known.where("moved").isEmpty():
+            break
+    path = F.aggregate(
+        "names", F.lit(""), lambda at, name: F.when(at == "", name).otherwise(F.concat_ws(".", at, name))
+    )
+    below = known.join(roots.select(F.col("node").alias("up")), "up", "left_semi")
+    start = roots.select("node", F.lit("").alias("path"), F.array().cast("array<bigint>").alias("ordinals"))
+    return start.unionByName(below.select("node", path.alias("path"), "ordinals"))
+
+
+def _graph_paths(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Paths in any graph, level by level.
+
+    The nodes of a level meet the edges by key, and a level is written to the shared folder before the
+    next, so plans stay short. The first visit is the path with the smallest ordinals. There is no limit
+    of depth: a node is never visited below itself, so the levels come to an end.
     """
     level = roots.select(
         "node",

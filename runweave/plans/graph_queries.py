@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from runweave.functions.text import is_valid_uuid
 from runweave.operators import graph as G
 from runweave.operators import mutations as M
+from runweave.operators.merge_table import MergeTable
 from runweave.plans import views as V
 from runweave.plans.registry import query
+from runweave.session import scratch_path
 
 
 @query(
@@ -206,3 +208,36 @@ def delete_rows(spark, sf_dir):
     """Trackers left after those with logs are deleted."""
     doomed = V.view(spark, sf_dir, "logs").select(F.col("tracker_id").alias("id"))
     return M.delete_rows(V.view(spark, sf_dir, "trackers").select("id", "status"), doomed)
+
+
+@query(
+    "merge_on_read",
+    """with o as (select o_custkey, count(*) as n, max(o_totalprice) as total from orders group by o_custkey)
+       select c_custkey as id, case when n > 12 then 'busy' else c_mktsegment end as segment,
+              case when n > 12 and c_custkey % 2 = 0 then total else c_acctbal end as balance
+       from customer left join o on c_custkey = o_custkey
+       where not coalesce(n < 8, false) or c_custkey % 5 = 0
+       union all
+       select c_custkey, 'back', null from customer join o on c_custkey = o_custkey where n < 8 and c_custkey % 5 = 1""",
+)
+def merge_on_read(spark, sf_dir):
+    """Customers put, patched from their orders, compacted, deleted and partly put again, in one table."""
+    base = V.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance")
+    )
+    orders = V.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id"))
+    orders = orders.agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("balance"))
+    table = MergeTable(spark, scratch_path(spark, "customers"), base.schema)
+    table.put(base)
+    busy = orders.where("n > 12")
+    table.patch(busy.select("id", F.lit("busy").alias("segment"), F.array(F.lit("segment")).alias("update_keys")))
+    table.compact()
+    even = busy.where("id % 2 = 0")
+    table.patch(even.select("id", "balance", F.array(F.lit("balance")).alias("update_keys")))
+    idle = base.join(orders.where("n < 8").select("id"), "id", "left_semi")
+    table.delete(idle.where("id % 5 <> 0"))
+    lost = F.array(F.lit("segment")).alias("update_keys")
+    table.patch(idle.where("id % 5 = 2").select("id", F.lit("no row to patch").alias("segment"), lost))
+    back = idle.where("id % 5 = 1")
+    table.put(back.select("id", F.lit("back").alias("segment"), F.lit(None).cast("double").alias("balance")))
+    return table.read()
