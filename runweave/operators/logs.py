@@ -105,7 +105,8 @@ def flat_entries(payload: str | Column) -> Column:
 
     Keys are joined with dots; lists are leaves; empty objects vanish. A leaf has a number
     (float32) or a text, or a ``problem``: the separator in a key's own name, a character that
-    keys may not have, or a value that is neither. Records of any depth are opened: a record has
+    keys may not have, or a value that is neither. Records are opened to some thousand levels, and deeper
+    ones become a single leaf with the problem ``TOO_DEEP`` and an empty key. A record has
     no more levels than its text has braces, so few braces go through expressions, and only the
     texts with more are sent to Python, in Arrow batches.
     """
@@ -120,6 +121,10 @@ def flat_entries(payload: str | Column) -> Column:
     return chosen.otherwise(_deep_entries(F.when(braces > SHALLOW, text)))
 
 
+#: The problem of a record that cannot be opened for its depth.
+TOO_DEEP = "nested too deeply"
+
+
 def _unique(pairs: list[tuple[str, Any]]) -> dict[str, Any]:
     out = dict(pairs)
     if len(out) < len(pairs):
@@ -132,12 +137,17 @@ def _no_constant(name: str) -> None:
 
 
 def leaves_of(text: str | None) -> list[dict[str, Any]] | None:
-    """Leaves of one JSON object of any depth, in the order and form of :func:`flat_entries`."""
+    """Leaves of one JSON object, in the order and form of :func:`flat_entries`.
+
+    A text nested more deeply than the interpreter can read is one leaf with a problem, so it is not lost.
+    """
     if text is None:
         return None
     try:
         root = json.loads(text, object_pairs_hook=_unique, parse_constant=_no_constant)
-    except (ValueError, RecursionError):
+    except RecursionError:
+        return [{"key": "", "number": None, "text": None, "problem": TOO_DEEP}]
+    except ValueError:
         return None
     if not isinstance(root, dict):
         return None

@@ -58,7 +58,7 @@ def top_modules(code: str) -> list[str] | None:
     """Modules a piece of code imports; None when it does not parse."""
     try:
         tree = ast.parse(code)
-    except (SyntaxError, ValueError):
+    except (SyntaxError, ValueError, RecursionError, MemoryError):  # the last two: nested too deeply
         return None
     found = set()
     for node in ast.walk(tree):

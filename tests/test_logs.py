@@ -213,3 +213,20 @@ def test_rules(logs):
 def test_bad_rules(logic):
     with pytest.raises(ValueError):
         rule_column(logic)
+
+
+def test_records_nested_too_deeply_are_kept(spark):
+    deep = '{"a":' * 100_000 + "1" + "}" * 100_000
+    df = spark.createDataFrame([("p", "t", datetime(2024, 1, 1), deep), ("p", "t", datetime(2024, 1, 1), '{"b": 2}')], "project_id string, tracker_id string, ts timestamp, payload string")
+    made = L.append_logs(df).collect()
+    problems = {r.payload: r.problems for r in made}
+    assert problems == {deep: [L.TOO_DEEP], None: []}
+    flat = {(r.key, r.number, r.problem) for r in L.flatten_log(df, "payload", []).collect()}
+    assert flat == {("", None, L.TOO_DEEP), ("b", 2.0, None)}
+
+
+@pytest.mark.parametrize("code", ["f" + "()" * 100_000, "-" * 200_000 + "1", "(" * 5_000 + ")" * 5_000])
+def test_code_nested_too_deeply_does_not_parse(code):
+    from runweave.sources.notebooks import top_modules
+
+    assert top_modules(code) in (None, [])
