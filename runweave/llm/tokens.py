@@ -30,8 +30,11 @@ def _sizes(rank_file: bytes) -> np.ndarray:
 
 def token_spans(text: str, rank_file: bytes, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     """First and past-the-last character of each token; tokens that share a character both cover it."""
-    size = _sizes(rank_file)
-    ids = encoder(rank_file, pattern).encode([text])[0]
+    return _spans(text, encoder(rank_file, pattern).encode([text])[0], _sizes(rank_file))
+
+
+def _spans(text: str, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of the tokens ``ids`` that a text was encoded to, by the bytes of each token."""
     ends = np.cumsum(size[ids])
     starts = ends - size[ids]
     raw = np.frombuffer(text.encode(), np.uint8)
@@ -91,10 +94,12 @@ def attribute(
     def run(batches):
         for batch in text_batches(batches, "text", 1 << 20):
             columns = [[] for _ in range(8)]
-            rows = zip(*(column.to_pylist() for column in batch.columns))
-            for row, doc, text, *parts in rows:
+            rows = list(zip(*(column.to_pylist() for column in batch.columns)))
+            # All texts of a batch at once: the matrices of the encoder want many pieces.
+            encoded = encoder(rank_file, pattern).encode([r[2] for r in rows])
+            for (row, doc, text, *parts), ids in zip(rows, encoded):
                 parts = sections(text or "") if sections else parts[0]
-                starts, ends = token_spans(text or "", rank_file, pattern)
+                starts, ends = _spans(text or "", ids, _sizes(rank_file))
                 parts = parts or [{"part": None, "begin": 0, "end": 0}]
                 begin, end = (np.array([p[k] or 0 for p in parts], np.int64) for k in ("begin", "end"))
                 count, crossing = allot(starts, ends, begin, end, rule)
