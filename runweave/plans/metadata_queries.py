@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from runweave.operators import paging as P
+from runweave.operators import rule_index as RI
 from runweave.operators import rules as R
 from runweave.operators import runs as N
 from runweave.operators import trackers as K
@@ -464,6 +465,28 @@ def rule_eval(spark, sf_dir):
     return R.rule_eval(V.logs(spark, sf_dir), RULES)
 
 
+@query(
+    "match_rules",
+    """select concat('rule', cast(p_partkey as varchar)) as rule_id, log_id
+       from {logs} join part on tracker_id = concat('t', cast(p_partkey % 997 as varchar))
+       where (value > 4 * p_size or event_type in ('error', 'click')) and not props_k = p_size""",
+)
+def match_rules(spark, sf_dir):
+    """A rule a part, all of them matched with all records by counting."""
+    rules = V.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("rule"), "p_partkey").alias("rule_id"),
+        F.format_string(
+            '{"and":[{"==":[{"var":"tracker_id"},"t%d"]},'
+            '{"or":[{">":[{"var":"value"},%d]},{"in":[{"var":"event_type"},["error","click"]]}]},'
+            '{"!":{"==":[{"var":"props.k"},%d]}}]}',
+            F.col("p_partkey").cast("bigint") % 997,
+            F.col("p_size").cast("bigint") * 4,
+            F.col("p_size").cast("bigint"),
+        ).alias("logic"),
+    )
+    return RI.match_rules(V.logs(spark, sf_dir), rules)
+
+
 @query(
     "active_rules",
     """select concat('rule', cast(p_partkey as varchar)) as id,
