@@ -3,7 +3,7 @@
 Reading plans one partition a file, or several where small files add up to a target size. Equality and
 membership predicates on the record type and on the other header columns are taken over by the reader,
 which looks at a record's headers first: the payload of a record that is not wanted, or where no payload is
-wanted, is skipped. Files hold one gzip member a record; the writer puts the member's length in its
+wanted, is skipped beyond the HTTP headers, which give its length. Files hold one gzip member a record; the writer puts the member's length in its
 ``sl`` extra field, and the reader then jumps over the rest of a member; without the field it has to
 inflate, but still decodes and keeps nothing.
 
@@ -40,6 +40,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from runweave.llm.common import stored
+
 TARGET = 64 << 20
 MANIFEST = "_MANIFEST"
 BATCH_BYTES = 8 << 20
@@ -220,12 +222,17 @@ class _Members:
         headers = _headers(bytes(data[: max(end, 0)]))
         taken = False
 
-        def block() -> bytes:
+        def block(head_only: bool = False) -> bytes:
+            """The block, or its beginning with the inner headers, after which nothing is inflated."""
             nonlocal taken
-            taken = True
-            while feed(1 << 20, True):
-                pass
             start = end + 4
+            if head_only:
+                while data.find(b"\r\n\r\n", start) < 0 and feed(1 << 12, True):
+                    pass
+            else:
+                taken = True
+                while feed(1 << 20, True):
+                    pass
             return bytes(data[start : start + int(headers.get("content-length", 0))])
 
         yield headers, block
@@ -247,8 +254,13 @@ class _Members:
         self._skip(end + 4)
         size, taken = int(headers.get("content-length", 0)), False
 
-        def block() -> bytes:
+        def block(head_only: bool = False) -> bytes:
             nonlocal taken
+            if head_only:
+                n = 1 << 12
+                while self._more(min(n, size)).find(b"\r\n\r\n", 0, size) < 0 and n < size:
+                    n *= 2
+                return self.held[: min(n, size)]
             taken = True
             out = self._more(size)[:size]
             self._skip(size)
@@ -313,10 +325,11 @@ class WarcReader(DataSourceReader):
                     http = (row[-1] or "").startswith("application/http")
                     payload, size = None, int(headers.get("content-length", 0))
                     if http or self.payload:
-                        data = block()
+                        data = block(head_only=not self.payload)
                         if http:
-                            head, _, data = data.partition(b"\r\n\r\n")
-                            size = next((int(x[15:]) for x in head.split(b"\r\n") if x[:15].lower() == b"content-length:"), len(data))
+                            head, gap, data = data.partition(b"\r\n\r\n")
+                            left = size - len(head) - len(gap)
+                            size = next((int(x[15:]) for x in head.split(b"\r\n") if x[:15].lower() == b"content-length:"), left)
                         payload = data if self.payload and row[0] != "revisit" else None
                     rows.append((*row, size, payload))
                     held += len(payload or b"") + 500
@@ -336,8 +349,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class WarcSource(DataSource):
-    """Options: ``path``, ``target`` (bytes of a partition or file), ``payload`` (false: none is decoded),
-    ``date`` (of written records)."""
+    """Options: ``path``, ``target`` (bytes of a partition or file), ``payload`` (false: inflated up to the
+    end of the inner headers, the rest skipped), ``date`` (of written records)."""
 
     @classmethod
     def name(cls) -> str:
@@ -368,6 +381,30 @@ def read_warc(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.read.format("warc").options(path=path, **options).load()
 
 
+def verified(spark: SparkSession, path: str) -> DataFrame:
+    """``(record_id, record_type, refers_to, payload_bytes, payload_digest)`` of the responses and revisits under ``path``.
+
+    Length and digest are those of the stored payload: a response's own, a revisit's from the response that it
+    refers to and whose payload has the digest that it names; null where there is none. Only responses are
+    decoded; of revisits the headers are read. Records with equal ids all come back.
+    """
+    own = read_warc(spark, path).where(F.col("record_type") == "response")
+    own = own.select(
+        "record_id",
+        "record_type",
+        "refers_to",
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.concat(F.lit("sha1:"), digest(F.col("payload"))).alias("payload_digest"),
+    )
+    own = stored(own, "warc-responses")
+    held = own.select(F.col("record_id").alias("refers_to"), "payload_digest", "payload_bytes").distinct()
+    held = held.withColumn("digest", F.col("payload_digest"))
+    other = read_warc(spark, path, payload="false").where(F.col("record_type") == "revisit")
+    other = other.drop("payload_bytes").join(held, ["refers_to", "payload_digest"], "left")
+    names = ["record_id", "record_type", "refers_to", "payload_bytes"]
+    return own.union(other.select(*names, F.col("digest").alias("payload_digest")))
+
+
 def write_warc(df: DataFrame, path: str, **options) -> None:
     """Write records (the columns of ``WRITE``; others are not looked at) below ``path``, a new folder."""
     register(df.sparkSession)

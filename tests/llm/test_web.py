@@ -4,9 +4,11 @@ import base64
 import gzip
 import hashlib
 import io
+import random
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from runweave.llm import urls, warc
 from runweave.llm.queries import URL_RULES
@@ -108,6 +110,46 @@ def test_records_are_skipped_or_read(form, every):
     assert seen == 20
 
 
+class Counting(io.BytesIO):
+    got = 0
+
+    def read(self, n=-1):
+        out = super().read(n)
+        self.got += len(out)
+        return out
+
+
+@pytest.mark.parametrize("form", ["members", "plain"])
+def test_headers_alone_leave_the_payload_unread(form):
+    payload = random.Random(1).randbytes(3_000_000)
+    row = rows()[0] | {"payload": payload}
+    made = warc.record(row, "2024-01-01T00:00:00Z")
+    data = (gzip.decompress(made) if form == "plain" else made) * 4
+    stream, seen = Counting(data), 0
+    for _, block in warc._Members(stream, len(data)):
+        head, gap, rest = block(head_only=True).partition(b"\r\n\r\n")
+        assert gap and b"Content-Length: 3000000" in head and payload.startswith(rest) and len(rest) < 100_000
+        seen += 1
+    assert seen == 4 and stream.got < 1_000_000
+
+
+def test_verified_lengths_and_digests_come_from_payloads(spark, folder):
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    records = warc.page_records(df)
+    warc.write_warc(records, folder)
+    got = sorted(map(str, warc.verified(spark, folder).select("record_id", "record_type", "payload_bytes", "payload_digest").collect()))
+    want = sorted(map(str, records.select("record_id", "record_type", "payload_bytes", "payload_digest").collect()))
+    assert got == want
+    # Headers that tell another digest and length than the payload has.
+    false = records.withColumn("payload_digest", F.lit("sha1:no")).withColumn("payload_bytes", F.lit(5).cast("bigint"))
+    warc.write_warc(false, folder + "-false")
+    for r in warc.verified(spark, folder + "-false").collect():
+        assert (r.payload_digest is None) == (r.record_type == "revisit") and r.payload_digest != "sha1:no"
+        assert r.payload_bytes is None or r.record_type == "response"
+    warc.write_warc(records.limit(0), folder + "-none")
+    assert warc.verified(spark, folder + "-none").collect() == []
+
+
 URLS = [
     ("http://x.net/a", "x.net", "/a", "net/", "block"),
     ("https://A.Example.NET/en/1?q#f", "a.example.net", "/en/1", "example.net/en/", "allow"),
