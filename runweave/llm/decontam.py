@@ -3,8 +3,8 @@
 The postings of all words that any benchmark item has are stored once: document, place, word. Word
 counts over the whole corpus choose, for each window of an item, its rarest words; shifted by their
 place in the item, their postings name a diagonal (document, item, shift), and the lists of one
-diagonal are intersected. What is left is compared word by word, which gives the exact phrases.
-Words are represented by 64-bit hashes up to that comparison, which settles any collision.
+diagonal are intersected. What is left is compared word by word, one row a diagonal, and runs of places
+that agree are the exact phrases. Words are represented by 64-bit hashes up to that comparison, which settles any collision.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runweave.llm.common import content_key, fresh, small, stored
+from runweave.llm.common import content_key, fresh, small, small_in_bytes, stored
 
 # --- fixed values: what a word is, and which letters fold ----------------------
 WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
@@ -150,18 +150,28 @@ def near_items(docs: DataFrame, benchmark: DataFrame, width: int = 13, slack: in
     return rows.select("doc_id", "key", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"))
 
 
-def _compared(found: Column, doc: Column) -> Column:
-    """Of one diagonal: the item's id and all places of the document inside an occurring window."""
-    size, k, shift = F.size(found["words"]), found["k"], found["shift"]
-    same = F.transform(
-        F.sequence(F.lit(0), size - 1),
-        lambda i: F.coalesce(F.get(doc, shift + i) == F.get(found["words"], i), F.lit(False)),
-    )
-    starts = F.filter(
-        F.sequence(F.lit(0), size - k), lambda j: F.forall(F.slice(same, j + 1, k), lambda x: x)
+def occurrences(docs: DataFrame, items: DataFrame, found: DataFrame) -> DataFrame:
+    """``(key, item, first, last)``: the longest passages of texts, places from 0, that windows of an item cover.
+
+    One row a diagonal: its item's words are compared with the text's words at their places, and the places
+    that agree fall into runs; those of ``k`` places and more are whole windows. A text that many rows have
+    is compared once. No group is larger than an item.
+    """
+    suspects = small(stored(found.select("key").distinct(), "suspect-keys"))
+    texts = docs.select(content_key().alias("key"), "text").join(suspects, "key", "left_semi")
+    texts = texts.groupBy("key").agg(F.first("text").alias("text"))
+    places = texts.select("key", F.posexplode(words()).alias("place", "word"))
+    size = F.octet_length(F.array_join("words", " ")) + 64
+    wanted = found.join(small_in_bytes(items.select("item", "words", "k"), size), "item")
+    wanted = wanted.select("key", "item", "shift", "k", F.posexplode("words").alias("at", "word"))
+    wanted = wanted.withColumn("place", F.col("shift") + F.col("at"))
+    agree = wanted.join(places, ["key", "place", "word"])
+    one = ["key", "item", "shift"]
+    run = F.col("at") - F.row_number().over(Window.partitionBy(*one).orderBy("at"))
+    runs = agree.withColumn("run", run).groupBy(*one, "run").agg(
+        F.min("place").alias("first"), F.max("place").alias("last"), F.first("k").alias("k")
     )
-    hit = F.flatten(F.transform(starts, lambda j: F.sequence(shift + j, shift + j + k - 1)))
-    return F.struct(found["item_id"].alias("item_id"), F.array_distinct(hit).alias("hit"))
+    return runs.where(F.col("last") - F.col("first") + 1 >= F.col("k")).select("key", "item", "first", "last")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
@@ -176,36 +186,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
     terms = items.select(F.explode("words").alias("word")).select(_term(F.col("word")).alias("term"))
     index = build_index(docs, terms.distinct())
     found = stored(diagonals(index, anchors(items, index)), "diagonals")
-    found = found.join(items, "item").groupBy("key").agg(
-        F.collect_list(F.struct("item_id", "words", "k", "shift")).alias("found")
-    )
-    found = stored(found, "found")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", content_key().alias("key"))
-    suspects = small(found.select("key"))
-    # Stored, so that the words of a document are cut once and not for each comparison.
-    near = stored(
-        texts.join(suspects, "key", "left_semi").join(found, "key").select("doc_id", "key", "found", words().alias("doc")), "suspects"
-    )
-    near = near.withColumn(
-        "hits", F.filter(F.transform("found", lambda x: _compared(x, F.col("doc"))), lambda x: F.size(x["hit"]) > 0)
-    )
-    ids = F.array_sort(F.array_distinct(F.transform("hits", lambda x: F.coalesce(x["item_id"], F.lit("-")))))
-    near = near.select(
-        "doc_id",
-        "key",
-        F.size("doc").cast("bigint").alias("n_words"),
-        F.size(F.array_distinct(F.flatten(F.transform("hits", lambda x: x["hit"])))).cast("bigint").alias("n_hit"),
-        ids.alias("ids"),
-    )
-    rest = index.where("term = 0").join(suspects, "key", "left_anti")
-    rest = rest.select(
+    hits = stored(occurrences(docs, items, found), "occurrences")
+    places = hits.select("key", "first", "last").distinct()
+    places = places.select("key", F.explode(F.sequence("first", "last")).alias("place")).distinct()
+    places = places.groupBy("key").agg(F.count(F.lit(1)).alias("n_hit"))
+    ids = hits.select("key", "item").distinct().join(small(items.select("item", "item_id")), "item")
+    ids = ids.groupBy("key").agg(F.array_sort(F.collect_set(F.coalesce("item_id", F.lit("-")))).alias("ids"))
+    judged = stored(places.join(ids, "key"), "judged")
+    judged = small_in_bytes(judged, F.octet_length(F.array_join("ids", ",")) + 64)
+    rows = index.where("term = 0").join(judged, "key", "left").select(
         "doc_id",
         "key",
         F.col("n_words").cast("bigint").alias("n_words"),
-        F.lit(0).cast("bigint").alias("n_hit"),
-        F.array().cast("array<string>").alias("ids"),
+        F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+        F.coalesce("ids", F.array().cast("array<string>")).alias("ids"),
     )
-    return near.union(rest).select(
+    return rows.select(
         "doc_id",
         "key",
         "n_words",

@@ -362,3 +362,33 @@ def test_very_long_runs(text):
     assert starts[0] == 0 and ends[-1] == len(text) and (starts[1:] == ends[:-1]).all()
     ids = bpe.encoder(RANKS, PATTERN).encode([text])[0]
     assert bpe.vocabulary(RANKS).decode(ids) == text.encode()
+
+
+def test_hits_of_many_items_in_one_text_equal_brute_force(spark):
+    r = random.Random(4)
+
+    def some(n):
+        return [r.choice(["a", "b", "c", "long", "word"]) for _ in range(n)]
+
+    shared = some(30)
+    items = [("one", ["a"]), ("two", ["b", "c"])] + [(f"s{i}", some(3) + shared + some(3)) for i in range(20)]
+    items += [(f"i{i}", some(r.randint(1, 20))) for i in range(20)]
+    docs = [some(40) + shared[:14] + some(5) + shared + some(200), shared[:12], shared, some(3), []] + [some(60)] * 3
+    got = decontam.contamination(
+        spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id string, text string"),
+    )
+    want = {}
+    for i, doc in enumerate(docs):
+        hit, ids = set(), set()
+        for item, w in items:
+            k = min(13, len(w))
+            windows = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)}
+            at = [j for j in range(len(doc) - k + 1) if tuple(doc[j : j + k]) in windows]
+            hit.update(p for j in at for p in range(j, j + k))
+            ids.update([item] if at else [])
+        digest = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+        want[i] = (len(doc), len(hit), len(ids), digest, bool(hit) and 20 * len(hit) >= len(doc))
+    rows = got.collect()
+    assert len(rows) == len(docs)
+    assert {x.doc_id: (x.n_words, x.n_hit, x.n_items, x.items_sha256, x.contaminated) for x in rows} == want
