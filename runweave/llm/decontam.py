@@ -43,19 +43,20 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings ``(key, doc_id, n_words, term, pos)`` of the words in ``terms``, and one of term 0 a document.
 
     ``key`` stands for the text, so that a null or repeated id does no harm. Places count from 1; the
-    posting of term 0, at place 0, is the document itself. Stored as each task made it: no shuffle.
+    posting of term 0, at place 0, is the document itself and alone has ``doc_id`` and ``n_words``. Stored as each task made it: no shuffle.
     """
     each = docs.select(
         content_key().alias("key"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.concat(F.array(F.lit("")), words()).alias("words"),
     )
-    rows = each.select(
-        "key", "doc_id", (F.size("words") - 1).alias("n_words"), F.posexplode("words").alias("pos", "word")
-    ).withColumn("term", _term(F.col("word")))
+    each = each.select("key", "doc_id", (F.size("words") - 1).alias("n_words"), "words")
+    rows = each.select("key", "doc_id", "n_words", F.posexplode("words").alias("pos", "word"))
+    rows = rows.withColumn("term", _term(F.col("word")))
+    of_document = [F.when(F.col("term") == 0, F.col(c)).alias(c) for c in ("doc_id", "n_words")]
     wanted = small(terms.union(terms.sparkSession.sql("select 0L as term")).distinct())
     return stored(
-        rows.join(wanted, "term").select("key", "doc_id", "n_words", "term", "pos"), "postings"
+        rows.join(wanted, "term").select("key", *of_document, "term", "pos"), "postings"
     )
 
 
