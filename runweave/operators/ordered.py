@@ -58,6 +58,15 @@ def with_bucket(
     return cut.drop("__cuts"), True
 
 
+def spread_rows(df: DataFrame, by: Sequence[str], count: int, rows: int = TASK_ROWS) -> DataFrame:
+    """The ``count`` rows of ``df`` shuffled by ``by``, ``rows`` or fewer to a task on average.
+
+    Partitions of a fixed number, or merged by their compressed size, would give a task more rows with more input.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, math.ceil(count / rows)), *by)
+
+
 def _attach_carry(local: DataFrame, carry: DataFrame, by: Sequence[str]) -> DataFrame:
     keys = [*by, BUCKET]
     names = {k: f"__c_{i}" for i, k in enumerate(keys)}

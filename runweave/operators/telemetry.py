@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from runweave.operators.ordered import BUCKET, TASK_ROWS, micros, with_bucket, with_previous
+from runweave.operators.ordered import BUCKET, TASK_ROWS, micros, spread_rows, with_bucket, with_previous
 from runweave.schemas import HEARTBEAT_SECONDS, UNLOGGED_PATHS
 
 
@@ -58,7 +58,8 @@ def region_latency(
 
     Inside one span of one thread, a LEAVE closes the last ENTER of its level. What stays open at
     the edges of a span (at most a stack on either side) is matched in a second, far smaller
-    step, so a busy thread is never one task. Regions still open have no ``leave_ts``.
+    step, so a busy thread is never one task. Spans are spread over as many tasks as all events
+    ask for, so what a task sorts does not grow with the input. Regions still open have no ``leave_ts``.
     ``order_by`` starts with ``ts`` and tells all events of a thread apart.
     """
     here = [thread, BUCKET]
@@ -67,14 +68,18 @@ def region_latency(
     inside = Window.partitionBy(*here).orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # The level before an ENTER and after a LEAVE, relative to the start of the span.
-    bucketed, _ = with_bucket(events, [thread], micros("ts"), rows)
+    bucketed, cut = with_bucket(events.where(F.col(thread).isNotNull()), [thread], micros("ts"), rows)
     leveled = (
-        bucketed
+        spread_rows(bucketed, here if cut else [thread], events.count(), rows)
         .withColumn("__delta", F.when(enters, 1).otherwise(-1))
         .withColumn("__level", F.sum("__delta").over(so_far) - enters.cast("int"))
     )
     near = _pair_regions(leveled, Window.partitionBy(*here, "__level").orderBy(*order))
 
+    if not cut:
+        # A level alternates between ENTER and LEAVE, so one whole span leaves nothing to match.
+        return _regions(near.where(F.when(enters, ~F.col("__left")).otherwise(F.col("__enter_ts").isNotNull())), thread)
+
     across = (
         Window.partitionBy(thread).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -92,17 +97,20 @@ def region_latency(
     closed = absolute.where(~enters & F.col("__enter_ts").isNotNull())
     crossing = far.where(F.when(enters, ~F.col("__left")).otherwise(F.col("__enter_ts").isNotNull()))
 
-    def regions(df: DataFrame) -> DataFrame:
-        return df.select(
-            thread,
-            F.when(enters, F.col("region")).otherwise(F.col("__enter_region")).alias("region"),
-            F.col("__level").cast("bigint").alias("level"),
-            F.when(enters, F.col("ts")).otherwise(F.col("__enter_ts")).alias("enter_ts"),
-            F.when(~enters, F.col("ts")).alias("leave_ts"),
-        )
+    return _regions(closed, thread).unionByName(_regions(crossing, thread))
 
+
+def _regions(events: DataFrame, thread: str) -> DataFrame:
+    """A region for each LEAVE that closes an ENTER and each ENTER that stays open."""
+    enters = F.col("kind") == "ENTER"
     elapsed = (F.unix_micros("leave_ts") - F.unix_micros("enter_ts")) / 1e6
-    return regions(closed).unionByName(regions(crossing)).withColumn("elapsed", elapsed)
+    return events.select(
+        thread,
+        F.when(enters, F.col("region")).otherwise(F.col("__enter_region")).alias("region"),
+        F.col("__level").cast("bigint").alias("level"),
+        F.when(enters, F.col("ts")).otherwise(F.col("__enter_ts")).alias("enter_ts"),
+        F.when(~enters, F.col("ts")).alias("leave_ts"),
+    ).withColumn("elapsed", elapsed)
 
 
 def _pair_regions(events: DataFrame, same_level: WindowSpec) -> DataFrame:

@@ -1,7 +1,7 @@
 """Hot keys: one key holds at least a third of the rows. Results against plain Python."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pytest
@@ -100,6 +100,18 @@ def test_regions_cross_buckets(spark, most):
             assert r.elapsed == (r.leave_ts - r.enter_ts).total_seconds()
 
 
+def test_regions_of_many_threads_spread_over_tasks(spark):
+    # Small shuffles are merged by their size; the number of events decides here, so no task sorts most of them.
+    at = [(kind, START + timedelta(seconds=s)) for kind, s in (("ENTER", 0), ("ENTER", 1), ("LEAVE", 2), ("LEAVE", 5))]
+    events = [(thread, 0, kind, ts) for thread in range(1000) for kind, ts in at] + [(None, 0, *at[0])]
+    df = spark.createDataFrame(events, "thread bigint, region bigint, kind string, ts timestamp")
+    got = T.region_latency(df, rows=100).withColumn("task", F.spark_partition_id()).collect()
+    want = [(t, level, s) for t in range(1000) for level, s in ((0, 5.0), (1, 1.0))]
+    assert sorted((r.thread, r.level, r.elapsed) for r in got) == want
+    per_task = Counter(r.task for r in got)
+    assert len(per_task) >= 20 and max(per_task.values()) <= 300
+
+
 def test_hot_keys_are_few_and_weighted(df, rows):
     hot = {r.tracker_id: r["__salts"] for r in hot_keys(df, ["tracker_id"], 10).collect()}
     share = sum(1 for r in rows if r[0] == "hot") / len(rows)
