@@ -4,8 +4,8 @@ Each rule is cut into atoms, conditions on one field, with all negations moved i
 are found by a hash join on the value. Ranges are found by buckets: the borders of a field's ranges
 cut its values into runs, a range is a few aligned blocks of whole runs and at most two border runs, whose
 values are compared; so a value meets a range in one row at most. A rule is looked at where one of its access
-atoms is met, those of which every hit has one, equalities where there are some; then its met atoms are
-counted, and the counts go up the rule's tree.
+atoms is met, those of which every hit has one, equalities where there are some: records and rules of one
+access atom are joined in blocks, and of each pair the met atoms are counted up the rule's tree.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from runweave.operators.rules import PLAIN
 from runweave.session import reliable_checkpoint
@@ -28,6 +29,10 @@ RUNS = 1024
 FAN, LEVELS = 8, 4
 #: Bytes of the index that may be sent to all executors; a larger one is joined by a shuffle.
 SMALL_BYTES = 32 << 20
+#: Records of a block, at most; fewer where all atoms number more than this for each of ``BLOCK`` records.
+BLOCK, BLOCK_ATOMS = 256, 1 << 15
+#: Leaves of the rules of a block, about, and rows of an Arrow batch of hits.
+BLOCK_LEAVES, ROWS_OUT = 4096, 1 << 16
 _EQUAL, _BORDER = -2, -1
 
 _NEGATED = {"==": "!=", "!=": "==", "<": ">=", ">=": "<", ">": "<=", "<=": ">", "and": "or", "or": "and"}
@@ -320,7 +325,150 @@ def _index(atoms: DataFrame) -> tuple[DataFrame, DataFrame]:
         "kind", "name", F.lit(_EQUAL).alias("level"), F.lit(0).alias("cell"),
         F.coalesce("s_lo", F.col("x_lo").cast("string")).alias("point"), "atom", *bounds,
     )
-    return fields, reliable_checkpoint(spread.union(equal))
+    border = F.col("level") == _BORDER
+    entries = spread.union(equal).groupBy("kind", "name", "level", "cell", "point").agg(
+        F.collect_list(F.when(~border, F.col("atom"))).alias("sure"),
+        F.collect_list(F.when(border, F.struct("atom", *bounds))).alias("maybe"),
+    )
+    return fields, reliable_checkpoint(entries)
+
+
+def _met(records: DataFrame, fields: DataFrame, entries: DataFrame, both: DataFrame | None, only_access: bool) -> DataFrame:
+    """The rows of ``records`` with ``atoms``, those met by one value of ``whole``, a row for each value that meets some.
+
+    ``both`` has the atoms that compare two fields. ``only_access``: only the atoms with even numbers.
+    """
+    carried = [F.col(c) for c in records.columns]
+    if only_access:
+        entries = entries.withColumn("sure", F.filter("sure", lambda a: a % 2 == 0))
+        entries = entries.withColumn("maybe", F.filter("maybe", lambda e: e["atom"] % 2 == 0))
+        entries = entries.where((F.size("sure") > 0) | (F.size("maybe") > 0))
+    # Only the sorts of probes that a field has entries for are made.
+    fields = fields.join(entries.groupBy("kind", "name").agg(F.collect_set("level").alias("levels")), ["kind", "name"])
+    strings = F.aggregate("ss", F.lit(0), lambda n, s: n + F.octet_length(s))
+    values = records.select(*carried, F.explode("whole").alias("e")).select(*carried, "e.*")
+    values = values.join(_hinted(fields, 8 * F.size("xs") + strings + 64), ["kind", "name"])
+    at = F.when(F.col("x").isNotNull(), _run_of(F.col("xs"), F.col("x"))).otherwise(_run_of(F.col("ss"), F.col("s")))
+    at = F.when(F.array_max("levels") > _EQUAL, at).otherwise(0)
+    values = values.select(*carried, "kind", "name", "x", "s", "levels", at.alias("at"))
+
+    def probe(level: int, cell: Column, point: Column) -> Column:
+        return F.struct(F.lit(level).alias("level"), cell.cast("int").alias("cell"), point.alias("point"))
+
+    empty = F.lit("")
+    probes = [probe(i, F.floor(F.col("at") / F.lit(FAN**i)), empty) for i in range(LEVELS)]
+    probes += [probe(_BORDER, F.col("at"), empty), probe(_EQUAL, F.lit(0), F.coalesce("s", F.col("x").cast("string")))]
+    wanted = F.filter(F.array(*probes), lambda p: F.array_contains("levels", p["level"]))
+    values = values.select(*carried, "kind", "name", "x", "s", F.explode(wanted).alias("p"))
+    values = values.select(*carried, "kind", "name", "x", "s", "p.*")
+    text = F.aggregate("maybe", F.lit(0), lambda n, e: n + F.coalesce(F.octet_length(e["s_lo"]), F.lit(0)) + F.coalesce(F.octet_length(e["s_hi"]), F.lit(0)) + 80)
+    size = F.octet_length("point") + 8 * F.size("sure") + text + 128
+    met = values.join(_hinted(entries, size), ["kind", "name", "level", "cell", "point"])
+
+    def holds(entry: Column, end: str, beyond) -> Column:
+        x, s, closed = entry[f"x_{end}"], entry[f"s_{end}"], entry[f"{end}_in"]
+
+        def side(value: Column, bound: Column) -> Column:
+            return F.coalesce(beyond(value, bound) | (closed & (value == bound)), F.lit(False))
+
+        return (x.isNull() & s.isNull()) | side(F.col("x"), x) | side(F.col("s"), s)
+
+    inside = F.filter("maybe", lambda e: holds(e, "lo", lambda v, b: v > b) & holds(e, "hi", lambda v, b: v < b))
+    atoms = F.when(F.col("level") == _BORDER, F.transform(inside, lambda e: e["atom"])).otherwise(F.col("sure"))
+    met = met.select(*carried, atoms.alias("atoms")).where(F.size("atoms") > 0)
+    if both is None:
+        return met
+    if only_access:
+        both = both.where("atom % 2 = 0")
+    pair = records.select(*carried, F.explode("whole").alias("e")).select(*carried, "e.*")
+    pair = pair.join(both.select("atom", "kind", "name", "op", "other"), ["kind", "name"])
+    # What a rule names by ``other`` has the kind of what it is compared with.
+    other = F.get(F.filter("whole", lambda e: (e["kind"] == F.col("kind")) & (e["name"] == F.col("other"))), F.lit(0))
+    same = F.when(F.col("kind") == "n", _compared(F.col("op"), F.col("x"), other["x"]))
+    same = same.otherwise(_compared(F.col("op"), F.col("s"), other["s"]))
+    return met.union(pair.where(same).select(*carried, F.array("atom").alias("atoms")))
+
+
+def _ways(rules: DataFrame, leaves: DataFrame, numbers: DataFrame, depth: int) -> DataFrame:
+    """``(atom, rule_id, logic, leaves, access)``: each rule at each of its access atoms, its leaves in the tree's order."""
+    numbered = leaves.select("logic", "what", "path", "needs", "access").join(_hinted(numbers, F.lit(64)), "what")
+    trees = numbered.groupBy("logic").agg(
+        F.array_sort(F.collect_list(F.struct("path", "atom", "needs"))).alias("leaves"),
+        F.array_sort(F.collect_set(F.when(F.col("access"), F.col("atom")))).alias("access"),
+    )
+    size = F.size("leaves") * (16 + 8 * depth + 48) + 16 * F.size("access") + 96
+    trees = reliable_checkpoint(trees)
+    whole = rules.join(_hinted(trees, size), "logic")
+    return reliable_checkpoint(whole.select(F.explode("access").alias("atom"), "rule_id", "logic", "leaves", "access"))
+
+
+def _items(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """The items of all lists, and the number of the list that each is in."""
+    return lists.flatten(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+
+
+def _padded(lists: pa.ListArray, depth: int, fill: int) -> np.ndarray:
+    items, row = _items(lists)
+    out = np.full((len(lists), depth), fill, np.int32)
+    if len(items):
+        first = np.concatenate(([True], row[1:] != row[:-1])).nonzero()[0]
+        at = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+        out[row, at] = items.to_numpy(zero_copy_only=False)
+    return out
+
+
+def _block_hits(way: int, rules: pa.StructArray, records: pa.StructArray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the rules and of the records that meet each other, of one block each, at the access atom ``way``.
+
+    What holds is a table of nodes by records. Leaves go up the trees level by level: a node holds where as many
+    of its parts hold as it needs. A rule with several access atoms met is left to the first one.
+    """
+    leaves, rule = _items(rules.field("leaves"))
+    atom = leaves.field("atom").to_numpy()
+    path, needs = _padded(leaves.field("path"), depth, -1), _padded(leaves.field("needs"), depth, 1)
+    access, access_rule = _items(rules.field("access"))
+    access = access.to_numpy()
+    known, place = np.unique(atom, return_inverse=True)
+    has, record = _items(records.field("atoms"))
+    has = has.to_numpy()
+    spot = np.minimum(np.searchsorted(known, has), len(known) - 1)
+    right = known[spot] == has
+    table = np.zeros((len(known), len(records)), np.bool_)
+    table[spot[right], record[right]] = True
+    held = table[place]
+    for level in range(depth, 0, -1):
+        deep = path[:, level - 1] >= 0
+        need = np.where(deep, needs[:, level - 1], 1)
+        path[:, level - 1] = -1
+        new = (rule[1:] != rule[:-1]) | (path[1:] != path[:-1]).any(axis=1)
+        first = np.concatenate(([True], new)).nonzero()[0]
+        held = np.add.reduceat(held, first, axis=0, dtype=np.int32) >= np.maximum.reduceat(need, first)[:, None]
+        path, needs, rule = path[first], needs[first], rule[first]
+    earlier = access < way
+    if earlier.any():
+        spot, of = np.searchsorted(known, access[earlier]), access_rule[earlier]
+        first = np.concatenate(([True], of[1:] != of[:-1])).nonzero()[0]
+        held[of[first]] &= ~np.logical_or.reduceat(table[spot], first, axis=0)
+    return np.nonzero(held)
+
+
+def _hits(depth: int):
+    """Compare the blocks of each row; a hit is a row for each copy of its record."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rules, records = (batch.column(c).slice(i, 1).flatten() for c in ("rules", "records"))
+                way = batch.column("atom")[i].as_py()
+                rule, record = _block_hits(way, rules, records, depth)
+                rule_ids, log_ids = rules.field("rule_id"), records.field("log_id")
+                ends = np.cumsum(records.field("copies").to_numpy()[record])
+                for start in range(0, int(ends[-1]) if len(ends) else 0, ROWS_OUT):
+                    hit = np.searchsorted(ends, np.arange(start, min(start + ROWS_OUT, int(ends[-1]))), side="right")
+                    columns = [rule_ids.take(pa.array(rule[hit])), log_ids.take(pa.array(record[hit]))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["rule_id", "log_id"])
+
+    return run
 
 
 def _with_instants(leaves: DataFrame) -> DataFrame:
@@ -356,100 +504,72 @@ def match_rules(logs: DataFrame, rules: DataFrame) -> DataFrame:
     records give a row each. What cannot be read, and comparisons of two literals or of different types,
     is left out and listed by ``rule_problems``. Either table may be empty; other columns are not looked at.
     """
-    rule = F.unhex(F.md5(F.concat_ws("\n", F.coalesce("rule_id", F.lit("")), "logic").cast("binary")))
-    leaves = _parsed(rules).select("rule_id", rule.alias("rule"), F.explode("leaves").alias("leaf"))
-    leaves = _with_instants(leaves.select("rule_id", "rule", "leaf.*"))
+    rows = rules.select(F.col("rule_id").cast("string").alias("rule_id"), F.col("logic").cast("string").alias("logic"))
+    logic = F.unhex(F.md5(F.col("logic").cast("binary"))).alias("logic")
+    # Rules of one text are read once.
+    leaves = _parsed(rows.select(F.lit("").alias("rule_id"), "logic")).select(logic, F.explode("leaves").alias("leaf"))
+    leaves = _with_instants(leaves.select("logic", "leaf.*"))
     what = F.to_json(F.struct("kind", "name", "pieces", "op", "other"))
-    leaves = reliable_checkpoint(leaves.withColumn("atom", F.unhex(F.md5(what.cast("binary")))))
+    leaves = reliable_checkpoint(leaves.withColumn("what", F.unhex(F.md5(what.cast("binary")))))
     depth = leaves.agg(F.max(F.size("path"))).first()[0]
     if depth is None:
         return logs.select(F.lit(None).cast("string").alias("rule_id"), "log_id").limit(0)
-    atoms = leaves.select("atom", "kind", "name", "pieces", "op", "other").dropDuplicates(["atom"])
+    # Atoms are numbered, and even numbers are those of access atoms of some rule.
+    atoms = leaves.select("what", "kind", "name", "pieces", "op", "other").dropDuplicates(["what"])
+    atoms = atoms.join(leaves.groupBy("what").agg(F.max("access").alias("access")), "what")
+    number = 2 * F.monotonically_increasing_id() + F.when(F.col("access"), 0).otherwise(1)
+    atoms = reliable_checkpoint(atoms.select(number.alias("atom"), "*"))
+    both = atoms.where("op is not null")
+    has_both = bool(both.limit(1).count())
 
-    # Zero has one sign here too.
-    numbers = F.map_filter("number", lambda k, v: v.isNotNull() & ~k.isin(*PLAIN))
-    texts = F.map_filter("text", lambda k, v: v.isNotNull() & ~k.isin(*PLAIN))
-    plain = F.create_map(*[c for name in PLAIN if name != "ts" for c in (F.lit(name), F.col(name).cast("string"))])
-    instants = F.unix_micros(F.col("ts").cast("timestamp")).cast("double")
-    content = F.to_json(F.struct("log_id", plain.alias("plain"), instants.alias("ts"), "number", "text"))
-    rows = logs.select("log_id", F.unhex(F.md5(content.cast("binary"))).alias("key"), numbers.alias("number"), texts.alias("text"), plain.alias("plain"), instants.alias("ts"))
-    entry = "array<struct<kind:string,name:string,x:double,s:string>>"
-
-    def listed(values: Column, kind: str) -> Column:
-        x = F.lit(None) if kind == "t" else None
-        return F.transform(
-            F.map_entries(values),
-            lambda e: F.struct(
-                F.lit(kind).alias("kind"), e["key"].alias("name"),
-                (x if x is not None else e["value"].cast("double") + F.lit(0.0)).alias("x"),
-                (e["value"] if kind == "t" else F.lit(None)).alias("s"),
-            ),
-        ).cast(entry)
-
-    whole = F.concat(listed(F.col("number"), "n"), listed(F.col("text"), "t"), listed(F.col("plain"), "t"), listed(F.create_map(F.lit("ts"), F.col("ts")), "n"))
-    values = rows.select("log_id", "key", F.explode(whole).alias("e")).select("log_id", "key", "e.*")
-    values = values.where("x is not null or s is not null")
-    fields, entries = _index(atoms.where("op is null"))
-    strings = F.aggregate("ss", F.lit(0), lambda n, s: n + F.octet_length(s))
-    values = values.join(_hinted(fields, 8 * F.size("xs") + strings + 64), ["kind", "name"])
-    at = F.when(F.col("x").isNotNull(), _run_of(F.col("xs"), F.col("x"))).otherwise(_run_of(F.col("ss"), F.col("s")))
-    values = values.select("log_id", "key", "kind", "name", "x", "s", at.alias("at"))
+    ways = _ways(rows.distinct().select("rule_id", logic), leaves, atoms.select("what", "atom"), depth)
+    entry_list = _index(atoms.where("op is null"))
 
-    def probe(level: int, cell: Column, point: Column) -> Column:
-        return F.struct(F.lit(level).alias("level"), cell.cast("int").alias("cell"), point.alias("point"))
+    def met(records: DataFrame, only_access: bool) -> DataFrame:
+        return _met(records, *entry_list, both if has_both else None, only_access)
 
-    empty = F.lit("")
-    probes = [probe(i, F.floor(F.col("at") / F.lit(FAN**i)), empty) for i in range(LEVELS)]
-    probes += [probe(_BORDER, F.col("at"), empty), probe(_EQUAL, F.lit(0), F.coalesce("s", F.col("x").cast("string")))]
-    values = values.select("log_id", "key", "kind", "name", "x", "s", F.explode(F.array(*probes)).alias("p"))
-    values = values.select("log_id", "key", "kind", "name", "x", "s", "p.*")
-    size = F.octet_length("point") + F.coalesce(F.octet_length("s_lo"), F.lit(0)) + F.coalesce(F.octet_length("s_hi"), F.lit(0)) + 128
-    met = values.join(_hinted(entries, size), ["kind", "name", "level", "cell", "point"])
+    def entry(kind: str, name: Column, x: Column | None, s: Column | None) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), name.alias("name"),
+            (F.lit(None).cast("double") if x is None else x).alias("x"), (F.lit(None).cast("string") if s is None else s).alias("s"),
+        )
 
-    def holds(end: str, beyond) -> Column:
-        x, s, closed = F.col(f"x_{end}"), F.col(f"s_{end}"), F.col(f"{end}_in")
-        open_ = x.isNull() & s.isNull()
-        def side(value: Column, bound: Column) -> Column:
-            return F.coalesce(beyond(value, bound) | (closed & (value == bound)), F.lit(False))
-        return open_ | side(F.col("x"), x) | side(F.col("s"), s)
+    def listed(name: str, make) -> Column:
+        own = F.filter(F.map_entries(name), lambda e: e["value"].isNotNull() & ~e["key"].isin(*PLAIN))
+        return F.coalesce(F.transform(own, make), F.array().cast("array<struct<kind:string,name:string,x:double,s:string>>"))
 
-    inside = holds("lo", lambda v, b: v > b) & holds("hi", lambda v, b: v < b)
-    met = met.where((F.col("level") != _BORDER) | inside).select("log_id", "key", "atom")
-    both = atoms.where("op is not null")
-    if both.limit(1).count():
-        pair = rows.select("log_id", "key", "number", "plain", "ts", F.explode(whole).alias("e"))
-        pair = pair.select("log_id", "key", "number", "plain", "ts", "e.*").join(both, ["kind", "name"])
-        number = F.when(F.col("other") == "ts", F.col("ts")).otherwise(F.try_element_at("number", "other").cast("double"))
-        same = F.when(F.col("kind") == "n", _compared(F.col("op"), F.col("x"), number))
-        same = same.otherwise(_compared(F.col("op"), F.col("s"), F.try_element_at("plain", "other")))
-        met = met.union(pair.where(same).select("log_id", "key", "atom"))
-
-    # What a record meets, once each; equal records are one. There are never more atoms than the index has.
-    seen = met.groupBy("log_id", "key").agg(F.collect_set("atom").alias("atoms"), F.count(F.lit(1)).alias("n"))
-    seen = seen.select("log_id", "key", "atoms", (F.col("n") / F.size("atoms")).cast("bigint").alias("copies"))
-    whole_rules = leaves.groupBy("rule_id", "rule").agg(
-        F.collect_list(F.struct("atom", "path", "needs")).alias("leaves"),
-        F.array_sort(F.collect_set(F.when(F.col("access"), F.col("atom")))).alias("access"),
+    # Zero has one sign here too.
+    instants = F.unix_micros(F.col("ts").cast("timestamp")).cast("double")
+    plain = [entry("t", F.lit(name), None, F.col(name).cast("string")) for name in PLAIN if name != "ts"]
+    plain = F.filter(F.array(*plain, entry("n", F.lit("ts"), instants, None)), lambda e: e["x"].isNotNull() | e["s"].isNotNull())
+    numbers = listed("number", lambda e: entry("n", e["key"], e["value"].cast("double") + F.lit(0.0), None))
+    texts = listed("text", lambda e: entry("t", e["key"], None, e["value"]))
+    records = logs.select("log_id", F.concat(numbers, texts, plain).alias("whole"))
+
+    # Records that meet no access atom are left here; equal ones become one. A record meets an atom once at most.
+    by = ["log_id", "key"]
+    found = met(records, True).withColumn("key", F.unhex(F.md5(F.to_json("whole").cast("binary")))).groupBy(*by)
+    found = found.agg(F.flatten(F.collect_list("atoms")).alias("ways"), F.first("whole").alias("whole"))
+    distinct = F.array_distinct("ways")
+    copies = F.call_function("div", F.size("ways"), F.size(distinct)).alias("copies")
+    found = reliable_checkpoint(found.select(*by, distinct.alias("ways"), copies, "whole"))
+    many = found.select(F.explode("ways").alias("atom")).groupBy("atom").agg(F.count(F.lit(1)).alias("n"))
+    found = met(found, False).groupBy(*by).agg(
+        F.flatten(F.collect_list("atoms")).alias("atoms"), F.first("ways").alias("ways"), F.first("copies").alias("copies")
     )
-    ways = reliable_checkpoint(whole_rules.select(F.explode("access").alias("atom"), "rule_id", "rule", "leaves", "access"))
-    size = F.size("leaves") * (16 + 8 * depth + 48) + 16 * F.size("access") + F.coalesce(F.octet_length("rule_id"), F.lit(0)) + 96
-    by = ["log_id", "key", "rule_id", "rule"]
-    held = seen.withColumn("atom", F.explode("atoms")).join(_hinted(ways, size), "atom")
-    # A rule with several of its access atoms met is taken at the first.
-    held = held.where(F.get(F.filter("access", lambda a: F.array_contains("atoms", a)), F.lit(0)) == F.col("atom"))
-    held = held.select(*by, F.filter("leaves", lambda leaf: F.array_contains("atoms", leaf["atom"])).alias("held"), "copies")
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    if depth == 1:
-        held = held.where(F.size("held") >= F.get(F.get("held", F.lit(0))["needs"], F.lit(0)))
-        return held.select("rule_id", "log_id", copies.alias("copy")).drop("copy")
-    held = held.select(*by, F.explode("held").alias("leaf"), "copies").select(*by, "leaf.path", "leaf.needs", "copies")
-    for level in range(depth, 0, -1):
-        deep = F.size("path") >= level
-        need = F.when(deep, F.get("needs", F.lit(level - 1))).otherwise(1)
-        up = [F.when(deep, F.slice(c, 1, level - 1)).otherwise(F.col(c)).alias(c) for c in ("path", "needs")]
-        held = held.select(*by, *up, need.alias("need"), "copies")
-        held = held.groupBy(*by, "path", "needs").agg(
-            F.count(F.lit(1)).alias("met"), F.max("need").alias("need"), F.min("copies").alias("copies")
-        )
-        held = held.where("met >= need").drop("met", "need")
-    return held.select("rule_id", "log_id", copies.alias("copy")).drop("copy")
+
+    # Records and rules of an access atom, in blocks; a task compares a block with a block.
+    many = reliable_checkpoint(many)
+    most = max(16, min(BLOCK, BLOCK * BLOCK_ATOMS // max(1, atoms.count())))
+    own = found.select("log_id", "key", "copies", "atoms", F.explode("ways").alias("atom")).join(_hinted(many, F.lit(64)), "atom")
+    block = F.pmod(F.xxhash64("log_id", "key"), F.ceil(F.col("n") / F.lit(most)))
+    own = own.withColumn("block", block).groupBy("atom", "block").agg(F.collect_list(F.struct("log_id", "copies", "atoms")).alias("records"))
+    weights = reliable_checkpoint(ways.groupBy("atom").agg(F.sum(F.size("leaves")).alias("n")))
+    rule_bytes = F.size("leaves") * (16 + 8 * depth + 48) + 16 * F.size("access") + F.coalesce(F.octet_length("rule_id"), F.lit(0)) + 96
+    few = (ways.agg(F.sum(rule_bytes.cast("bigint"))).first()[0] or 0) <= SMALL_BYTES
+    block = F.pmod(F.xxhash64("rule_id", "logic"), F.ceil(F.col("n") / F.lit(BLOCK_LEAVES)))
+    held = ways.join(_hinted(weights, F.lit(64)), "atom").withColumn("block", block).groupBy("atom", "block")
+    held = held.agg(F.collect_list(F.struct("rule_id", "leaves", "access")).alias("rules")).drop("block")
+    pairs = own.drop("block").join(F.broadcast(held) if few else held, "atom")
+    log_id = logs.select("log_id").schema["log_id"]
+    return pairs.mapInArrow(_hits(depth), StructType([StructField("rule_id", StringType()), log_id]))

@@ -102,6 +102,32 @@ def test_thousands_of_rules_in_a_plan_of_the_same_size(spark):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_small_blocks_and_copies_of_a_record(spark, monkeypatch):
+    from runweave.operators import rule_index
+
+    for name, value in (("BLOCK", 16), ("BLOCK_ATOMS", 1), ("BLOCK_LEAVES", 3), ("ROWS_OUT", 7)):
+        monkeypatch.setattr(rule_index, name, value, raising=False)
+    r = random.Random(5)
+    logs = spark.createDataFrame(list(records(80, 2)) * 2, SCHEMA)
+    assert compare(spark, logs, [(f"r{i % 50}", logic(r, 3)) for i in range(60)])
+
+
+def test_pairs_are_not_shuffled_again_for_each_level(spark):
+    # A pair of a rule and a record is settled where it is made, however deep the rule.
+    logs = spark.createDataFrame(list(records(40)), SCHEMA)
+
+    def shuffles(depth):
+        rule = {"<": [{"var": "a"}, 5]}
+        for i in range(depth):
+            rule = {"or" if i % 2 else "and": [{">": [{"var": "b"}, i]}, rule]}
+        table = spark.createDataFrame([("r", json.dumps(rule))], "rule_id string, logic string")
+        found = match_rules(logs, table)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rule_eval(logs, [("r", rule)]).collect()))
+        return found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate")
+
+    assert shuffles(6) == shuffles(1)
+
+
 BAD = [
     None, "", "{", "3", "{}", '{"xor":[]}', '{"and":[]}', '{"==":[1,1]}', '{"==":[{"var":"a"},true]}',
     '{"in":[{"var":"a"},[]]}', '{"in":[{"var":"a"},[1,"x"]]}', '{"<":[{"var":"ts"},3]}',
