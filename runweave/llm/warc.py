@@ -414,8 +414,12 @@ def write_warc(df: DataFrame, path: str, **options) -> None:
 
 def digest(payload) -> F.Column:
     """Base32 of the SHA-1 of a binary column, in upper case."""
+    return base32(F.sha1(payload))
+
+
+def base32(hexed: F.Column) -> F.Column:
+    """Base32, in upper case, of 40 hex digits: a column, since it is read once for each of the 32 letters."""
     # 40 hex digits are 8 groups of 20 bits, and each of these 4 letters of base32.
-    hexed = F.sha1(payload)
     letters = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
     out = []
     for g in range(8):
@@ -440,12 +444,10 @@ def page_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         F.col("url").alias("target_uri"),
         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"),
     )
-    rows = rows.withColumn("payload_digest", digest(F.col("payload"))).withColumn(
-        "payload_bytes", F.octet_length("payload").cast("bigint")
-    )
-    first = rows.where(F.col("payload_bytes") >= least_bytes)
-    first = first.groupBy("payload_digest").agg(F.min("page_id").alias("first"))
-    rows = rows.join(first, "payload_digest", "left")
+    # Grouped and joined by the plain hash: as a group's key, all letters of the digest would hash the payload each.
+    rows = rows.withColumn("sha1", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("bigint"))
+    first = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("sha1").agg(F.min("page_id").alias("first"))
+    rows = rows.join(first, "sha1", "left").withColumn("payload_digest", base32(F.col("sha1")))
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     return rows.select(
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),

@@ -195,3 +195,15 @@ def test_model_learns_its_table(spark):
     assert right >= 0.75 * len(urls.LABELLED)
     nothing = urls.train(labelled.limit(0))
     assert nothing.probability(["a"], ["/"])[0] < 0.5
+
+
+def test_payloads_are_grouped_by_one_hash(spark):
+    # A digest of 32 letters below a group hashed the payload for each of them.
+    pages = spark.createDataFrame([(1, "u", "a"), (2, "v", "a"), (3, None, None)], "page_id bigint, url string, html string")
+    found = warc.page_records(pages)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert max(line.count("sha1(") for line in plan) == 1
+    for row in found.collect():
+        raw = {"<urn:page:3>": b""}.get(row.record_id, b"a")
+        assert row.payload_digest == "sha1:" + base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        assert row.refers_to == ("<urn:page:1>" if row.record_id == "<urn:page:2>" else None)
