@@ -36,7 +36,7 @@ PRIOR, CAUTION, DRIFT = 0.02, 3.0, 0.1
 SIGNIFICANT, REMEMBERED = 0.05, 200_000
 #: Characters of a text that are cut into words at a time.
 PIECE = 1 << 20
-_MASK = (1 << BITS) - 1
+_MASK, _OWN = (1 << BITS) - 1, zlib.crc32(b"=")
 
 _WORD = re.compile(r"[^\W_]+")
 _BREAK = re.compile(r"[\W_]")
@@ -60,13 +60,13 @@ def pieces(text: str) -> Iterator[list[str]]:
 def slots(word: str) -> tuple[int, ...]:
     """Slots of a word in lower case: its own, then those of its beginnings."""
     word = word.lower()
-    raw = word.encode()
-    own = zlib.crc32(b"=" + raw) & _MASK
-    starts = raw if len(raw) == len(word) else word
-    found = [starts[:n] for n in BEGINNINGS if len(word) >= n]
-    if starts is word:
-        found = [x.encode() for x in found]
-    return (own, *[zlib.crc32(x) & _MASK for x in found])
+    raw, crc32, long = word.encode(), zlib.crc32, len(word)
+    own = crc32(raw, _OWN) & _MASK
+    if long < BEGINNINGS[0]:
+        return (own,)
+    if len(raw) == long:
+        return (own, *[crc32(raw[:n]) & _MASK for n in BEGINNINGS if n <= long])
+    return (own, *[crc32(word[:n].encode()) & _MASK for n in BEGINNINGS if n <= long])
 
 
 class _Slots(dict):
@@ -79,6 +79,12 @@ class _Slots(dict):
         return found
 
 
+@lru_cache(maxsize=1)
+def _slots() -> _Slots:
+    """Those of a worker, from task to task."""
+    return _Slots()
+
+
 class _Scores(dict):
     """Score by word, up to ``REMEMBERED`` words: that of the slot with the strongest evidence."""
 
@@ -91,9 +97,11 @@ class _Scores(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         score, weight = 0.0, self.weights
-        for slot in slots(word):
-            if slot in weight and abs(weight[slot]) > abs(score):
-                score = weight[slot]
+        found = slots(word)
+        if not weight.keys().isdisjoint(found):
+            for slot in found:
+                if slot in weight and abs(weight[slot]) > abs(score):
+                    score = weight[slot]
         self[word] = score
         return score
 
@@ -224,7 +232,7 @@ def _counts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         size = 1 << BITS
-        sums, whole, known = np.zeros((5, size)), np.zeros(5), _Slots()
+        sums, whole, known = np.zeros((5, size)), np.zeros(5), _slots()
         for batch in text_batches(batches, "text", 1 << 20):
             for text, w0, w1, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "w0", "w1", "fold"))):
                 words = set().union(*pieces(text or ""))
@@ -233,8 +241,9 @@ def _counts(docs: DataFrame) -> DataFrame:
                 whole[0] += 1
                 if fold is not None:
                     for c, w in ((0, w0), (1, w1)):
-                        sums[1 + 2 * fold + c, has] += w
-                        whole[1 + 2 * fold + c] += w
+                        if w:
+                            sums[1 + 2 * fold + c, has] += w
+                            whole[1 + 2 * fold + c] += w
         if whole[0]:
             some = np.flatnonzero(sums[0])
             columns = [pa.array(np.append(some, -1))] + [pa.array(np.append(s[some], w)) for s, w in zip(sums, whole)]

@@ -180,3 +180,14 @@ def test_held_out_labels(spark):
     toxic = [r.predicted for r in rows if r.toxic == 1]
     clean = [r.predicted for r in rows if r.toxic == 0]
     assert np.mean(toxic) > 0.75 and np.mean(clean) < 0.05
+
+
+def test_words_are_learnt_once_a_worker_by_their_own_hash_and_that_of_their_beginnings():
+    import zlib
+
+    for word in ("a", "abc", "ABCd", "abcdefgh", "Été", "naïveté", "日本語日本語日本"):
+        low = word.lower()
+        keys = ["=" + low, *[low[:n] for n in (4, 5, 6, 7) if len(low) >= n]]
+        want = tuple(zlib.crc32(key.encode()) % 2**18 for key in keys)
+        assert toxicity.slots(word) == want and toxicity._slots()[word] == want
+    assert "abc" in toxicity._slots()
