@@ -115,7 +115,9 @@ def group_masks(max_bits: int) -> list[int]:
 def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     """Pairs ``(a, b)``, ``a < b``, of distinct ``fps.fp`` within ``max_bits`` bits; each pair once.
 
-    A pair that meets in several cells is kept in the first of them.
+    A pair that meets in several cells is kept in the first of them. The join is a shuffled one: Spark
+    takes the size of the cells from that of the fingerprints and does not see that each gets a row a mask,
+    so it would send a table of many times its limit through the driver.
     """
     masks = group_masks(max_bits)
     held = F.array(*[F.lit(m).cast("bigint") for m in masks])
@@ -132,7 +134,7 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     for g in range(len(masks) - 1, -1, -1):
         same = (F.col("va").bitwiseXOR(F.col("vb"))).bitwiseAND(F.lit(masks[g]).cast("bigint")) == 0
         first = F.when(same, F.lit(g)).otherwise(first)
-    return left.join(right, ["g", "cell"]).where(near).where(F.col("g") == first).select("a", "b")
+    return left.join(right.hint("merge"), ["g", "cell"]).where(near).where(F.col("g") == first).select("a", "b")
 
 
 def _classes(docs: DataFrame, words: int, max_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:

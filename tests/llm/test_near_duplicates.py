@@ -73,6 +73,15 @@ def test_links_lose_none(spark, most):
     assert got == sorted((a, b) for a in fps for b in fps if a < b and ((a ^ b) % 2**64).bit_count() <= most)
 
 
+def test_cells_are_never_broadcast(spark, tmp_path):
+    """Cells are 35 rows a fingerprint, which Spark's estimate of a stored table leaves out."""
+    spark.range(2000).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/fps")
+    pairs = simhash.links(spark.read.parquet(f"{tmp_path}/fps"))
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_lines_and_stars(spark):
     pairs = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (3, 2), (200, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
