@@ -6,7 +6,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from runweave.llm import bpe
+from runweave.llm import bpe, simhash
 from tests.llm.test_texts import PATTERN, RANKS
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, __key string, key string, moved string"
@@ -89,3 +89,16 @@ def test_encode_and_decode_with_clashing_names(spark):
     df = spark.createDataFrame([("Some text", 1, 2)], "text string, __text int, __ids int")
     made = bpe.decode(bpe.encode(df, RANKS, PATTERN), RANKS)
     assert made.first().decoded == b"Some text" and {"__text", "__ids"} <= set(made.columns)
+
+
+def test_near_duplicates_send_no_cells_to_the_driver(spark, sf_dir, monkeypatch):
+    """The cells of all documents are joined by a shuffle, however small Spark takes them for."""
+    plans, write = {}, simhash.stored
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "stored", watched)
+    corpus_pipeline.keep_one(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    assert "SortMergeJoin" in plans["simhash-links"] and "Broadcast" not in plans["simhash-links"]
