@@ -1,20 +1,25 @@
 """Near duplicates among embeddings by product quantisation.
 
 Coarse centroids deal the vectors to inverted lists; what is left of a vector after its centroid is
-coded by the nearest of some codewords in each subspace. A query probes every list that a vector close
+coded by the nearest of some codewords in each subspace. A vector probes every list that a vector close
 enough may lie in, gets distances to the codes from its lookup table, and settles what may be close
 enough by the exact cosine. Quantisation alone loses nothing: the table's distance is allowed to miss
 by the stored error of each code.
+
+Where vectors point in many directions a vector probes a good part of the lists, so nothing is sent once a
+probe: lists are cut into blocks, a row each, and pairs of blocks are read from the shared folder as they meet.
 """
 
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runweave.llm.common import map_arrow, stored
@@ -24,8 +29,13 @@ from runweave.llm.components import components
 SAMPLE = 16_384
 #: Bounds of the number of lists, and words a subspace; with them the model stays below some MB.
 MOST_LISTS, WORDS = 1024, 256
-#: Rows of one list that one group holds at most, on average, on either side.
+#: Rows of one list that one block holds at most, on average.
 BLOCK = 2048
+#: Bytes of a part of the blocks, unless that makes more than ``MOST_PARTS``; each pair of parts is a task, and
+#: there are ``LEAST_PARTS`` at least if there are as many blocks.
+PART_BYTES, LEAST_PARTS, MOST_PARTS = 8 << 20, 8, 256
+#: Edges of a task that are held before they are thinned to a spanning forest.
+EDGES = 1 << 20
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
@@ -57,14 +67,17 @@ class Model:
     words: np.ndarray  # subspace, word, axis
     radius: float
 
-    def coded(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-        """List, codes and coding error of unit vectors, and the lists that each has to probe.
+    def lists(self, x: np.ndarray) -> np.ndarray:
+        """The list of each unit vector."""
+        return _nearest(x, self.centroids)
+
+    def coded(self, x: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes and coding errors of unit vectors of list ``at``, and whether each has to probe each list.
 
         A vector within ``radius`` of x lies in another list only if the border between the two lists, a
         plane, is within ``radius`` of x. All such lists are probed, so no link is lost, whatever the data.
         """
-        lists = _nearest(x, self.centroids)
-        rest = x - self.centroids[lists]
+        rest = x - self.centroids[at]
         m, _, axes = self.words.shape
         rest = np.pad(rest, ((0, 0), (0, m * axes - rest.shape[1])))
         codes = np.empty((len(x), m), np.uint8)
@@ -76,26 +89,23 @@ class Model:
         c = self.centroids
         square = (c * c).sum(axis=1)
         away = square - 2 * (x @ c.T)
-        own = away[np.arange(len(x)), lists]
-        between = np.sqrt(np.maximum(0, square[:, None] + square - 2 * (c @ c.T)))[lists]
-        probe = (away - own[:, None]) / 2 <= self.radius * between + 1e-9
-        return lists, codes, error, [np.flatnonzero(p) for p in probe]
+        between = np.sqrt(np.maximum(0, square[at] + square - 2 * (c @ c[at])))
+        return codes, error, (away - away[:, at : at + 1]) / 2 <= self.radius * between + 1e-9
 
     def links(self, at: int, q: np.ndarray, x: np.ndarray, codes: np.ndarray, error: np.ndarray, least: float):
         """Row and column numbers of the pairs of ``q`` and list members ``x`` with cosine >= ``least``."""
         m, _, axes = self.words.shape
         rest = np.pad(q - self.centroids[at], ((0, 0), (0, m * axes - q.shape[1])))
-        square = (self.words * self.words).sum(axis=2)
-        most = ((self.radius + error + 1e-4) ** 2).astype(np.float32)[:, None]
-        for i in range(0, len(q), 256):
-            part = rest[i : i + 256]
-            # A row of the table for each word of a subspace: its squared distance to every query.
-            far = np.zeros((len(x), len(part)), np.float32)
-            for s in range(m):
-                own = part[:, s * axes : (s + 1) * axes]
-                table = square[s][:, None] - 2 * (self.words[s] @ own.T) + (own * own).sum(axis=1)
-                far += np.take(table.astype(np.float32), codes[:, s], axis=0)
-            b, a = np.nonzero(far <= most)
+        told = np.concatenate([self.words[s][codes[:, s]] for s in range(m)], axis=1)
+        # The distance to a code is the sum over subspaces of those to its words. It is within the bound where a
+        # product is not below zero: -2 rest.told + rest.rest + told.told <= most, with room for single precision.
+        qq, xx = (rest * rest).sum(axis=1), (told * told).sum(axis=1)
+        room = 2.0**-23 * (m * axes + 2) * (math.sqrt(qq.max(initial=0)) + math.sqrt(xx.max(initial=0)) + 1) ** 2
+        most = (self.radius + error + 1e-4) ** 2 + room
+        left = np.column_stack((rest, np.ones(len(q)), -qq / 2)).astype(np.float32)
+        right = np.column_stack((told, (most - xx) / 2, np.ones(len(x)))).astype(np.float32).T.copy()
+        for i in range(0, len(q) if len(x) else 0, 256):
+            a, b = np.divmod(np.flatnonzero(left[i : i + 256] @ right >= 0), len(x))
             for j in range(0, len(a), 1 << 14):
                 aa, bb = a[j : j + (1 << 14)] + i, b[j : j + (1 << 14)]
                 close = np.einsum("ij,ij->i", q[aa], x[bb]) >= least
@@ -113,13 +123,19 @@ def train(sample: np.ndarray, n: int, least: float) -> Model:
     return Model(centroids, words, math.sqrt(max(0.0, 2 - 2 * least)) + 1e-9)
 
 
-def _unit(column: pa.Array, dim: int) -> np.ndarray:
-    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     scale = np.abs(x).max(axis=1, keepdims=True)  # so that squares of very large or small numbers stay finite
     x = x / scale
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """Vectors of ``dim`` numbers each: floats as they are, other numbers as doubles."""
+    x = column.flatten().to_numpy(zero_copy_only=False)
+    return (x if x.dtype == np.float32 else x.astype(np.float64)).reshape(-1, dim)
+
+
 def _spanning(rows: np.ndarray, columns: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges that join the same nodes as all links do, one a node at most: each hangs on its least."""
     label = names.copy()
@@ -141,73 +157,166 @@ def _spanning(rows: np.ndarray, columns: np.ndarray, names: np.ndarray) -> tuple
     return names[move], label[move]
 
 
-def _near(classes: DataFrame, dim: int, least: float) -> DataFrame:
-    """``(a, b, n)`` for classes of one dimension: n linked rows of a (b null), or an edge (n 0)."""
-    spark = classes.sparkSession
-    sample = classes.select("v").orderBy(F.xxhash64("node"), "node").limit(SAMPLE).toArrow()
-    model = train(_unit(sample.column("v").combine_chunks(), dim), classes.count(), least)
-
-    def code(batches):
+def _thinned(edges: list[np.ndarray]) -> np.ndarray:
+    """Edges ``(2, n)`` that join the same nodes as all of ``edges``, one a node at most."""
+    both = np.concatenate([np.empty((2, 0), np.int64), *edges], axis=1)
+    if not both.size:
+        return both
+    names, at = np.unique(both, return_inverse=True)
+    at = at.reshape(both.shape)
+    return np.stack(_spanning(at[0], at[1], names))
+
+
+@contextmanager
+def _rows_of_a_batch(spark: SparkSession, n: int):
+    """What is written meanwhile goes to Python in Arrow batches of ``n`` rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+class _Block(NamedTuple):
+    """Vectors of one list, and for each the lists that it has to probe, a bit a list."""
+
+    block: int
+    list: int
+    node: np.ndarray
+    size: np.ndarray
+    error: np.ndarray
+    code: np.ndarray
+    probes: np.ndarray
+    v: np.ndarray
+
+    SCHEMA = "block bigint, list bigint, {} binary, kind string, asks array<int>"
+    COLUMNS = ("node", "size", "error", "code", "probes", "v")
+
+    @classmethod
+    def read(cls, row: dict, side: str) -> _Block:
+        kinds = ("<i8", "<i8", "<f8", "u1", "u1", row[f"{side}kind"])
+        node, size, error, *wide = (np.frombuffer(row[side + c], k) for c, k in zip(cls.COLUMNS, kinds))
+        wide = (x.reshape(len(node), -1) for x in wide)
+        return cls(row[f"{side}block"], row[f"{side}list"], node, size, error, *wide)
+
+    def asking(self, at: int) -> np.ndarray:
+        """Numbers of the vectors that have to probe list ``at``."""
+        return np.flatnonzero(self.probes[:, at >> 3] >> (7 - (at & 7)) & 1)
+
+
+def _packed(rows: pa.Table, at: int, model: Model, dim: int) -> pa.Table:
+    """The rows of one block, of list ``at``, as one row."""
+    rows = rows.sort_by("node")
+    v = _matrix(rows.column("v").combine_chunks(), dim)
+    code, error, probes = model.coded(_unit(v), at)
+    one = {"block": rows.column("block")[:1], "list": pa.array([at])}
+    columns = (rows.column("node").to_numpy(), rows.column("size").to_numpy(), error, code, np.packbits(probes, axis=1), v)
+    one |= {c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(_Block.COLUMNS, columns)}
+    asks = pa.array([np.flatnonzero(probes.any(axis=0)).astype(np.int32)], pa.list_(pa.int32()))
+    return pa.table(one | {"kind": pa.array([v.dtype.str]), "asks": asks})
+
+
+def _blocks(classes: DataFrame, model: Model, dim: int) -> DataFrame:
+    """A row for each block; each class is in one, and each block in one of the files."""
+    lists = len(model.centroids)
+
+    def each(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
-                x = _unit(part.column("v"), dim)
-                lists, codes, error, probes = model.coded(x)
-                cuts = pa.array(np.cumsum([0, *map(len, probes)]), pa.int32())
-                probes = pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(probes).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(lists), pa.array([c.tobytes() for c in codes], pa.binary()),
-                     pa.array(error), probes],
-                    names=["node", "size", "v", "list", "code", "error", "probes"],
-                )
-
+                yield part, model.lists(_unit(_matrix(part.column("v"), dim)))
+
+    def count(batches):
+        held = np.zeros(lists, np.int64)
+        for _, at in each(batches):
+            held += np.bincount(at, minlength=lists)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(lists)), pa.array(held)], names=["list", "n"])
+
+    # One row a list, so MOST_LISTS at most.
+    held = map_arrow(classes.select("v"), count, "list bigint, n bigint").groupBy("list").agg(F.sum("n").alias("n"))
+    n = np.zeros(lists, np.int64)
+    for at, rows in held.collect():
+        n[at] = rows
+    cut = np.maximum(1, -(-n // BLOCK))
+    first = np.concatenate(([0], np.cumsum(cut)))
+
+    def deal(batches):
+        for part, at in each(batches):
+            spot = part.column("node").to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            spot = (spot >> np.uint64(33)).astype(np.int64)
+            yield part.append_column("block", pa.array(first[at] + spot % cut[at]))
+
+    def pack(rows: pa.Table) -> pa.Table:
+        at = int(np.searchsorted(first, rows.column("block")[0].as_py(), "right")) - 1
+        return _packed(rows, at, model, dim)
+
+    whole = int(n.sum()) * (8 * dim + 2 * lists // 8 + 32)
+    parts = min(int(cut.sum()), MOST_PARTS, max(LEAST_PARTS, whole // PART_BYTES))
     kind = classes.schema["v"].dataType.simpleString()
-    schema = f"node bigint, size bigint, v {kind}, list bigint, code binary, error double, probes array<int>"
-    coded = stored(map_arrow(classes.select("node", "size", "v"), code, schema), "vectors-coded")
-    queries = coded.select("node", "v", F.explode(F.col("probes").cast("array<bigint>")).alias("list"))
-
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
-
-    # One row a list, so MOST_LISTS at most: a proven bound for the broadcast.
-    cut = F.broadcast(blocks(coded, "nx").join(blocks(queries, "nq"), "list"))
-    spot = F.xxhash64("node")
-    left = coded.join(cut, "list").select(
-        "list", F.pmod(spot, "nx").cast("int").alias("xb"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"),
-        "node", "size", "v", "code", "error",
-    )
-    right = queries.join(cut, "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("xb"), F.pmod(spot, "nq").cast("int").alias("qb"),
-        F.col("node").alias("asks"), F.col("v").alias("q"),
-    )
-
-    def compare(index: pa.Table, asked: pa.Table) -> pa.Table:
-        if not index.num_rows or not asked.num_rows:
-            return pa.table({c: pa.array([], pa.int64()) for c in "abn"})
-        x, q = (_unit(v.combine_chunks(), dim) for v in (index.column("v"), asked.column("q")))
-        xn, qn = index.column("node").to_numpy(), asked.column("asks").to_numpy()
-        size, error = index.column("size").to_numpy(), index.column("error").to_numpy()
-        codes = np.frombuffer(b"".join(index.column("code").to_pylist()), np.uint8).reshape(len(x), -1)
-        count, rows, columns = np.zeros(len(q), np.int64), [], []
-        label = np.concatenate((qn, xn))
-        for a, b in model.links(index.column("list")[0].as_py(), q, x, codes, error, least):
-            other = qn[a] != xn[b]
-            a, b = a[other], b[other]
-            np.add.at(count, a, size[b])
-            rows.append(a)
-            columns.append(b + len(q))
-        rows, columns = (np.concatenate(y or [np.empty(0, np.int64)]) for y in (rows, columns))
-        frm, to = _spanning(rows, columns, label) if len(rows) else (rows, rows)
-        some = np.flatnonzero(count)
-        return pa.table({
-            "a": np.concatenate((qn[some], frm)),
-            "b": pa.array([None] * len(some) + to.tolist(), pa.int64()),
-            "n": np.concatenate((count[some], np.zeros(len(frm), np.int64))),
-        })
-
-    keys = ["list", "xb", "qb"]
-    met = left.groupBy(*keys).cogroup(right.groupBy(*keys))
-    return met.applyInArrow(compare, "a bigint, b bigint, n bigint")
+    dealt = map_arrow(classes.select("node", "size", "v"), deal, f"node bigint, size bigint, v {kind}, block bigint")
+    schema = _Block.SCHEMA.format(" binary, ".join(_Block.COLUMNS))
+    made = dealt.repartition(parts, "block").groupBy("block").applyInArrow(pack, schema)
+    return stored(made, "vectors-blocks")
+
+
+def _near(classes: DataFrame, dim: int, least: float) -> DataFrame:
+    """``(a, b, n)`` for classes of one dimension: n linked rows of a (b null), or an edge (n 0).
+
+    Each pair of blocks meets in one row, of the vectors of either that probe the list of the other. No
+    row is shuffled for it: a task reads two parts of the blocks, and sends a number a vector and a forest.
+    """
+    spark = classes.sparkSession
+    sample = classes.select("v").orderBy(F.xxhash64("node"), "node").limit(SAMPLE).toArrow()
+    sample = _unit(_matrix(sample.column("v").combine_chunks(), dim))
+    model = train(sample, classes.count(), least)
+    blocks = _blocks(classes, model, dim)
+
+    def compare(batches):
+        held, edges, n_edges, most_edges = {}, [], 0, EDGES
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            a, b = _Block.read(row, "a_"), _Block.read(row, "b_")
+            count_a, count_b = (held.setdefault(s.block, (s.node, np.zeros(len(s.node), np.int64)))[1] for s in (a, b))
+            asks, asked = a.asking(b.list), b.asking(a.list)
+            q, x = _unit(a.v[asks]), _unit(b.v[asked])
+            for i, j in model.links(b.list, q, x, b.code[asked], b.error[asked], least):
+                i, j = asks[i], asked[j]
+                if a.block == b.block:
+                    once = i < j
+                    i, j = i[once], j[once]
+                np.add.at(count_a, i, b.size[j])
+                np.add.at(count_b, j, a.size[i])
+                edges.append(np.stack((a.node[i], b.node[j])))
+                n_edges += len(i)
+                if n_edges > most_edges:
+                    edges = [_thinned(edges)]
+                    n_edges = edges[0].shape[1]
+                    most_edges = max(EDGES, 2 * n_edges)
+        frm, to = _thinned(edges)
+        counted = [(node[n > 0], n[n > 0]) for node, n in held.values()]
+        nodes, numbers = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*counted) if counted else ((), ())))
+        columns = [
+            pa.array(np.concatenate((nodes, frm))),
+            pa.concat_arrays([pa.nulls(len(nodes), pa.int64()), pa.array(to)]),
+            pa.array(np.concatenate((numbers, np.zeros(len(frm), np.int64)))),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
+
+    a, b = (blocks.select(*[F.col(c).alias(f"{side}_{c}") for c in blocks.columns]) for side in "ab")
+    # Of two blocks now the one and now the other is on the left, so that tasks have alike much to do.
+    even = (F.col("a_block") + F.col("b_block")) % 2 == 0
+    meet = (F.col("a_block") == F.col("b_block")) | ((F.col("a_block") < F.col("b_block")) == even)
+    meet = meet & F.expr("array_contains(a_asks, int(b_list)) and array_contains(b_asks, int(a_list))")
+    pairs = a.join(b.hint("shuffle_replicate_nl"), meet).drop("a_asks", "b_asks")
+    with _rows_of_a_batch(spark, 1):
+        return stored(map_arrow(pairs, compare, "a bigint, b bigint, n bigint"), "vectors-links")
+
+
+def _vector_key(v: str) -> Column:
+    """128 bits that stand for a vector; both zeros are one number."""
+    same = F.transform(v, lambda x: F.when(x == 0, F.abs(x)).otherwise(x))
+    return F.unhex(F.md5(same.cast("string").cast("binary")))
 
 
 def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
@@ -228,10 +337,13 @@ def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
     usable = rows.where("v is not null")
     classes = usable.groupBy("v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("size"))
     classes = stored(classes, "vectors-classes")
-    member = stored(usable.join(classes, "v").select("vec_id", "node", "size"), "vectors-member")
+    # Rows find their class by a short key: their vectors need not be shuffled a second time.
+    own = usable.select("vec_id", _vector_key("v").alias("key"))
+    member = own.join(classes.select("node", "size", _vector_key("v").alias("key")), "key")
+    member = stored(member.select("vec_id", "node", "size"), "vectors-member")
     found = None
     for (dim,) in classes.select(F.size("v").alias("d")).distinct().orderBy("d").collect():
-        part = stored(_near(classes.where(F.size("v") == dim), dim, least), "vectors-links")
+        part = _near(classes.where(F.size("v") == dim), dim, least)
         found = part if found is None else found.union(part)
     apart = rows.where("v is null").select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")

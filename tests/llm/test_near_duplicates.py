@@ -186,6 +186,56 @@ def test_no_link_is_lost_on_any_data(spark, kind):
     assert {r.vec_id: r.component_id for r in made} == want and close.any()
 
 
+@pytest.mark.parametrize("kind", ["clusters", "isotropic"])
+def test_blocks_meet_without_a_shuffle(spark, kind, monkeypatch):
+    """Most vectors probe most lists here; nothing may be written once a probe or a pair."""
+    plans, tables, write = {}, {}, vectors.stored
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        tables[name] = write(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(vectors, "stored", watched)
+    monkeypatch.setattr(vectors, "BLOCK", 24)
+    monkeypatch.setattr(vectors, "EDGES", 100)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    x = low_rank(kind, np.random.default_rng(9)).astype(np.float32)
+    x[400:500] = x[0]  # a class of many rows
+    x[500:560] = x[0] + np.random.default_rng(1).normal(0, 0.01, x[:60].shape)  # a list of several blocks
+    unit = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(axis=1, keepdims=True))
+    close = unit @ unit.T >= 0.95
+    np.fill_diagonal(close, False)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    made = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert {r.vec_id: r.n_links for r in made} == dict(enumerate(close.sum(axis=1).tolist()))
+    want = groups(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(close))])
+    assert {r.vec_id: r.component_id for r in made} == want
+    assert "CartesianProduct" in plans["vectors-links"] and "Exchange" not in plans["vectors-links"]
+    blocks = tables["vectors-blocks"].select("list", F.explode("asks").alias("ask"), (F.length("node") / 8).alias("n"))
+    assert blocks.select("list").distinct().count() * 3 < blocks.count()
+    assert tables["vectors-blocks"].agg(F.sum(F.length("node") / 8)).first()[0] == len(np.unique(x, axis=0))
+    assert tables["vectors-blocks"].count() > blocks.select("list").distinct().count()
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch
+
+
+def test_candidates_are_all_within_the_bound():
+    """The products keep every pair whose distance to the code is within what the code's error allows."""
+    x = low_rank("clusters", np.random.default_rng(5))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    a, b = np.divmod(np.arange(len(x) ** 2), len(x))
+    cosine = np.einsum("ij,ij->i", x[a], x[b]).reshape(len(x), -1)
+    for least in (0.95, 1.0):
+        model = vectors.train(x, 10_000, least)
+        near = cosine >= least
+        lists = model.lists(x)
+        for at in np.unique(lists):
+            own = np.flatnonzero(lists == at)
+            codes, error, _ = model.coded(x[own], at)
+            found = {(a, own[b]) for i, j in model.links(at, x, x[own], codes, error, least) for a, b in zip(i, j)}
+            assert found == {(a, b) for a, b in zip(*np.nonzero(near)) if b in own}
+
+
 def test_keep_one_keeps_columns_named_like_helpers(spark):
     rows = [(1, "a b c d e", 7, 8), (2, "a b c d e", 9, 10)]
     made = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, __key int, key int"))
