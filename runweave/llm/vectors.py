@@ -7,14 +7,17 @@ enough by the exact cosine. Quantisation alone loses nothing: the table's distan
 by the stored error of each code.
 
 Where vectors point in many directions a vector probes a good part of the lists, so nothing is sent once a
-probe: lists are cut into blocks, a row each, and pairs of blocks are read from the shared folder as they meet.
+probe: lists are cut into blocks and these dealt to parts, a row each, and pairs of parts are read from the shared
+folder as they meet.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import product
 from typing import NamedTuple
 
 import numpy as np
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runweave.llm.common import map_arrow, stored
+from runweave.llm.common import SMALL_ROWS, map_arrow, stored
 from runweave.llm.components import components
 
 #: Rows to fit centroids and codewords on, the least by a hash of the id; every row is indexed.
@@ -31,9 +34,9 @@ SAMPLE = 16_384
 MOST_LISTS, WORDS = 1024, 256
 #: Rows of one list that one block holds at most, on average.
 BLOCK = 2048
-#: Bytes of a part of the blocks, unless that makes more than ``MOST_PARTS``; each pair of parts is a task, and
-#: there are ``LEAST_PARTS`` at least if there are as many blocks.
-PART_BYTES, LEAST_PARTS, MOST_PARTS = 8 << 20, 8, 256
+#: Bytes of a part and of a file of parts, numbers taken for doubles; of either there are ``LEAST`` at least if there are
+#: as many blocks, and of files ``MOST_FILES`` at most, as tasks are pairs of these.
+PART_BYTES, FILE_BYTES, LEAST, MOST_FILES = 4 << 20, 16 << 20, 48, 256
 #: Edges of a task that are held before they are thinned to a spanning forest.
 EDGES = 1 << 20
 
@@ -77,9 +80,8 @@ class Model:
         A vector within ``radius`` of x lies in another list only if the border between the two lists, a
         plane, is within ``radius`` of x. All such lists are probed, so no link is lost, whatever the data.
         """
-        rest = x - self.centroids[at]
         m, _, axes = self.words.shape
-        rest = np.pad(rest, ((0, 0), (0, m * axes - rest.shape[1])))
+        rest = np.pad(x - self.centroids[at], ((0, 0), (0, m * axes - x.shape[1])))
         codes = np.empty((len(x), m), np.uint8)
         for s in range(m):
             part = rest[:, s * axes : (s + 1) * axes]
@@ -92,24 +94,37 @@ class Model:
         between = np.sqrt(np.maximum(0, square[at] + square - 2 * (c @ c[at])))
         return codes, error, (away - away[:, at : at + 1]) / 2 <= self.radius * between + 1e-9
 
-    def links(self, at: int, q: np.ndarray, x: np.ndarray, codes: np.ndarray, error: np.ndarray, least: float):
-        """Row and column numbers of the pairs of ``q`` and list members ``x`` with cosine >= ``least``."""
+    def asked(self, q: np.ndarray) -> np.ndarray:
+        """The side of unit vectors that ask, for ``links``."""
         m, _, axes = self.words.shape
-        rest = np.pad(q - self.centroids[at], ((0, 0), (0, m * axes - q.shape[1])))
-        told = np.concatenate([self.words[s][codes[:, s]] for s in range(m)], axis=1)
-        # The distance to a code is the sum over subspaces of those to its words. It is within the bound where a
-        # product is not below zero: -2 rest.told + rest.rest + told.told <= most, with room for single precision.
-        qq, xx = (rest * rest).sum(axis=1), (told * told).sum(axis=1)
-        room = 2.0**-23 * (m * axes + 2) * (math.sqrt(qq.max(initial=0)) + math.sqrt(xx.max(initial=0)) + 1) ** 2
+        q = np.pad(q, ((0, 0), (0, m * axes - q.shape[1])))
+        return np.column_stack((q, np.ones(len(q)), -(q * q).sum(axis=1) / 2)).astype(np.float32)
+
+    def told(self, lists: np.ndarray, codes: np.ndarray, error: np.ndarray) -> np.ndarray:
+        """The side of list members that are known by their codes, for ``links``.
+
+        A code is looked up in the words of all subspaces. The distance to it is within the radius and the stored
+        error where the product of the two sides is not below zero: 2 q.x - q.q - x.x + most >= 0.
+        """
+        m, _, axes = self.words.shape
+        x = np.concatenate([self.words[s][codes[:, s]] for s in range(m)], axis=1)
+        x[:, : self.centroids.shape[1]] += self.centroids[lists]
+        square = (x * x).sum(axis=1)
+        # As much more as single precision may miss.
+        room = 2.0**-23 * (m * axes + 2) * (2 + np.sqrt(square)) ** 2
         most = (self.radius + error + 1e-4) ** 2 + room
-        left = np.column_stack((rest, np.ones(len(q)), -qq / 2)).astype(np.float32)
-        right = np.column_stack((told, (most - xx) / 2, np.ones(len(x)))).astype(np.float32).T.copy()
-        for i in range(0, len(q) if len(x) else 0, 256):
-            a, b = np.divmod(np.flatnonzero(left[i : i + 256] @ right >= 0), len(x))
-            for j in range(0, len(a), 1 << 14):
-                aa, bb = a[j : j + (1 << 14)] + i, b[j : j + (1 << 14)]
-                close = np.einsum("ij,ij->i", q[aa], x[bb]) >= least
-                yield aa[close], bb[close]
+        return np.column_stack((x, (most - square) / 2, np.ones(len(x)))).astype(np.float32)
+
+
+def links(asked: np.ndarray, told: np.ndarray, q: np.ndarray, x: np.ndarray, least: float):
+    """Row and column numbers of the pairs of ``q`` and ``x`` with cosine >= ``least``, by their sides and exactly."""
+    told = np.ascontiguousarray(told.T)
+    for i in range(0, len(q) if len(x) else 0, 256):
+        a, b = np.divmod(np.flatnonzero(asked[i : i + 256] @ told >= 0), len(x))
+        for j in range(0, len(a), 1 << 14):
+            aa, bb = a[j : j + (1 << 14)] + i, b[j : j + (1 << 14)]
+            close = np.einsum("ij,ij->i", q[aa], x[bb]) >= least
+            yield aa[close], bb[close]
 
 
 def train(sample: np.ndarray, n: int, least: float) -> Model:
@@ -130,10 +145,15 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    """Vectors of ``dim`` numbers each: floats as they are, other numbers as doubles."""
+def _numbers(column: pa.Array) -> np.ndarray:
+    """All numbers of a column of vectors: floats as they are, others as doubles."""
     x = column.flatten().to_numpy(zero_copy_only=False)
-    return (x if x.dtype == np.float32 else x.astype(np.float64)).reshape(-1, dim)
+    return x if x.dtype == np.float32 else x.astype(np.float64)
+
+
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """Vectors of ``dim`` numbers each."""
+    return _numbers(column).reshape(-1, dim)
 
 
 def _spanning(rows: np.ndarray, columns: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,47 +199,56 @@ def _rows_of_a_batch(spark: SparkSession, n: int):
         spark.conf.set(key, before)
 
 
-class _Block(NamedTuple):
-    """Vectors of one list, and for each the lists that it has to probe, a bit a list."""
+class _Part(NamedTuple):
+    """Vectors in the order of their lists, and for each the lists that it has to probe, a bit a list."""
 
-    block: int
-    list: int
+    part: int
     node: np.ndarray
     size: np.ndarray
+    list: np.ndarray
     error: np.ndarray
     code: np.ndarray
     probes: np.ndarray
     v: np.ndarray
 
-    SCHEMA = "block bigint, list bigint, {} binary, kind string, asks array<int>"
-    COLUMNS = ("node", "size", "error", "code", "probes", "v")
+    COLUMNS = ("node", "size", "list", "error", "code", "probes", "v")
+    SCHEMA = f"part bigint, {' binary, '.join(COLUMNS)} binary, kind string"
 
     @classmethod
-    def read(cls, row: dict, side: str) -> _Block:
-        kinds = ("<i8", "<i8", "<f8", "u1", "u1", row[f"{side}kind"])
-        node, size, error, *wide = (np.frombuffer(row[side + c], k) for c, k in zip(cls.COLUMNS, kinds))
-        wide = (x.reshape(len(node), -1) for x in wide)
-        return cls(row[f"{side}block"], row[f"{side}list"], node, size, error, *wide)
+    def read(cls, row: dict, side: str) -> _Part:
+        kinds = ("<i8", "<i8", "<i8", "<f8", "u1", "u1", row[f"{side}kind"])
+        *plain, code, probes, v = (np.frombuffer(row[side + c], k) for c, k in zip(cls.COLUMNS, kinds))
+        return cls(row[f"{side}part"], *plain, *(x.reshape(len(plain[0]), -1) for x in (code, probes, v)))
 
-    def asking(self, at: int) -> np.ndarray:
-        """Numbers of the vectors that have to probe list ``at``."""
-        return np.flatnonzero(self.probes[:, at >> 3] >> (7 - (at & 7)) & 1)
+    def lists(self) -> list[tuple[int, np.ndarray]]:
+        """Each list with the numbers of its vectors."""
+        cuts = np.flatnonzero(np.diff(self.list)) + 1
+        return [(int(self.list[rows[0]]), rows) for rows in np.split(np.arange(len(self.list)), cuts)]
 
+    def asking(self, rows: np.ndarray, at: int) -> np.ndarray:
+        """Those of ``rows`` that have to probe list ``at``."""
+        return rows[(self.probes[rows, at >> 3] >> (7 - (at & 7)) & 1).astype(bool)]
 
-def _packed(rows: pa.Table, at: int, model: Model, dim: int) -> pa.Table:
-    """The rows of one block, of list ``at``, as one row."""
-    rows = rows.sort_by("node")
-    v = _matrix(rows.column("v").combine_chunks(), dim)
-    code, error, probes = model.coded(_unit(v), at)
-    one = {"block": rows.column("block")[:1], "list": pa.array([at])}
-    columns = (rows.column("node").to_numpy(), rows.column("size").to_numpy(), error, code, np.packbits(probes, axis=1), v)
-    one |= {c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(_Block.COLUMNS, columns)}
-    asks = pa.array([np.flatnonzero(probes.any(axis=0)).astype(np.int32)], pa.list_(pa.int32()))
-    return pa.table(one | {"kind": pa.array([v.dtype.str]), "asks": asks})
 
-
-def _blocks(classes: DataFrame, model: Model, dim: int) -> DataFrame:
-    """A row for each block; each class is in one, and each block in one of the files."""
+def _packed(rows: pa.Table, lists: np.ndarray, model: Model, dim: int) -> pa.Table:
+    """The rows of one part, whose lists are ``lists``, as one row."""
+    order = np.lexsort((rows.column("node").to_numpy(), lists))
+    rows, lists = rows.take(order), lists[order]
+    v = _matrix(rows.column("v").combine_chunks(), dim)
+    codes, errors, probes = [], [], []
+    for own in np.split(np.arange(len(v)), np.flatnonzero(np.diff(lists)) + 1):
+        code, error, probe = model.coded(_unit(v[own]), int(lists[own[0]]))
+        codes.append(code)
+        errors.append(error)
+        probes.append(np.packbits(probe, axis=1))
+    columns = [rows.column("node").to_numpy(), rows.column("size").to_numpy(), lists]
+    columns += [*map(np.concatenate, (errors, codes, probes)), v]
+    one = {c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(_Part.COLUMNS, columns)}
+    return pa.table({"part": rows.column("part")[:1]} | one | {"kind": pa.array([v.dtype.str])})
+
+
+def _parts(classes: DataFrame, model: Model, dim: int) -> DataFrame:
+    """A row for each part; each class is in one. A list with many classes is in several."""
     lists = len(model.centroids)
 
     def each(batches):
@@ -241,58 +270,66 @@ def _blocks(classes: DataFrame, model: Model, dim: int) -> DataFrame:
         n[at] = rows
     cut = np.maximum(1, -(-n // BLOCK))
     first = np.concatenate(([0], np.cumsum(cut)))
+    whole = int(n.sum()) * (8 * dim + 2 * lists // 8 + 32)
+    parts = min(int(first[-1]), max(LEAST, whole // PART_BYTES))
+    files = min(parts, MOST_FILES, max(LEAST, whole // FILE_BYTES))
 
     def deal(batches):
         for part, at in each(batches):
             spot = part.column("node").to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             spot = (spot >> np.uint64(33)).astype(np.int64)
-            yield part.append_column("block", pa.array(first[at] + spot % cut[at]))
+            block = first[at] + spot % cut[at]
+            part = part.append_column("list", pa.array(at, pa.int32()))
+            yield part.append_column("part", pa.array(block % parts))
 
     def pack(rows: pa.Table) -> pa.Table:
-        at = int(np.searchsorted(first, rows.column("block")[0].as_py(), "right")) - 1
-        return _packed(rows, at, model, dim)
+        return _packed(rows, rows.column("list").to_numpy().astype(np.int64), model, dim)
 
-    whole = int(n.sum()) * (8 * dim + 2 * lists // 8 + 32)
-    parts = min(int(cut.sum()), MOST_PARTS, max(LEAST_PARTS, whole // PART_BYTES))
-    kind = classes.schema["v"].dataType.simpleString()
-    dealt = map_arrow(classes.select("node", "size", "v"), deal, f"node bigint, size bigint, v {kind}, block bigint")
-    schema = _Block.SCHEMA.format(" binary, ".join(_Block.COLUMNS))
-    made = dealt.repartition(parts, "block").groupBy("block").applyInArrow(pack, schema)
-    return stored(made, "vectors-blocks")
+    schema = f"node bigint, size bigint, v {classes.schema['v'].dataType.simpleString()}, list int, part bigint"
+    dealt = map_arrow(classes.select("node", "size", "v"), deal, schema)
+    made = dealt.repartition(files, "part").groupBy("part").applyInArrow(pack, _Part.SCHEMA)
+    return stored(made, "vectors-parts")
 
 
-def _near(classes: DataFrame, dim: int, least: float) -> DataFrame:
-    """``(a, b, n)`` for classes of one dimension: n linked rows of a (b null), or an edge (n 0).
+def _near(classes: DataFrame, n: int, dim: int, least: float) -> DataFrame:
+    """``(a, b, n)`` for the ``n`` classes of one dimension: n linked rows of a (b null), or an edge (n 0).
 
-    Each pair of blocks meets in one row, of the vectors of either that probe the list of the other. No
-    row is shuffled for it: a task reads two parts of the blocks, and sends a number a vector and a forest.
+    Each pair of parts meets in one row; of two lists in them only vectors that probe the other's list are
+    compared. No row is shuffled for it: a task reads some parts, and sends a number a vector and a forest.
     """
     spark = classes.sparkSession
     sample = classes.select("v").orderBy(F.xxhash64("node"), "node").limit(SAMPLE).toArrow()
     sample = _unit(_matrix(sample.column("v").combine_chunks(), dim))
-    model = train(sample, classes.count(), least)
-    blocks = _blocks(classes, model, dim)
+    model = train(sample, n, least)
+    parts = _parts(classes, model, dim)
 
     def compare(batches):
-        held, edges, n_edges, most_edges = {}, [], 0, EDGES
+        held, edges, n_edges, most_edges, last = {}, [], 0, EDGES, None
         for row in (row for batch in batches for row in batch.to_pylist()):
-            a, b = _Block.read(row, "a_"), _Block.read(row, "b_")
-            count_a, count_b = (held.setdefault(s.block, (s.node, np.zeros(len(s.node), np.int64)))[1] for s in (a, b))
-            asks, asked = a.asking(b.list), b.asking(a.list)
-            q, x = _unit(a.v[asks]), _unit(b.v[asked])
-            for i, j in model.links(b.list, q, x, b.code[asked], b.error[asked], least):
-                i, j = asks[i], asked[j]
-                if a.block == b.block:
-                    once = i < j
-                    i, j = i[once], j[once]
-                np.add.at(count_a, i, b.size[j])
-                np.add.at(count_b, j, a.size[i])
-                edges.append(np.stack((a.node[i], b.node[j])))
-                n_edges += len(i)
-                if n_edges > most_edges:
-                    edges = [_thinned(edges)]
-                    n_edges = edges[0].shape[1]
-                    most_edges = max(EDGES, 2 * n_edges)
+            a, b = _Part.read(row, "a_"), _Part.read(row, "b_")
+            if a.part != last:  # many rows one after the other have it on the left
+                last, q = a.part, _unit(a.v)
+                asked = model.asked(q)
+            x = q if a.part == b.part else _unit(b.v)
+            told = model.told(b.list, b.code, b.error)
+            count_a, count_b = (held.setdefault(s.part, (s.node, np.zeros(len(s.node), np.int64)))[1] for s in (a, b))
+            for (from_list, from_rows), (to_list, to_rows) in product(a.lists(), b.lists()):
+                if a.part == b.part and from_list > to_list:
+                    continue
+                ours, theirs = a.asking(from_rows, to_list), b.asking(to_rows, from_list)
+                for i, j in links(asked[ours], told[theirs], q[ours], x[theirs], least):
+                    i, j = ours[i], theirs[j]
+                    if a.part == b.part:
+                        once = i < j
+                        i, j = i[once], j[once]
+                    np.add.at(count_a, i, b.size[j])
+                    np.add.at(count_b, j, a.size[i])
+                    edges.append(np.stack((a.node[i], b.node[j])))
+                    n_edges += len(i)
+                    if n_edges > most_edges:
+                        edges = [_thinned(edges)]
+                        n_edges = edges[0].shape[1]
+                        most_edges = max(EDGES, 2 * n_edges)
         frm, to = _thinned(edges)
         counted = [(node[n > 0], n[n > 0]) for node, n in held.values()]
         nodes, numbers = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*counted) if counted else ((), ())))
@@ -303,20 +340,54 @@ def _near(classes: DataFrame, dim: int, least: float) -> DataFrame:
         ]
         yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
 
-    a, b = (blocks.select(*[F.col(c).alias(f"{side}_{c}") for c in blocks.columns]) for side in "ab")
-    # Of two blocks now the one and now the other is on the left, so that tasks have alike much to do.
-    even = (F.col("a_block") + F.col("b_block")) % 2 == 0
-    meet = (F.col("a_block") == F.col("b_block")) | ((F.col("a_block") < F.col("b_block")) == even)
-    meet = meet & F.expr("array_contains(a_asks, int(b_list)) and array_contains(b_asks, int(a_list))")
-    pairs = a.join(b.hint("shuffle_replicate_nl"), meet).drop("a_asks", "b_asks")
+    a, b = (parts.select(*[F.col(c).alias(f"{side}_{c}") for c in parts.columns]) for side in "ab")
+    # Of two parts now the one and now the other is on the left, so that tasks have alike much to do.
+    even = (F.col("a_part") + F.col("b_part")) % 2 == 0
+    meet = (F.col("a_part") == F.col("b_part")) | ((F.col("a_part") < F.col("b_part")) == even)
+    pairs = a.join(b.hint("shuffle_replicate_nl"), meet)
     with _rows_of_a_batch(spark, 1):
         return stored(map_arrow(pairs, compare, "a bigint, b bigint, n bigint"), "vectors-links")
 
 
-def _vector_key(v: str) -> Column:
+def _vector_key(v: Column) -> Column:
     """128 bits that stand for a vector; both zeros are one number."""
-    same = F.transform(v, lambda x: F.when(x == 0, F.abs(x)).otherwise(x))
-    return F.unhex(F.md5(same.cast("string").cast("binary")))
+
+    @F.arrow_udf("binary")
+    def run(column: pa.Array) -> pa.Array:
+        x = _numbers(column)
+        raw = memoryview((x + x.dtype.type(0)).tobytes())
+        ends = np.cumsum(column.value_lengths().to_numpy()) * x.itemsize
+        return pa.array([hashlib.md5(raw[i:j]).digest() for i, j in zip([0, *ends], ends)], pa.binary())
+
+    return run(v)
+
+
+def _classes(usable: DataFrame) -> tuple[DataFrame, DataFrame, dict[int, int]]:
+    """Classes ``(node, size, v)`` of equal vectors, the class ``(vec_id, node, size)`` of each row, and the
+    number of classes by the length of their vectors.
+
+    Rows and classes find each other by a short key. Unless many vectors are repeated, no vector is
+    shuffled or written for that: one row of each class is told from the others when rows are read.
+    """
+    key = _vector_key(F.col("v")).alias("key")
+    keyed = stored(usable.select("vec_id", F.size("v").alias("dim"), key), "vectors-keys")
+    size = F.count(F.lit(1)).alias("size")
+    found = keyed.groupBy("key").agg(F.min("vec_id").alias("node"), size, F.first("dim").alias("dim"))
+    found = stored(found, "vectors-found")
+    member = stored(keyed.join(found, "key").select("vec_id", "node", "size"), "vectors-member")
+    dims = {dim: n for dim, n in found.groupBy("dim").agg(F.count(F.lit(1))).orderBy("dim").collect()}
+    repeated = stored(found.where("size > 1").select("key", "node", "size"), "vectors-repeated")
+    n = repeated.limit(SMALL_ROWS + 1).count()
+    if n > SMALL_ROWS:
+        classes = stored(usable.groupBy("v").agg(F.min("vec_id").alias("node"), size), "vectors-classes")
+        return classes.select("node", "size", "v"), member, dims
+    rows = usable.select("vec_id", "v")
+    if n:
+        rows = rows.select("vec_id", "v", key).join(F.broadcast(repeated), "key", "left")
+        first = rows.where("vec_id = node").groupBy("key").agg(*[F.first(c).alias(c) for c in ("node", "size", "v")])
+        rows = rows.where("size is null")
+    classes = rows.select(F.col("vec_id").alias("node"), F.lit(1).cast("bigint").alias("size"), "v")
+    return classes.union(first.select("node", "size", "v")) if n else classes, member, dims
 
 
 def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
@@ -335,15 +406,10 @@ def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
     rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
     rows = rows.withColumn("v", F.when(F.coalesce(good, F.lit(False)), one)).drop("embedding")
     usable = rows.where("v is not null")
-    classes = usable.groupBy("v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("size"))
-    classes = stored(classes, "vectors-classes")
-    # Rows find their class by a short key: their vectors need not be shuffled a second time.
-    own = usable.select("vec_id", _vector_key("v").alias("key"))
-    member = own.join(classes.select("node", "size", _vector_key("v").alias("key")), "key")
-    member = stored(member.select("vec_id", "node", "size"), "vectors-member")
+    classes, member, dims = _classes(usable)
     found = None
-    for (dim,) in classes.select(F.size("v").alias("d")).distinct().orderBy("d").collect():
-        part = _near(classes.where(F.size("v") == dim), dim, least)
+    for dim, n in dims.items():
+        part = _near(classes.where(F.size("v") == dim), n, dim, least)
         found = part if found is None else found.union(part)
     apart = rows.where("v is null").select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")

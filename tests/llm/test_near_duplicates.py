@@ -187,7 +187,7 @@ def test_no_link_is_lost_on_any_data(spark, kind):
 
 
 @pytest.mark.parametrize("kind", ["clusters", "isotropic"])
-def test_blocks_meet_without_a_shuffle(spark, kind, monkeypatch):
+def test_parts_meet_without_a_shuffle(spark, kind, monkeypatch):
     """Most vectors probe most lists here; nothing may be written once a probe or a pair."""
     plans, tables, write = {}, {}, vectors.stored
 
@@ -212,13 +212,28 @@ def test_blocks_meet_without_a_shuffle(spark, kind, monkeypatch):
     want = groups(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(close))])
     assert {r.vec_id: r.component_id for r in made} == want
     assert "CartesianProduct" in plans["vectors-links"] and "Exchange" not in plans["vectors-links"]
-    blocks = tables["vectors-blocks"].select("list", F.explode("asks").alias("ask"), (F.length("node") / 8).alias("n"))
-    assert blocks.select("list").distinct().count() * 3 < blocks.count()
-    assert tables["vectors-blocks"].agg(F.sum(F.length("node") / 8)).first()[0] == len(np.unique(x, axis=0))
-    assert tables["vectors-blocks"].count() > blocks.select("list").distinct().count()
+    parts = tables["vectors-parts"]
+    held = [i for r in parts.collect() for i in np.frombuffer(r.node, "<i8")]
+    assert len(held) == len(set(held)) == len(np.unique(x, axis=0))
+    assert parts.select("part").distinct().count() == parts.count() > 1
+    # Lists are cut, and a vector probes several.
+    assert sum(len(np.unique(np.frombuffer(r.list, "<i8"))) for r in parts.collect()) > int(len(held) ** 0.5 / 2)
+    assert sum(np.unpackbits(np.frombuffer(r.probes, "u1")).sum() for r in parts.collect()) > (3 if kind == "isotropic" else 1) * len(held)
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_equal_vectors_are_one_class(spark, few, monkeypatch):
+    """However many are repeated, also with one id or none, and with both zeros."""
+    monkeypatch.setattr(vectors, "SMALL_ROWS", few)
+    rows = [(5, [1.0, 0.0]), (3, [1.0, -0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0]), (None, [1.0, 0.0]), (6, [1.0]), (7, [2.0, 0.01]),
+            (9, [1.0, 0.0, 0.0]), (8, [1.0, 0.0, 0.0])]
+    made = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in made)
+    assert got == [(0, 0, None, False), (3, 3, 3, True), (3, 3, 3, True), (4, 0, 4, True), (5, 3, 3, False), (6, 0, 6, True),
+                   (7, 3, 3, False), (8, 1, 8, True), (9, 1, 8, False)]
+
+
 def test_candidates_are_all_within_the_bound():
     """The products keep every pair whose distance to the code is within what the code's error allows."""
     x = low_rank("clusters", np.random.default_rng(5))
@@ -232,7 +247,8 @@ def test_candidates_are_all_within_the_bound():
         for at in np.unique(lists):
             own = np.flatnonzero(lists == at)
             codes, error, _ = model.coded(x[own], at)
-            found = {(a, own[b]) for i, j in model.links(at, x, x[own], codes, error, least) for a, b in zip(i, j)}
+            sides = model.asked(x), model.told(lists[own], codes, error)
+            found = {(a, own[b]) for i, j in vectors.links(*sides, x, x[own], least) for a, b in zip(i, j)}
             assert found == {(a, b) for a, b in zip(*np.nonzero(near)) if b in own}
 
 
